@@ -23,13 +23,15 @@ def ts_lit(value) -> Column:
 
 
 def hour_bucket(ts: Column) -> Column:
-    return F.date_trunc("hour", ts)
+    """Hour start of a TIMESTAMP_NTZ value, kept TIMESTAMP_NTZ (``date_trunc``
+    yields a session-zone timestamp; the cast back keeps the wall clock)."""
+    return F.date_trunc("hour", ts).cast("timestamp_ntz")
 
 
 def period_bucket(ts: Column, seconds: int) -> Column:
     """Start of the fixed ``seconds``-wide period holding ``ts`` (epoch aligned)."""
     if seconds == 3600:
-        return F.date_trunc("hour", ts)
+        return hour_bucket(ts)
     if seconds == 86400:
-        return F.date_trunc("day", ts)
+        return F.date_trunc("day", ts).cast("timestamp_ntz")
     return F.window(ts, f"{seconds} seconds").start

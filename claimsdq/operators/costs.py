@@ -76,14 +76,14 @@ def cost_metric_points(resp: DataFrame, params: DQParams = DEFAULT) -> DataFrame
                       F.col("p.dimension"), "ts", F.col("p.value"), F.lit("None").alias("unit"))
 
 
-def cost_status(resp: DataFrame, params: DQParams = DEFAULT, digits: int = 6) -> DataFrame:
+def cost_status(resp: DataFrame, params: DQParams = DEFAULT) -> DataFrame:
     """Strict ``total > threshold`` gives ``high``; high days carry the
     service breakdown (as a map and as sorted ``service=amount`` text)."""
     d = cost_daily(resp, keep=("groups",))
     high = F.col("total_cost") > F.lit(params.cost_threshold)
     text = F.array_join(F.transform(
         F.array_sort(F.col("groups")),
-        lambda g: F.concat(g["service"], F.lit("="), F.round(g["amount"], digits).cast("string"))), ";")
+        lambda g: F.concat(g["service"], F.lit("="), F.format_string("%.8f", g["amount"]))), ";")
     return d.select(
         "period_start", "total_cost", F.lit(params.cost_threshold).alias("threshold"),
         F.when(high, F.lit("high")).otherwise(F.lit("normal")).alias("status"),

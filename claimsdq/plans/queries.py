@@ -31,11 +31,18 @@ P = DEFAULT
 # is evaluated at a threshold of 4 instead of 100.
 P_F3 = DEFAULT.with_(anomaly_threshold=4.0)
 R = 6
+# Cost amounts are cents / 1e6: 8 digits keep them exact (6 would cut at
+# half-cent ties, which two engines may round apart).
+RC = 8
 
 
-def _r(c: str | Column, name: str | None = None) -> Column:
+def _r(c: str | Column, name: str | None = None, digits: int = R) -> Column:
     col = F.col(c) if isinstance(c, str) else c
-    return F.round(col, R).alias(name or (c if isinstance(c, str) else None))
+    return F.round(col, digits).alias(name or (c if isinstance(c, str) else None))
+
+
+def _rc(c: str) -> Column:
+    return _r(c, digits=RC)
 
 
 # ---------------------------------------------------------------- builders
@@ -263,8 +270,8 @@ def q_score_bands(spark, sf):
 def q_cost_summary(spark, sf):
     pts = CO.cost_metric_points(cost_resp(spark, sf), P)
     s = TS.cost_summary(pts, P)
-    return s.select(_r("current_daily_cost"), _r("avg_daily_cost"), _r("projected_monthly"),
-                    "days_with_data", _r("delta_vs_avg"), "budget_status")
+    return s.select(_rc("current_daily_cost"), _rc("avg_daily_cost"), _rc("projected_monthly"),
+                    "days_with_data", _rc("delta_vs_avg"), "budget_status")
 
 
 # ---------------------------------------------------------------- alarms
@@ -274,7 +281,7 @@ def _defs(params: DQParams = P_F3) -> dict[str, AL.AlarmDef]:
 
 
 def _alarm_out(df: DataFrame) -> DataFrame:
-    return df.select("alarm_name", "period_start", _r("value"), "state")
+    return df.select("alarm_name", "period_start", _rc("value"), "state")
 
 
 def _dq_alarm(spark, sf, metric: str) -> DataFrame:
@@ -317,7 +324,7 @@ def _events(spark, sf) -> DataFrame:
 
 def q_alarm_events(spark, sf):
     return _events(spark, sf).select("event_type", "alarm_name", "state", "reason", "timestamp",
-                                     "action", _r("value"))
+                                     "action", _rc("value"))
 
 
 def q_action_routing(spark, sf):
@@ -331,26 +338,27 @@ def q_action_routing(spark, sf):
 # ---------------------------------------------------------------- costs
 
 def q_cost_by_service(spark, sf):
-    return CO.cost_by_service(cost_resp(spark, sf)).select("period_start", "service", _r("amount"))
+    return CO.cost_by_service(cost_resp(spark, sf)).select("period_start", "service", _rc("amount"))
 
 
 def q_cost_daily(spark, sf):
-    return CO.cost_daily(cost_resp(spark, sf)).select("period_start", _r("total_cost"), _r("service_sum"),
+    return CO.cost_daily(cost_resp(spark, sf)).select("period_start", _rc("total_cost"), _rc("service_sum"),
                                                        "n_services")
 
 
 def q_cost_yesterday(spark, sf):
     y = CO.cost_yesterday(cost_resp(spark, sf), P.cost_as_of)
-    return CO.cost_by_service(y).select("period_start", "service", _r("amount"))
+    return CO.cost_by_service(y).select("period_start", "service", _rc("amount"))
 
 
 def q_cost_metric_points(spark, sf):
-    return _point_cols(CO.cost_metric_points(cost_resp(spark, sf), P), "dimension")
+    p = CO.cost_metric_points(cost_resp(spark, sf), P)
+    return p.select("namespace", "metric_name", "dimension", "ts", _rc("value"), "unit")
 
 
 def q_cost_status(spark, sf):
     s = CO.cost_status(cost_resp(spark, sf), P)
-    return s.select("period_start", _r("total_cost"), "threshold", "status", "breakdown_text")
+    return s.select("period_start", _rc("total_cost"), "threshold", "status", "breakdown_text")
 
 
 # ---------------------------------------------------------------- remediation

@@ -28,6 +28,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for k, v in (extra or {}).items():
         b = b.config(k, v)
