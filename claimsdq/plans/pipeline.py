@@ -36,7 +36,7 @@ from claimsdq.sources.claims import read_claims_csv
 
 @dataclass
 class BatchResult:
-    file_metrics: DataFrame      # wide metrics per source_file (collected-size: one row per file)
+    file_metrics: DataFrame      # wide metrics per source_file (persisted; one row per file)
     counts: dict                 # overall counts of this run
     staged_path: str
 
@@ -46,12 +46,12 @@ def _overwrite(df: DataFrame, path: str, partition_by: list[str], fmt: str = "pa
      .partitionBy(*partition_by).format(fmt).save(path))
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` to a fresh folder under the checkpoint dir and read it back."""
     spark = df.sparkSession
     path = staging_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
 
 
 def run_tiers(claims: DataFrame, out_root: str, params: DQParams = DEFAULT,
@@ -59,7 +59,7 @@ def run_tiers(claims: DataFrame, out_root: str, params: DQParams = DEFAULT,
     """Classify, split and write the three tiers plus metrics for ``claims``
     (a DataFrame with the claim columns, ``source_file`` and
     ``ingestion_timestamp``)."""
-    staged = stage(with_issues(claims, params, mode), "classified")
+    staged, staged_path = stage(with_issues(claims, params, mode), "classified")
     tiered = score_claims(staged, params).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         out = out_root.rstrip("/")
@@ -72,8 +72,7 @@ def run_tiers(claims: DataFrame, out_root: str, params: DQParams = DEFAULT,
                                 ("total_records", "gold_records", "silver_records",
                                  "quarantine_records", "total_anomalies")]).first()
         counts = {k: int(totals[k] or 0) for k in totals.asDict()}
-        return BatchResult(per_file, counts, staged.inputFiles()[0].rsplit("/", 1)[0]
-                           if staged.inputFiles() else "")
+        return BatchResult(per_file, counts, staged_path)
     finally:
         tiered.unpersist()
 
