@@ -3,6 +3,8 @@ view derived from the driver's ``events`` table (fixture F1)."""
 
 from __future__ import annotations
 
+from urllib.parse import urlparse
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,17 +51,23 @@ def read_claims_csv(spark: SparkSession, path: str | list[str], key_root: str |
         reader = spark.read.schema(schema).option("header", "true") \
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_column)
     df = reader.csv(path)
-    file_path = F.col("_metadata.file_path")
-    if key_root:
-        root = key_root.rstrip("/") + "/"
-        file_path = F.when(file_path.startswith(root), F.substring(file_path, len(root) + 1, 1 << 20)) \
-            .otherwise(file_path)
-    df = df.withColumn("source_file", file_path)
+    df = df.withColumn("source_file", object_key(F.col("_metadata.file_path"), key_root))
     df = df.withColumn("ingestion_timestamp",
                        run_ts if run_ts is not None else F.current_timestamp())
     return df
 
 
+def object_key(file_path: Column, key_root: str | None) -> Column:
+    """A file URI as an object key: scheme and authority dropped, ``key_root``
+    (a folder or bucket URI) stripped, percent-escapes decoded."""
+    if not key_root:
+        return file_path
+    path = F.url_decode(F.regexp_replace(file_path, r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?", ""))
+    root = urlparse(key_root).path if "://" in key_root or key_root.startswith("file:") else key_root
+    root = "/" + root.strip("/") + "/" if root.strip("/") else "/"
+    return F.when(path.startswith(root), F.substring(path, len(root) + 1, 1 << 20)).otherwise(path)
+
+
 # Fixture F1: the claims view over the driver's `events` table.  This is test
 # input, written as the Spark SQL text the fixture document gives, so that the
 # DuckDB oracle builds the same rows.

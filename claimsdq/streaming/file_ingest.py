@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from claimsdq.params import DEFAULT, DQParams
 from claimsdq.plans.pipeline import run_tiers
-from claimsdq.sources.claims import CLAIMS_SCHEMA
+from claimsdq.sources.claims import CLAIMS_SCHEMA, object_key
 
 
 def claims_file_stream(spark: SparkSession, input_dir: str, key_root: str | None = None,
@@ -27,11 +27,7 @@ def claims_file_stream(spark: SparkSession, input_dir: str, key_root: str | None
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = reader.csv(input_dir)
-    path = F.col("_metadata.file_path")
-    if key_root:
-        root = key_root.rstrip("/") + "/"
-        path = F.when(path.startswith(root), F.substring(path, len(root) + 1, 1 << 20)).otherwise(path)
-    return df.withColumn("source_file", path) \
+    return df.withColumn("source_file", object_key(F.col("_metadata.file_path"), key_root)) \
         .withColumn("ingestion_timestamp", F.col("_metadata.file_modification_time"))
 
 
