@@ -9,8 +9,9 @@ spine: every breaching period ``b`` votes for ``b, b+1, .., b+N-1`` (an
 ``explode`` of N offsets) and t is in ALARM when it gets N votes.  A missing
 period casts no vote, which is exactly "missing counts as not breaching", and
 the work is keyed by (alarm, period), so no series has to sit in one task.
-State changes to ALARM are the ALARM periods whose previous period is not in
-ALARM: an anti join of the ALARM set with itself shifted by one period.
+State changes to ALARM are found the same way: each ALARM period marks itself
+and its successor, and a period marked only by itself starts an ALARM run.
+Both read their input once (no self join, so the points are not recomputed).
 """
 
 from __future__ import annotations
@@ -102,28 +103,43 @@ def _shift(ts: Column, periods: Column | int, seconds: int) -> Column:
 
 
 def alarm_periods(points: DataFrame, d: AlarmDef, dim_col: str | None = "source_file") -> DataFrame:
-    """L1-L4: the periods in ALARM, with the period's own statistic."""
-    pv = period_values(points, d, dim_col)
-    br = pv.filter("breaching")
-    if d.periods <= 1:
-        hits = br
-    else:
-        votes = br.select("alarm_name", F.explode(F.sequence(F.lit(0), F.lit(d.periods - 1))).alias("k"),
-                          "period_start")
-        votes = votes.select("alarm_name",
-                             _shift(F.col("period_start"), F.col("k"), d.period_seconds).alias("period_start"))
-        full = votes.groupBy("alarm_name", "period_start").agg(F.count(F.lit(1)).alias("n")) \
-            .filter(F.col("n") == d.periods).drop("n")
-        hits = br.join(full, ["alarm_name", "period_start"], "left_semi")
-    return hits.select("alarm_name", "period_start", "value",
-                       F.lit("ALARM").alias("state"))
+    """L1-L4: the periods in ALARM, with the period's own statistic.
+
+    One pass over the period values: each breaching period ``b`` emits a vote
+    for ``b + k`` (k = 0..N-1) carrying its value when k = 0; a period with N
+    votes is in ALARM (its own k = 0 vote gives the value)."""
+    br = period_values(points, d, dim_col).filter("breaching")
+    n = max(1, d.periods)
+    votes = br.select("alarm_name", "period_start", "value",
+                      F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("k"))
+    votes = votes.select(
+        "alarm_name",
+        _shift(F.col("period_start"), F.col("k"), d.period_seconds).alias("period_start"),
+        F.when(F.col("k") == 0, F.col("value")).alias("value"))
+    full = votes.groupBy("alarm_name", "period_start").agg(
+        F.count(F.lit(1)).alias("n"), F.max("value").alias("value"))
+    return full.filter(F.col("n") == n).select("alarm_name", "period_start", "value",
+                                               F.lit("ALARM").alias("state"))
 
 
 def alarm_transitions(alarms: DataFrame, period_seconds: int = 3600) -> DataFrame:
-    """ALARM periods whose previous period was not in ALARM."""
-    prev = alarms.select("alarm_name",
-                         _shift(F.col("period_start"), 1, period_seconds).alias("period_start"))
-    return alarms.join(prev, ["alarm_name", "period_start"], "left_anti")
+    """ALARM periods whose previous period was not in ALARM.
+
+    One pass: each ALARM period t marks itself and marks t + 1 period as
+    "previous was ALARM"; a period marked only by itself is a state change."""
+    marks = alarms.select(
+        "alarm_name", "value", "state",
+        F.explode(F.array(
+            F.struct(F.col("period_start").alias("p"), F.lit(True).alias("own")),
+            F.struct(_shift(F.col("period_start"), 1, period_seconds).alias("p"),
+                     F.lit(False).alias("own")))).alias("m"))
+    g = marks.groupBy("alarm_name", F.col("m.p").alias("period_start")).agg(
+        F.max(F.col("m.own").cast("int")).alias("own"),
+        F.min(F.col("m.own").cast("int")).alias("all_own"),
+        F.max(F.when(F.col("m.own"), F.col("value"))).alias("value"),
+        F.max(F.when(F.col("m.own"), F.col("state"))).alias("state"))
+    return g.filter((F.col("own") == 1) & (F.col("all_own") == 1)) \
+        .select("alarm_name", "period_start", "value", "state")
 
 
 def alarm_events(transitions: DataFrame, definitions: DataFrame) -> DataFrame:

@@ -19,14 +19,14 @@ from claimsdq.params import DEFAULT, DQParams
 def cost_responses(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """Fixture F4: daily cost per market segment from orders x customer.
 
-    Orders are pre-aggregated by (customer, day) before the join, so the join
-    moves one row per customer-day; the customer side is not broadcast since it
-    grows with the data (AQE may still pick a broadcast at run time)."""
-    o = orders.groupBy("o_custkey", F.to_date("o_orderdate").alias("period_start")) \
-        .agg(F.sum("o_totalprice").alias("price"))
+    One shuffle join on the customer key (the customer side grows with the
+    data, so it is not hinted; AQE may still broadcast it at run time and
+    splits a skewed customer's partition), then a partial + final aggregate to
+    (day, segment) and a per-day list bounded by the number of segments."""
+    o = orders.select("o_custkey", F.to_date("o_orderdate").alias("period_start"), "o_totalprice")
     c = customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("service"))
     by_service = o.join(c, "o_custkey").groupBy("period_start", "service") \
-        .agg((F.sum("price") / F.lit(1e6)).alias("amount"))
+        .agg((F.sum("o_totalprice") / F.lit(1e6)).alias("amount"))
     return by_service.groupBy("period_start").agg(
         F.sum("amount").alias("total"),
         F.array_sort(F.collect_list(F.struct("service", "amount"))).alias("groups"))

@@ -252,11 +252,12 @@ def q_metric_recent(spark, sf):
 
 
 def q_metric_dimensions(spark, sf):
-    return TS.metric_dimensions(points(spark, sf))
+    # per-file dimensions only: the folder roll-up would be filtered out
+    return TS.metric_dimensions(points(spark, sf, "file"))
 
 
 def q_latest_file_summary(spark, sf):
-    s = TS.latest_file_summary(points(spark, sf), P)
+    s = TS.latest_file_summary(points(spark, sf, "file"), P)
     return s.select("source_file", "total_anomalies", "data_quality_issues", "total_records",
                     "gold_records", _r("dq_score"))
 
