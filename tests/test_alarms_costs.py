@@ -81,8 +81,8 @@ RESP_SCHEMA = T.StructType([
 
 def _resp(spark):
     return spark.createDataFrame([
-        (dt.date(2024, 1, 1), 3.0, [("Glue", 2.5), ("S3", 0.5)]),
-        (dt.date(2024, 1, 2), None, [("Glue", 1.0), ("Lambda", 0.25)]),   # Total absent
+        (dt.date(2024, 1, 1), 3.0, [("Compute", 2.5), ("Storage", 0.5)]),
+        (dt.date(2024, 1, 2), None, [("Compute", 1.0), ("Functions", 0.25)]),   # Total absent
         (dt.date(2024, 1, 3), 1.0, []),                                    # no groups
         (dt.date(2024, 1, 4), 2.0, None),                                  # exactly the threshold
     ], RESP_SCHEMA)
@@ -91,15 +91,15 @@ def _resp(spark):
 def test_cost_rollup(spark):
     r = _resp(spark)
     by = sorted((x.period_start.day, x.service, x.amount) for x in CO.cost_by_service(r).collect())
-    assert by == [(1, "Glue", 2.5), (1, "S3", 0.5), (2, "Glue", 1.0), (2, "Lambda", 0.25)]
+    assert by == [(1, "Compute", 2.5), (1, "Storage", 0.5), (2, "Compute", 1.0), (2, "Functions", 0.25)]
     daily = {x.period_start.day: x for x in CO.cost_daily(r).collect()}
     assert daily[2].total_cost == 0.0 and daily[2].service_sum == 1.25
     assert daily[3].n_services == 0 and daily[4].service_sum == 0.0
     y = CO.cost_yesterday(r, dt.date(2024, 1, 3)).collect()
     assert [x.period_start.day for x in y] == [2]
     st = {x.period_start.day: x for x in CO.cost_status(r, DEFAULT).collect()}
-    assert st[1].status == "high" and st[1].service_breakdown == {"Glue": 2.5, "S3": 0.5}
-    assert st[1].breakdown_text == "Glue=2.50000000;S3=0.50000000"
+    assert st[1].status == "high" and st[1].service_breakdown == {"Compute": 2.5, "Storage": 0.5}
+    assert st[1].breakdown_text == "Compute=2.50000000;Storage=0.50000000"
     assert st[4].status == "normal" and st[4].service_breakdown is None  # strict >
     pts = CO.cost_metric_points(r, DEFAULT)
     assert pts.filter("metric_name = 'DailyCost'").count() == 4
