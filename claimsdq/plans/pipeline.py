@@ -3,13 +3,15 @@
 Plan at scale:
 
 1. The CSV is parsed once: the classified claims (rules are one narrow
-   projection) are written as Parquet under the shared checkpoint folder.  That
-   cuts lineage (a lost executor re-reads staged Parquet, not the CSV) and
-   lets the stats pass read three columns only.
+   projection) are written as Parquet under the shared checkpoint folder,
+   partitioned by the failed flag.  That cuts lineage (a lost executor
+   re-reads staged Parquet, not the CSV), lets the stats pass read three
+   columns of the clean partition only, and lets silver read only failures.
 2. Per-code stats: partial + final aggregate, checkpointed, row count checked,
    broadcast (``score_claims``).  Claims are never shuffled for the z-score.
-3. The tiered claims are persisted (memory and disk) for the three tier writes
-   and the metric aggregate; on loss they are recomputed from the staged table.
+3. The scored clean claims are persisted (memory and disk) for the gold and
+   quarantine writes and the metric aggregate; on loss they are recomputed
+   from the staged table.
 4. Sinks overwrite dynamically by ``source_file`` partitions, so rerunning a
    file or a whole prefix (H3) replaces its rows instead of appending twice,
    and a retried write task cannot leave duplicates.
@@ -46,27 +48,36 @@ def _overwrite(df: DataFrame, path: str, partition_by: list[str], fmt: str = "pa
      .partitionBy(*partition_by).format(fmt).save(path))
 
 
-def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> tuple[DataFrame, str]:
     """Write ``df`` to a fresh folder under the checkpoint dir and read it back."""
     spark = df.sparkSession
     path = staging_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), path
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    # read with the written schema so partition values keep their types
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def run_tiers(claims: DataFrame, out_root: str, params: DQParams = DEFAULT,
               mode: str = FIRST_MATCH, run_key: str = "claims/") -> BatchResult:
     """Classify, split and write the three tiers plus metrics for ``claims``
     (a DataFrame with the claim columns, ``source_file`` and
-    ``ingestion_timestamp``)."""
-    staged, staged_path = stage(with_issues(claims, params, mode), "classified")
-    tiered = score_claims(staged, params).persist(StorageLevel.MEMORY_AND_DISK)
+    ``ingestion_timestamp``).
+
+    The staged table is partitioned by ``has_dq_issues``: the stats pass and
+    the gold/quarantine side read only the clean partition, silver reads only
+    the failed one (partition pruning, no filter over the whole table), and
+    only the clean side is persisted for its two writes and the metrics."""
+    staged, staged_path = stage(with_issues(claims, params, mode), "classified", ("has_dq_issues",))
+    clean = staged.filter(~F.col("has_dq_issues"))
+    failed = staged.filter(F.col("has_dq_issues")).withColumn("tier", F.lit("silver"))
+    scored = score_claims(clean, params).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         out = out_root.rstrip("/")
-        _overwrite(gold_tier(tiered), f"{out}/gold", ["year", "month", "source_file"])
-        _overwrite(silver_tier(tiered), f"{out}/silver", ["source_file"])
-        _overwrite(quarantine_tier(tiered), f"{out}/quarantine", ["source_file"])
-        per_file = dq_metrics(tiered, ["source_file"]).persist(StorageLevel.MEMORY_AND_DISK)
+        _overwrite(gold_tier(scored), f"{out}/gold", ["year", "month", "source_file"])
+        _overwrite(silver_tier(failed), f"{out}/silver", ["source_file"])
+        _overwrite(quarantine_tier(scored), f"{out}/quarantine", ["source_file"])
+        tiers = scored.select("source_file", "tier").unionByName(failed.select("source_file", "tier"))
+        per_file = dq_metrics(tiers, ["source_file"]).persist(StorageLevel.MEMORY_AND_DISK)
         write_metrics(per_file, out, params, run_key)
         totals = per_file.agg(*[F.sum(c).alias(c) for c in
                                 ("total_records", "gold_records", "silver_records",
@@ -74,7 +85,7 @@ def run_tiers(claims: DataFrame, out_root: str, params: DQParams = DEFAULT,
         counts = {k: int(totals[k] or 0) for k in totals.asDict()}
         return BatchResult(per_file, counts, staged_path)
     finally:
-        tiered.unpersist()
+        scored.unpersist()
 
 
 def write_metrics(per_file: DataFrame, out: str, params: DQParams, run_key: str) -> None:
