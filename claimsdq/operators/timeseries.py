@@ -20,13 +20,14 @@ SERIES = ["namespace", "metric_name", "source_file"]
 
 def metric_range(points: DataFrame, namespace: str, metric_name: str, dimension: str | None,
                  hours: int, as_of_ts: dt.datetime) -> DataFrame:
-    """One metric (and dimension) over ``[as_of_ts - hours, as_of_ts)``."""
+    """T1 + O3: one metric (and dimension) over ``[as_of_ts - hours, as_of_ts)``,
+    in time order."""
     start = as_of_ts - dt.timedelta(hours=hours)
     cond = (F.col("namespace") == namespace) & (F.col("metric_name") == metric_name) \
         & (F.col("ts") >= ts_lit(start)) & (F.col("ts") < ts_lit(as_of_ts))
     if dimension is not None:
         cond = cond & (F.col("source_file") == dimension)
-    return points.filter(cond)
+    return points.filter(cond).orderBy("ts")
 
 
 def metric_buckets(points: DataFrame, period_seconds: int = 3600, series=SERIES) -> DataFrame:

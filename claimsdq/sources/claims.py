@@ -57,6 +57,31 @@ def read_claims_csv(spark: SparkSession, path: str | list[str], key_root: str |
     return df
 
 
+def conform_to_schema(df: DataFrame) -> DataFrame:
+    """Bring an untyped or loosely typed claims frame to the fixed schema.
+
+    Strings become dates or doubles with ``try_*`` casts, so a bad value turns
+    into NULL (as the checker's ``to_datetime(errors="coerce")`` does) instead
+    of failing the job under ANSI mode; other columns are cast to string."""
+    cols = []
+    for f in CLAIMS_SCHEMA.fields:
+        if f.name not in df.columns:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        c, have = F.col(f.name), df.schema[f.name].dataType
+        if have == f.dataType:
+            cols.append(c)
+        elif isinstance(f.dataType, T.DateType):
+            cols.append(F.try_to_date(c.cast("string")).alias(f.name) if not isinstance(have, T.TimestampType)
+                        else c.cast("date").alias(f.name))
+        elif isinstance(f.dataType, T.DoubleType):
+            cols.append(c.try_cast("double").alias(f.name))
+        else:
+            cols.append(c.cast("string").alias(f.name))
+    rest = [F.col(c) for c in df.columns if c not in CLAIM_COLUMNS]
+    return df.select(*cols, *rest)
+
+
 def object_key(file_path: Column, key_root: str | None) -> Column:
     """A file URI as an object key: scheme and authority dropped, ``key_root``
     (a folder or bucket URI) stripped, percent-escapes decoded."""

@@ -139,3 +139,26 @@ def test_file_stream_per_file_scope(spark, tmp):
     q = start_file_ingest(spark, f"{src}/claims", out, f"{tmp}/ckpt/w1", key_root=src)
     q.awaitTermination(120)
     assert spark.read.parquet(f"{out}/gold").count() == 77
+
+
+def test_conform_to_schema_coerces(spark):
+    from claimsdq.sources.claims import conform_to_schema
+    raw = spark.createDataFrame(
+        [("C1", "2024-06-01", "2024-06-05", "12.5", 1234567890),
+         ("C2", "not a date", "2024-06-05", "abc", None)],
+        "claim_id string, service_date string, submission_date string, claim_amount string, provider_npi long")
+    df = conform_to_schema(raw)
+    assert [f.dataType for f in df.schema.fields[:14]] == [f.dataType for f in CLAIMS_SCHEMA.fields]
+    rows = {r.claim_id: r for r in df.collect()}
+    assert rows["C1"].service_date == dt.date(2024, 6, 1) and rows["C1"].claim_amount == 12.5
+    assert rows["C1"].provider_npi == "1234567890"
+    assert rows["C2"].service_date is None and rows["C2"].claim_amount is None
+    assert rows["C2"].member_id is None
+
+
+def test_job_cli_batch(spark, tmp):
+    from claimsdq.plans.job import main
+    src = f"{tmp}/raw"
+    _make_files(src, n_files=1)
+    assert main(["batch", "--input", f"{src}/claims", "--output", f"{tmp}/out", "--key-root", src]) == 0
+    assert spark.read.parquet(f"{tmp}/out/silver").count() == 3
