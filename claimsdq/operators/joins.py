@@ -8,8 +8,14 @@ its lineage and makes it survive executor loss), counts the rows, and
 * broadcasts it when the count is within ``max_rows``: the big side is not
   shuffled at all, so a hot key (a third of all rows on one code) costs
   nothing extra;
-* otherwise joins without a hint: a shuffle join whose skewed partitions AQE
-  splits at run time (``spark.sql.adaptive.skewJoin.enabled``).
+* otherwise joins by shuffle, salted: every big row gets a salt in
+  ``[0, salt_buckets)`` from a hash of its own values (deterministic, so a
+  retried task sees the same salt), and the small side is replicated once per
+  salt.  A key holding a third of all rows is then spread over
+  ``salt_buckets`` tasks instead of one; AQE's skew-join split
+  (``spark.sql.adaptive.skewJoin.enabled``) handles what remains.  Each big
+  row still meets exactly one copy of its small row, so left, semi and anti
+  joins keep their meaning.
 """
 
 from __future__ import annotations
@@ -31,7 +37,7 @@ def materialize_small(small: DataFrame) -> tuple[DataFrame, int]:
 
 def guarded_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str,
                  max_rows: int, extra: Callable[[DataFrame], Column] | None = None,
-                 keep_small_keys: bool = False) -> DataFrame:
+                 keep_small_keys: bool = False, salt_buckets: int = 32) -> DataFrame:
     """Join ``big`` to ``small`` on equal ``keys``.
 
     ``extra(big)`` adds a condition on the big side (e.g. "row is clean"); the
@@ -47,9 +53,26 @@ def guarded_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
         cond = c if cond is None else cond & c
     if extra is not None:
         cond = cond & extra(big)
-    right = F.broadcast(renamed) if n <= max_rows else renamed
-    out = big.join(right, cond, how)
-    if how in ("left_semi", "left_anti", "semi", "anti", "leftsemi", "leftanti"):
+    semi = how in ("left_semi", "left_anti", "semi", "anti", "leftsemi", "leftanti")
+    if n <= max_rows:
+        out = big.join(F.broadcast(renamed), cond, how)
+    elif salt_buckets > 1:
+        salted = big.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]),
+                                                 F.lit(salt_buckets)))
+        reps = renamed.withColumn("__r_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        scond = None
+        for k in keys:
+            c = salted[k] == reps[f"__k_{k}"]
+            scond = c if scond is None else scond & c
+        scond = scond & (salted["__salt"] == reps["__r_salt"])
+        if extra is not None:
+            scond = scond & extra(salted)
+        out = salted.join(reps, scond, how).drop("__salt")
+        if not semi:
+            out = out.drop("__r_salt")
+    else:
+        out = big.join(renamed, cond, how)
+    if semi:
         return out
     if not keep_small_keys:
         out = out.drop(*[f"__k_{k}" for k in keys])

@@ -64,7 +64,7 @@ def test_broadcast_guard_both_paths(spark):
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
         plan_big = big._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in plan_big
+        assert "BroadcastHashJoin" not in plan_big and "xxhash64" in plan_big
         a = sorted((r.claim_id, r.tier) for r in small.select("claim_id", "tier").collect())
         b = sorted((r.claim_id, r.tier) for r in big.select("claim_id", "tier").collect())
         assert a == b
@@ -97,3 +97,35 @@ def test_per_file_scope(spark):
     t = score_claims(with_issues(both), per_file)
     q = {r.claim_id for r in t.filter(F.col("tier") == "quarantine").collect()}
     assert q == {"a10"}
+
+
+def test_salted_fallback_spreads_hot_key(spark):
+    """A code with a third of all rows: over the broadcast bound the join is
+    salted, so the hot code's rows land in many partitions, and the tiers
+    equal the broadcast plan's."""
+    rows = [claim(claim_id=f"h{i}", cpt_code="HOT", claim_amount=float(i % 7)) for i in range(300)]
+    rows += [claim(claim_id=f"c{i}", cpt_code=f"K{i % 60}", claim_amount=float(i % 5)) for i in range(600)]
+    rows += [claim(claim_id="spike", cpt_code="HOT", claim_amount=500.0)]
+    flagged = with_issues(claims_df(spark, rows))
+    a = score_claims(flagged, DEFAULT)
+    b = score_claims(flagged, DEFAULT.with_(broadcast_max_rows=0))
+    ta = sorted((r.claim_id, r.tier, round(r.z_score, 9)) for r in a.collect())
+    tb = sorted((r.claim_id, r.tier, round(r.z_score, 9)) for r in b.collect())
+    assert ta == tb and ("spike", "quarantine") in {(x[0], x[1]) for x in tb}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = (b.filter(F.col("cpt_code") == "HOT").select(F.spark_partition_id().alias("p"))
+                 .distinct().count())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert parts > 1
+
+
+def test_semi_anti_salted(spark):
+    from claimsdq.operators.remediation import quarantine_by_file, retain_by_file
+    df = claims_df(spark, [claim(claim_id=f"a{i}") for i in range(20)], "claims/a.csv").unionByName(
+        claims_df(spark, [claim(claim_id=f"b{i}") for i in range(5)], "claims/b.csv"))
+    flagged = spark.createDataFrame([("claims/a.csv",)], "source_file string")
+    for p in (DEFAULT, DEFAULT.with_(broadcast_max_rows=0)):
+        assert quarantine_by_file(df, flagged, p).count() == 20
+        assert retain_by_file(df, flagged, p).count() == 5
