@@ -46,9 +46,12 @@ def with_derived(counts: DataFrame) -> DataFrame:
             .withColumn("anomaly_rate", ratio_pct(F.col("total_anomalies"), F.col("total_records"))))
 
 
-def dq_metrics(tiered: DataFrame, by: list[str] | tuple[str, ...] = ()) -> DataFrame:
-    """M1-M3 (and M5's wide form when ``by`` is given): one row per group."""
-    counts = tiered.groupBy(*by).agg(*_tier_count_aggs()) if by else tiered.agg(*_tier_count_aggs())
+def dq_metrics(tiered: DataFrame, by: list[str] | tuple[str, ...] = (),
+               extra: list[Column] | tuple[Column, ...] = ()) -> DataFrame:
+    """M1-M3 (and M5's wide form when ``by`` is given): one row per group;
+    ``extra`` aggregates ride along in the same pass."""
+    aggs = _tier_count_aggs() + list(extra)
+    counts = tiered.groupBy(*by).agg(*aggs) if by else tiered.agg(*aggs)
     return with_derived(counts)
 
 

@@ -76,8 +76,13 @@ def run_tiers(claims: DataFrame, out_root: str, params: DQParams = DEFAULT,
         _overwrite(gold_tier(scored), f"{out}/gold", ["year", "month", "source_file"])
         _overwrite(silver_tier(failed), f"{out}/silver", ["source_file"])
         _overwrite(quarantine_tier(scored), f"{out}/quarantine", ["source_file"])
-        tiers = scored.select("source_file", "tier").unionByName(failed.select("source_file", "tier"))
-        per_file = dq_metrics(tiers, ["source_file"]).persist(StorageLevel.MEMORY_AND_DISK)
+        cols = ["source_file", "tier", "ingestion_timestamp"]
+        tiers = scored.select(*cols).unionByName(failed.select(*cols))
+        # each file's points are stamped with its ingestion time (the run's
+        # timestamp in batch, the file's arrival time in the stream)
+        per_file = dq_metrics(tiers, ["source_file"], [
+            F.max("ingestion_timestamp").cast("timestamp_ntz").alias("ts")]) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
         write_metrics(per_file, out, params, run_key)
         totals = per_file.agg(*[F.sum(c).alias(c) for c in
                                 ("total_records", "gold_records", "silver_records",
@@ -91,8 +96,8 @@ def run_tiers(claims: DataFrame, out_root: str, params: DQParams = DEFAULT,
 def write_metrics(per_file: DataFrame, out: str, params: DQParams, run_key: str) -> None:
     """K4 + K5: metric points (file and folder level) and metrics JSON, keyed
     by the run's input key so a rerun replaces them."""
-    file_pts = to_points(per_file, params.dq_namespace, ["source_file"])
-    folder_pts = to_points(rollup_by_folder(per_file, []), params.dq_namespace, ["source_file"])
+    file_pts = to_points(per_file, params.dq_namespace, ["source_file", "ts"])
+    folder_pts = to_points(rollup_by_folder(per_file, ["ts"]), params.dq_namespace, ["source_file", "ts"])
     pts = file_pts.unionByName(folder_pts).withColumn("run_key", F.lit(run_key))
     _overwrite(pts, f"{out}/metrics/points", ["run_key"])
     js = metrics_json(per_file).withColumn("run_key", F.lit(run_key))

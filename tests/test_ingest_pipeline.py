@@ -96,7 +96,8 @@ def test_batch_job_writes_tiers_and_is_idempotent(spark, tmp):
     first = counts()
     assert first == (108, 9, 3)
     # H3: reprocess the whole prefix; dynamic overwrite keeps counts unchanged.
-    run_csv_job(spark, f"{src}/claims", out, key_root=src, run_key="claims/")
+    run_csv_job(spark, f"{src}/claims", out, key_root=src, run_key="claims/",
+                run_ts=dt.datetime(2024, 2, 2))
     assert counts() == first
     # gold is partitioned by year, month, source_file and prunes on them
     g = spark.read.parquet(f"{out}/gold").filter("year = 2024 AND month = 6")
@@ -109,6 +110,13 @@ def test_batch_job_writes_tiers_and_is_idempotent(spark, tmp):
     assert "claims/" in dims and "claims/payer_claims_20240101.csv" in dims
     folder_total = pts.filter("source_file = 'claims/' AND metric_name = 'TotalRecords'").first().value
     assert folder_total == 120.0
+    # the rerun replaced the run's points, stamped with its own time
+    assert {r.ts for r in pts.select("ts").distinct().collect()} == {dt.datetime(2024, 2, 2)}
+    # the read side runs over the written table
+    from claimsdq.operators.timeseries import metric_latest
+    latest = {r.source_file: r.latest_value for r in
+              metric_latest(pts.filter("metric_name = 'GoldRecords'")).collect()}
+    assert latest["claims/"] == 108.0
     js = [json.loads(r.metrics_json) for r in spark.read.json(f"{out}/metrics/json").collect()]
     assert sorted(j["total_records"] for j in js) == [40, 40, 40]
     assert all(abs(j["data_quality_score"] + j["anomaly_rate"] - 100.0) < 1e-9 for j in js)
