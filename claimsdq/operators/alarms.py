@@ -30,10 +30,10 @@ _STATS = {
     "SampleCount": lambda c: F.count(c).cast("double"),
 }
 _CMP = {
-    "GreaterThanThreshold": (lambda v, t: v > t, "greater than"),
-    "GreaterThanOrEqualToThreshold": (lambda v, t: v >= t, "greater than or equal to"),
-    "LessThanThreshold": (lambda v, t: v < t, "less than"),
-    "LessThanOrEqualToThreshold": (lambda v, t: v <= t, "less than or equal to"),
+    "GreaterThanThreshold": lambda v, t: v > t,
+    "GreaterThanOrEqualToThreshold": lambda v, t: v >= t,
+    "LessThanThreshold": lambda v, t: v < t,
+    "LessThanOrEqualToThreshold": lambda v, t: v <= t,
 }
 
 
@@ -92,7 +92,7 @@ def period_values(points: DataFrame, d: AlarmDef, dim_col: str | None = "source_
         cond = cond & (F.col(dim_col) == d.dimension)
     p = points.filter(cond).withColumn("period_start", period_bucket(F.col("ts"), d.period_seconds))
     v = p.groupBy("period_start").agg(_STATS[d.statistic](F.col("value")).alias("value"))
-    cmp = _CMP[d.comparison][0]
+    cmp = _CMP[d.comparison]
     return v.select(F.lit(d.alarm_name).alias("alarm_name"), "period_start", "value",
                     F.coalesce(cmp(F.col("value"), F.lit(d.threshold)), F.lit(False)).alias("breaching"))
 

@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession
 from claimsdq.operators.validate import ALL_MATCH, FIRST_MATCH
 from claimsdq.params import DEFAULT
 from claimsdq.plans.pipeline import run_csv_job
-from claimsdq.session import checkpoint_dir
+from claimsdq.session import apply_unset, checkpoint_dir, cluster_conf
 
 
 def _params(a):
@@ -45,15 +45,19 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--max-amount", type=float, default=None)
     ap.add_argument("--checkpoint", default=None, help="stream checkpoint location")
     ap.add_argument("--max-files-per-trigger", type=int, default=None)
+    ap.add_argument("--input-bytes", type=int, default=0,
+                    help="expected input volume, sizes shuffle partitions")
     a = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("claimsdq").getOrCreate()
     checkpoint_dir(spark)
+    if a.input_bytes:
+        apply_unset(spark, cluster_conf(a.input_bytes))
     params = _params(a)
     if a.command == "batch":
         res = run_csv_job(spark, a.input, a.output, params, key_root=a.key_root,
                           run_ts=dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-                          run_key=a.run_key or a.input)
+                          run_key=a.run_key or a.input, mode=a.mode)
         print(json.dumps(res.counts))
         return 0
     from claimsdq.streaming.file_ingest import start_file_ingest

@@ -332,7 +332,7 @@ def oracle_sql() -> dict[str, str]:
                         "anomaly_rate := round(anomaly_rate, 4), source_file := source_file))::VARCHAR "
                         "AS metrics_json FROM file_metrics",
         "sample_failures": f"{BASE} SELECT claim_id, claim_amount, provider_npi, service_date, dq_issues "
-                           "FROM flagged WHERE dq_issues <> '' ORDER BY claim_id LIMIT 5",
+                           "FROM flagged_all WHERE dq_issues <> '' ORDER BY claim_id LIMIT 5",
         "union_failures": f"{BASE} SELECT claim_id, source_file, 'DQ_FAILURE' AS reason_type, dq_issues AS details "
                           "FROM tiered WHERE tier = 'silver' UNION ALL SELECT claim_id, source_file, "
                           "'STATISTICAL_OUTLIER', 'STATISTICAL_OUTLIER' FROM tiered WHERE tier = 'quarantine'",

@@ -20,7 +20,6 @@ Plan at scale:
 from __future__ import annotations
 
 import datetime as dt
-import json
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -106,18 +105,14 @@ def write_metrics(per_file: DataFrame, out: str, params: DQParams, run_key: str)
 
 def run_csv_job(spark: SparkSession, input_path: str, out_root: str, params: DQParams = DEFAULT,
                 key_root: str | None = None, run_ts: dt.datetime | None = None,
-                run_key: str | None = None) -> BatchResult:
+                run_key: str | None = None, mode: str = FIRST_MATCH) -> BatchResult:
     """The whole job for one file, a folder or a glob."""
     ts = F.lit(run_ts or dt.datetime(2024, 1, 1)).cast("timestamp")
     claims = read_claims_csv(spark, input_path, key_root=key_root, run_ts=ts)
-    return run_tiers(claims, out_root, params, run_key=run_key or input_path)
+    return run_tiers(claims, out_root, params, mode=mode, run_key=run_key or input_path)
 
 
 def log_remediation(spark: SparkSession, records: DataFrame, out_root: str) -> None:
     """K6: audit records as JSON, partitioned by action and run id; a rerun of
     the same run id replaces its own records."""
     _overwrite(records, f"{out_root.rstrip('/')}/remediation", ["action", "run_id"], fmt="json")
-
-
-def to_json_text(row: dict) -> str:
-    return json.dumps(row, sort_keys=True, default=str)

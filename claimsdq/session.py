@@ -37,6 +37,38 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(input_bytes: int) -> dict[str, str]:
+    """Settings for a large cluster, sized from the input volume.
+
+    * Scan splits of 512 MB: 100 TB of input is about 200k read tasks, and
+      each task's batch stays far below executor memory.
+    * Shuffles here are small (partial aggregates, a broadcast join, per-file
+      metrics); the one large shuffle is the salted join fallback.  Start at
+      about one partition per 2 GB of input and let AQE coalesce towards
+      256 MB partitions and split skewed ones.
+    * Dynamic partition overwrite makes every sink idempotent per file.
+    """
+    parts = max(200, min(50000, input_bytes // (2 << 30)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.parquet.compression.codec": "zstd",
+    }
+
+
+def apply_unset(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Set each key only where the submitted configuration does not name it."""
+    given = spark.sparkContext.getConf()
+    for k, v in conf.items():
+        if not given.contains(k):
+            spark.conf.set(k, v)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 

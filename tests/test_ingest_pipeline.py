@@ -170,3 +170,11 @@ def test_job_cli_batch(spark, tmp):
     _make_files(src, n_files=1)
     assert main(["batch", "--input", f"{src}/claims", "--output", f"{tmp}/out", "--key-root", src]) == 0
     assert spark.read.parquet(f"{tmp}/out/silver").count() == 3
+
+
+def test_cluster_conf_sizes():
+    from claimsdq.session import cluster_conf
+    small, big = cluster_conf(10 << 30), cluster_conf(100 << 40)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert big["spark.sql.shuffle.partitions"] == "50000"
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
