@@ -76,7 +76,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     master is local (tests, bench).  A cluster without the setting is an error:
     a machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's own checkpoint setting applies
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir()
     if current:
         return current

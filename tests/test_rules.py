@@ -157,3 +157,50 @@ def test_f1_issue_codes_all_seen(spark):
     f = with_issues(load_claims(spark, SF_SMALL))
     seen = {r.c for r in f.select(F.explode(issue_array(F.col("dq_issues"))).alias("c")).distinct().collect()}
     assert seen == set(ISSUE_CODES)
+
+
+def _py_all_match(r: dict) -> str:
+    """Plain-Python all-match rules (the local checker's semantics)."""
+    out = []
+    a = r["claim_amount"]
+    nan = isinstance(a, float) and math.isnan(a)
+    s, sub = r["service_date"], r["submission_date"]
+    import re
+    checks = [
+        ("MISSING_MEMBER_ID", r["member_id"] is None),
+        ("MISSING_NPI", r["provider_npi"] is None),
+        ("MISSING_CPT", r["cpt_code"] is None),
+        ("MISSING_DIAGNOSIS", r["icd10_code"] in (None, "")),
+        ("MISSING_AMOUNT", a is None or nan),
+        ("INVALID_NPI", r["provider_npi"] is None or not re.search(r"^[0-9]{10}$", r["provider_npi"])),
+        ("NEGATIVE_AMOUNT", a is not None and not nan and a < 0),
+        ("EXCESSIVE_AMOUNT", a is not None and not nan and a > 100000.0),
+        ("FUTURE_SERVICE_DATE", s is not None and s > AS_OF),
+        ("LATE_SUBMISSION", s is not None and sub is not None and (sub - s).days > 365),
+        ("SUBMISSION_BEFORE_SERVICE", s is not None and sub is not None and sub < s),
+        ("INVALID_STATUS", r["claim_status"] not in DEFAULT.valid_statuses),
+        ("INVALID_GENDER", r["patient_gender"] not in DEFAULT.valid_genders),
+    ]
+    return "".join(c + ";" for c, hit in checks if hit)
+
+
+def test_all_match_randomized(spark):
+    from conftest import VALID
+    rnd = random.Random(11)
+    pick = rnd.choice
+    rows, dicts = [], []
+    for i in range(400):
+        svc = pick([None, AS_OF, AS_OF + dt.timedelta(days=2), dt.date(2024, 3, 1)])
+        over = dict(
+            claim_id=f"A{i}", member_id=pick([None, "M1"]), provider_npi=pick([None, "123", "1234567890"]),
+            cpt_code=pick([None, "A"]), icd10_code=pick([None, "", "I10"]),
+            claim_amount=pick([None, -1.0, 0.0, 100000.5, float("nan")]), service_date=svc,
+            submission_date=None if svc is None else pick([None, svc - dt.timedelta(days=1),
+                                                           svc + dt.timedelta(days=400)]),
+            claim_status=pick([None, "PAID", "VOID"]), patient_gender=pick([None, "F", "Z"]),
+            patient_zip=pick([None, "1"]))
+        rows.append(claim(**over))
+        dicts.append({**VALID, **over})
+    got = {r.claim_id: r.dq_issues for r in with_issues(claims_df(spark, rows), DEFAULT, ALL_MATCH).collect()}
+    for d in dicts:
+        assert got[d["claim_id"]] == _py_all_match(d), d
