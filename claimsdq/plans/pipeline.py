@@ -37,7 +37,7 @@ from claimsdq.sources.claims import read_claims_csv
 
 @dataclass
 class BatchResult:
-    file_metrics: DataFrame      # wide metrics per source_file (persisted; one row per file)
+    file_metrics: DataFrame      # wide metrics per source_file (lazy, over the staged table)
     counts: dict                 # overall counts of this run
     staged_path: str
 
@@ -70,6 +70,7 @@ def run_tiers(claims: DataFrame, out_root: str, params: DQParams = DEFAULT,
     clean = staged.filter(~F.col("has_dq_issues"))
     failed = staged.filter(F.col("has_dq_issues")).withColumn("tier", F.lit("silver"))
     scored = score_claims(clean, params).persist(StorageLevel.MEMORY_AND_DISK)
+    per_file = None
     try:
         out = out_root.rstrip("/")
         _overwrite(gold_tier(scored), f"{out}/gold", ["year", "month", "source_file"])
@@ -87,8 +88,11 @@ def run_tiers(claims: DataFrame, out_root: str, params: DQParams = DEFAULT,
                                 ("total_records", "gold_records", "silver_records",
                                  "quarantine_records", "total_anomalies")]).first()
         counts = {k: int(totals[k] or 0) for k in totals.asDict()}
-        return BatchResult(per_file, counts, staged_path)
+        return BatchResult(per_file.unpersist(), counts, staged_path)
     finally:
+        # release the caches: a stream calls this once per micro-batch
+        if per_file is not None:
+            per_file.unpersist()
         scored.unpersist()
 
 
