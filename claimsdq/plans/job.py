@@ -20,7 +20,7 @@ from pyspark.sql import SparkSession
 
 from claimsdq.operators.validate import ALL_MATCH, FIRST_MATCH
 from claimsdq.params import DEFAULT
-from claimsdq.plans.pipeline import run_csv_job
+from claimsdq.plans.batch import run_csv_job
 from claimsdq.session import apply_unset, checkpoint_dir, cluster_conf
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from claimsdq.params import DEFAULT, DQParams
-from claimsdq.plans.pipeline import run_tiers
+from claimsdq.plans.batch import run_tiers
 from claimsdq.sources.claims import CLAIMS_SCHEMA, object_key
 
 

@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from claimsdq.plans.pipeline import log_remediation, run_csv_job
+from claimsdq.plans.batch import log_remediation, run_csv_job
 from claimsdq.sources.claims import CLAIMS_SCHEMA, read_claims_csv
 from claimsdq.streaming.file_ingest import start_file_ingest
 
