@@ -2,8 +2,9 @@
 
 The small side (per-code stats, a set of flagged files) is an aggregate of the
 big side, so its size follows the number of distinct keys, not a constant.
-``guarded_join`` checkpoints it to the shared checkpoint folder (which cuts
-its lineage and makes it survive executor loss), counts the rows, and
+``guarded_join`` writes it as a table under the shared checkpoint folder
+(which cuts its lineage and makes it survive executor loss), counts the rows,
+and
 
 * broadcasts it when the count is within ``max_rows``: the big side is not
   shuffled at all, so a hot key (a third of all rows on one code) costs
@@ -25,14 +26,18 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimsdq.session import checkpoint_dir
+from claimsdq.session import staging_path
 
 
 def materialize_small(small: DataFrame) -> tuple[DataFrame, int]:
-    """Checkpoint ``small`` (reliable, eager) and return it with its row count."""
-    checkpoint_dir(small.sparkSession)
-    small = small.checkpoint(eager=True)
-    return small, small.count()
+    """Write ``small`` as a Parquet table under the shared checkpoint folder
+    (one job computes and writes it; no recompute for a second checkpoint
+    pass), read it back and count it from the written files."""
+    spark = small.sparkSession
+    path = staging_path(spark, "small")
+    small.write.mode("overwrite").parquet(path)
+    written = spark.read.schema(small.schema).parquet(path)
+    return written, written.count()
 
 
 def guarded_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str,
