@@ -29,14 +29,20 @@ from pyspark.sql import functions as F
 from claimsdq.session import staging_path
 
 
+def write_small(df: DataFrame, name: str = "small") -> DataFrame:
+    """Write an aggregate-sized ``df`` once as a Parquet table under the shared
+    checkpoint folder and read it back: later plans that use it several times
+    (union branches, self joins) read the table instead of recomputing it."""
+    spark = df.sparkSession
+    path = staging_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def materialize_small(small: DataFrame) -> tuple[DataFrame, int]:
-    """Write ``small`` as a Parquet table under the shared checkpoint folder
-    (one job computes and writes it; no recompute for a second checkpoint
-    pass), read it back and count it from the written files."""
-    spark = small.sparkSession
-    path = staging_path(spark, "small")
-    small.write.mode("overwrite").parquet(path)
-    written = spark.read.schema(small.schema).parquet(path)
+    """Write ``small`` once (no recompute for a second checkpoint pass), read it
+    back and count it from the written files."""
+    written = write_small(small)
     return written, written.count()
 
 

@@ -80,9 +80,18 @@ def rollup_by_folder(wide: DataFrame, time_cols: list[str] = ("ts",)) -> DataFra
 
 
 def metric_points(tiered: DataFrame, params: DQParams = DEFAULT, level: str = "file",
-                  ts_col: str = "ts") -> DataFrame:
-    """Hourly metric points at file level, folder level or both (``all``)."""
+                  ts_col: str = "ts", materialize: bool = True) -> DataFrame:
+    """Hourly metric points at file level, folder level or both (``all``).
+
+    The hourly per-file metrics have one row per (file, hour), not per claim;
+    they are written once as a table so the file and folder branches (and
+    every alarm built on them) read it instead of each re-aggregating the
+    claims (Catalyst prunes the branches differently, so no exchange is
+    shared)."""
     wide = hourly_file_metrics(tiered, ts_col)
+    if materialize:
+        from claimsdq.operators.joins import write_small
+        wide = write_small(wide, "hourly_metrics")
     dims = ["source_file", "ts"]
     parts = []
     if level in ("file", "all"):

@@ -223,12 +223,15 @@ def q_sample_failures(spark, sf):
 
 
 def q_union_failures(spark, sf):
-    t = tiered(spark, sf)
-    s = silver_tier(t).select("claim_id", "source_file", F.lit("DQ_FAILURE").alias("reason_type"),
-                              F.col("dq_issues").alias("details"))
-    q = quarantine_tier(t).select("claim_id", "source_file", F.lit("STATISTICAL_OUTLIER").alias("reason_type"),
-                                  F.col("anomaly_type").alias("details"))
-    return s.unionByName(q)
+    """Rule failures and outliers in one review table.  Both come from the
+    same tiered claims, so one filtered pass replaces a union of two scans."""
+    t = tiered(spark, sf).filter(F.col("tier").isin("silver", "quarantine"))
+    silver = F.col("tier") == "silver"
+    return t.select("claim_id", "source_file",
+                    F.when(silver, F.lit("DQ_FAILURE")).otherwise(F.lit("STATISTICAL_OUTLIER"))
+                    .alias("reason_type"),
+                    F.when(silver, F.col("dq_issues")).otherwise(F.lit("STATISTICAL_OUTLIER"))
+                    .alias("details"))
 
 
 # ---------------------------------------------------------------- time series
