@@ -129,3 +129,14 @@ def test_semi_anti_salted(spark):
     for p in (DEFAULT, DEFAULT.with_(broadcast_max_rows=0)):
         assert quarantine_by_file(df, flagged, p).count() == 20
         assert retain_by_file(df, flagged, p).count() == 5
+
+
+def test_anomaly_details_exact_form(spark):
+    rows = [claim(claim_id=f"e{i}", cpt_code="ELEVEN", claim_amount=10.0) for i in range(10)]
+    rows += [claim(claim_id="e10", cpt_code="ELEVEN", claim_amount=1000.0)]
+    t = classify(claims_df(spark, rows))
+    q = quarantine_tier(t).first()
+    assert q.claim_id == "e10"
+    assert q.anomaly_details == f"Z-score: {q.z_score!r} | Avg: 100.0 | StdDev: {q.stddev_amount!r}"
+    r = quarantine_tier(t, details_digits=4).first()
+    assert r.anomaly_details == "Z-score: 3.0151 | Avg: 100.0 | StdDev: 298.4962"
