@@ -185,3 +185,20 @@ def test_bucket_alignment(spark, seconds):
     for r in b:
         epoch = (r.period_start - dt.datetime(1970, 1, 1)).total_seconds()
         assert epoch % seconds == 0
+
+
+@pytest.mark.parametrize("seed,n", [(1, 1), (2, 2), (3, 3), (4, 2)])
+def test_alarm_votes_match_brute_force(spark, seed, n):
+    import random
+    rnd = random.Random(seed)
+    hours = [h for h in range(72) if rnd.random() > 0.15]           # some hours missing
+    vals = [(h, rnd.choice([50.0, 90.0, 95.0])) for h in hours]      # < 85 breaches
+    d = AL.AlarmDef("a", NS, "S", "claims/", "Average", "LessThanThreshold", 85.0, n, 3600, None, None)
+    al = AL.alarm_periods(_pts(spark, "S", vals), d)
+    got = sorted(r.period_start.hour + 24 * (r.period_start.day - 1) for r in al.collect())
+    breach = {h for h, v in vals if v < 85.0}
+    want = sorted(h for h in breach if all(h - k in breach for k in range(n)))
+    assert got == want
+    tr = sorted(r.period_start.hour + 24 * (r.period_start.day - 1)
+                for r in AL.alarm_transitions(al).collect())
+    assert tr == [h for h in want if h - 1 not in set(want)]
