@@ -343,6 +343,17 @@ def oracle_sql() -> dict[str, str]:
                          "round(avg(value), 6) AS average, round(sum(value), 6) AS sum, round(max(value), 6) AS "
                          "maximum, round(min(value), 6) AS minimum, count(*) AS sample_count FROM points "
                          "GROUP BY 1, 2, 3, 4",
+        "metric_daily": f"{PBASE} SELECT namespace, metric_name, source_file, date_trunc('day', ts) AS period_start, "
+                        "round(avg(value), 6) AS average, round(sum(value), 6) AS sum, round(max(value), 6) AS "
+                        "maximum, round(min(value), 6) AS minimum, count(*) AS sample_count FROM points "
+                        "GROUP BY 1, 2, 3, 4",
+        "tiers_per_file_run": f"WITH {CLAIMS},\n{FLAGGED},\n" + TIERED.replace(
+            "SELECT cpt_code, avg", "SELECT source_file, cpt_code, avg").replace(
+            "GROUP BY cpt_code", "GROUP BY source_file, cpt_code").replace(
+            "ON f.cpt_code = s.cpt_code", "ON f.source_file = s.source_file AND f.cpt_code = s.cpt_code")
+            + f" SELECT source_file, total_records, gold_records, silver_records, quarantine_records, "
+              "total_anomalies, round(data_quality_score, 6) AS data_quality_score, "
+              f"round(anomaly_rate, 6) AS anomaly_rate FROM ({_derive(_counts('source_file', 'source_file'))})",
         "metric_latest": f"{PBASE} SELECT namespace, metric_name, source_file, max(ts) AS latest_ts, "
                          "round(arg_max(value, ts), 6) AS latest_value FROM points GROUP BY 1, 2, 3",
         "metric_recent": f"{PBASE} SELECT * FROM (SELECT namespace, metric_name, source_file, ts, "

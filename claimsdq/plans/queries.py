@@ -172,6 +172,15 @@ def q_tier_counts(spark, sf):
     return tier_counts(tiered(spark, sf))
 
 
+def q_tiers_per_file_run(spark, sf):
+    """Tier counts when every file is its own run (one run per arriving file,
+    as the stream does): z-score stats keyed by (source_file, cpt_code)."""
+    per_file = P.with_(stats_keys=("source_file", "cpt_code"))
+    t = score_claims(flagged(spark, sf), per_file)
+    return ME.dq_metrics(t, ["source_file"]).select(
+        "source_file", *_WIDE, _r("data_quality_score"), _r("anomaly_rate"))
+
+
 # ---------------------------------------------------------------- metrics
 
 _WIDE = ["total_records", "gold_records", "silver_records", "quarantine_records", "total_anomalies"]
@@ -247,6 +256,12 @@ def q_metric_hourly(spark, sf):
                     "sample_count")
 
 
+def q_metric_daily(spark, sf):
+    b = TS.metric_buckets(points(spark, sf), 86400)
+    return b.select(*TS.SERIES, "period_start", _r("average"), _r("sum"), _r("maximum"), _r("minimum"),
+                    "sample_count")
+
+
 def q_metric_latest(spark, sf):
     return TS.metric_latest(points(spark, sf)).select(*TS.SERIES, "latest_ts", _r("latest_value"))
 
@@ -416,6 +431,7 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "silver_tier": q_silver_tier,
         "quarantine_tier": q_quarantine_tier,
         "tier_counts": q_tier_counts,
+        "tiers_per_file_run": q_tiers_per_file_run,
         "dq_metrics": q_dq_metrics,
         "dq_metrics_clean_based": q_dq_metrics_clean_based,
         "metric_points_by_file": q_metric_points_by_file,
@@ -428,6 +444,7 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "union_failures": q_union_failures,
         "metric_range": q_metric_range,
         "metric_hourly": q_metric_hourly,
+        "metric_daily": q_metric_daily,
         "metric_latest": q_metric_latest,
         "metric_recent": q_metric_recent,
         "metric_dimensions": q_metric_dimensions,

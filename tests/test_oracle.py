@@ -13,7 +13,7 @@ KEYS = sorted(E.queries())
 def test_contract_keys():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 60
+    assert len(q) >= 63
     missing = set(q) - set(o)
     assert not missing, missing
 
