@@ -6,11 +6,14 @@ op3 (hypergeometric draws), op4 (hash scores), op6, op7 and op10.
 
 from __future__ import annotations
 
-OP2 = """
+from claimsdq.llm.licenses import COPYRIGHT_LINE, KNOWN, PLAIN, PUNCTUATION, SPELLINGS, TYPOGRAPHIC
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+OP2 = f"""
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
-FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                               'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+FROM (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents)
 WINDOW same AS (PARTITION BY t)
 """
 
@@ -40,5 +43,80 @@ FROM judged
 """
 
 
+def _quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _canonical(col: str) -> str:
+    t = f"translate({col}, '{UPPER}', '{LOWER}')"
+    t = f"translate({t}, {_quoted(TYPOGRAPHIC)}, {_quoted(PLAIN)})"
+    t = f"regexp_replace({t}, {_quoted(COPYRIGHT_LINE)}, ' ', 'g')"
+    t = f"trim(regexp_replace({t}, {_quoted(PUNCTUATION)}, ' ', 'g'))"
+    t = f"replace({t}, 'all rights reserved', '')"
+    for old, new in SPELLINGS:
+        t = f"replace({t}, '{old}', '{new}')"
+    return f"trim(regexp_replace({t}, ' +', ' ', 'g'))"
+
+
+OP5 = f"""
+WITH known AS (
+  SELECT sha256(form) AS known_digest, min(license) AS license
+  FROM (SELECT license, {_canonical("known_text")} AS form
+        FROM (VALUES {", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in KNOWN)}) AS k(license, known_text))
+  GROUP BY 1),
+docs AS (SELECT DISTINCT doc_id, coalesce(text, '') AS t FROM documents),
+units AS (
+  SELECT doc_id, t, unnest(list_concat([t], string_split(t, chr(10)))) AS unit,
+         generate_subscripts(list_concat([t], string_split(t, chr(10))), 1) AS spot
+  FROM docs),
+digests AS (SELECT doc_id, t, spot, {_canonical("unit")} AS form FROM units),
+found AS (
+  SELECT doc_id, t, spot, sha256(form) AS digest, license
+  FROM digests LEFT JOIN known ON sha256(form) = known_digest AND form <> '')
+SELECT doc_id, max(digest) FILTER (spot = 1) AS text_digest, max(license) FILTER (spot = 1) AS text_license,
+       coalesce(string_agg(DISTINCT license, ',' ORDER BY license), '') AS licenses,
+       count(license) FILTER (spot > 1) AS n_license_lines
+FROM found GROUP BY doc_id, t
+"""
+
+_TURN = "'<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10)"
+
+
+def _text(turns: str) -> str:
+    return f"coalesce(array_to_string(list_transform({turns}, lambda t: {_TURN}), ''), '')"
+
+
+def _loss(d: str) -> str:
+    before = f"coalesce(list_sum(list_transform({d}[1:i - 1], lambda t: length({_TURN}))), 0)"
+    own = _TURN.replace("t.", f"{d}[i].")
+    return (f"coalesce(array_to_string(list_transform(list_filter(range(1, len({d}) + 1), "
+            f"lambda i: {d}[i].role = 'assistant'), lambda i: "
+            f"({before} + 12 + length({d}[i].role) + 1)::BIGINT || ':' || ({before} + length({own}))::BIGINT), ','), '')")
+
+
+OP8 = f"""
+WITH conv AS (
+  SELECT conv_id, list({{'turn': turn, 'role': r, 'text': x}} ORDER BY turn NULLS FIRST, r, x) AS c
+  FROM (SELECT conv_id, turn::BIGINT AS turn, coalesce(role, 'unknown') AS r, coalesce(text, '') AS x FROM conversations)
+  GROUP BY conv_id),
+own AS (
+  SELECT conv_id, c, list_max(list_filter(range(1, len(c) + 1), lambda i: c[i].role = 'assistant')) AS spot FROM conv),
+mates AS (
+  SELECT a.conv_id, a.c, a.spot, b.c[b.spot].text AS other FROM own a LEFT JOIN own b ON b.conv_id = xor(a.conv_id, 1)),
+pairs AS (
+  SELECT conv_id, c, CASE WHEN spot IS NULL THEN c WHEN other IS NULL THEN c[1:spot - 1]
+    ELSE list_append(c[1:spot - 1], {{'turn': c[spot].turn, 'role': 'assistant', 'text': other}}) END AS r
+  FROM mates),
+cut AS (
+  SELECT *, coalesce(list_min(list_filter(range(1, least(len(c), len(r)) + 1),
+           lambda i: c[i].role <> r[i].role OR c[i].text <> r[i].text)) - 1, least(len(c), len(r))) AS n FROM pairs),
+sides AS (SELECT conv_id, n, c[1:n] AS same, c[n + 1:len(c)] AS a, r[n + 1:len(r)] AS b FROM cut),
+done AS (
+  SELECT conv_id AS pair_id, n AS prompt_turns, {_text("same")} AS prompt, {_text("a")} AS chosen,
+         {_text("b")} AS rejected, {_loss("a")} AS chosen_loss, {_loss("b")} AS rejected_loss FROM sides)
+SELECT *, chosen_loss <> '' AND rejected_loss <> '' AS usable FROM done
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2, "op9_quality_rules": OP9}
+    return {"op2_exact_dedup": OP2, "op5_license_scan": OP5, "op8_preferences": OP8, "op9_quality_rules": OP9}

@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from claimsdq.llm import bpe, exact_dedup, mixing, quality, shard, simhash
+from claimsdq.llm import (bpe, chat, exact_dedup, licenses, mixing, pii, quality, shard, simhash,
+                          suffix_dedup)
 from claimsdq.llm.common import documents
 
 SHARDS = 40
@@ -31,6 +33,29 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.shard_records(documents(spark, sf_dir), [1.0] * SHARDS)
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(documents(spark, sf_dir))
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir), length=100)
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(documents(spark, sf_dir))
+
+
+def op8_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation against itself with its last answer swapped; loss
+    spans as text (start:end, comma-joined)."""
+    convs = chat.conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    pairs = chat.format_preferences(chat.pairs_by_last_answer(convs))
+    for c in ("chosen_loss", "rejected_loss"):
+        pairs = pairs.withColumn(c, F.array_join(F.transform(
+            c, lambda s: F.concat_ws(":", s["start"], s["end"])), ","))
+    return pairs
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(documents(spark, sf_dir))
 
@@ -40,5 +65,6 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_exact_dedup, op3_mixing, op4_sharding,
-                                    op9_quality_rules, op10_bpe)}
+    return {f.__name__: f for f in (
+        op1_simhash, op2_exact_dedup, op3_mixing, op4_sharding, op5_license_scan, op6_suffix_dedup,
+        op7_pii, op8_preferences, op9_quality_rules, op10_bpe)}
