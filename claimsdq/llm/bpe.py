@@ -45,6 +45,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
+from claimsdq.llm.common import map_batches
+
 CACHE_WORDS = 200_000
 CACHE_PAIRS = 500_000
 #: Stands for the word-end suffix inside the automaton; no byte-level symbol.
@@ -224,7 +226,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                     [part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([bpe.decode(i.tolist()) for i in ids])],
                     names=["doc_id", "ids", "decoded"])
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
+    return map_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, ids array<int>, decoded string")
 
 
 def encode_digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
@@ -245,4 +247,4 @@ def encode_digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFr
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
     schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return docs.select("doc_id", "text").mapInArrow(run, schema + ", ids array<int>" * with_ids)
+    return map_batches(docs.select("doc_id", "text"), run, schema + ", ids array<int>" * with_ids)

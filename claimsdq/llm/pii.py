@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from claimsdq.llm.common import map_batches
 from claimsdq.llm.tagger import PAD, Tagger, char_classes
 
 KINDS = ("email", "ip", "card", "phone")
@@ -190,7 +191,7 @@ def labelled_windows(docs: DataFrame, n: int) -> list[tuple[str, list[Span]]]:
                     rows.append((text[start:start + WIDTH], ",".join(f"{k}:{a}:{z}" for k, a, z in inside), text, start))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()),
                                               pa.array([r[1] for r in rows], pa.string())], names=["w", "s"])
-    found = docs.select("text").mapInArrow(run, "w string, s string").limit(n).collect()
+    found = map_batches(docs.select("text"), run, "w string, s string").limit(n).collect()
     return [(r["w"], [tuple(map(int, x.split(":"))) for x in r["s"].split(",") if x]) for r in found]
 
 
@@ -319,5 +320,6 @@ def scan(docs: DataFrame, tagger: Tagger | None = None, **training) -> DataFrame
                      pa.array([shown(every) for _, every in found], pa.string())], names=names)
     names = ["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans"]
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string")
+    counted = ", ".join(f"n_{k} long" for k in KINDS)
+    return map_batches(docs.select("doc_id", "text"), run,
+                       f"doc_id {kind}, {counted}, base_sha256 string, spans string")

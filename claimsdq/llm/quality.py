@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimsdq.llm.common import map_batches
+
 # \x1c-\x1f and other blanks of str.split are no separators here
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SYMBOL = re.compile(r"[#*$%&|<>]")
@@ -125,7 +127,8 @@ def measure_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows:
                  pa.array(seconds, pa.float64()), pa.array(hits, pa.int64())],
                 names=["rule", "n", "seconds", "hits"])
 
-    lines = docs.select("text").limit(sample_rows).mapInArrow(run, "rule string, n long, seconds double, hits long") \
+    lines = map_batches(docs.select("text").limit(sample_rows), run,
+                        "rule string, n long, seconds double, hits long") \
         .groupBy("rule").agg(F.sum("n").alias("n"), F.sum("seconds").alias("s"), F.sum("hits").alias("h")).collect()
     found = {r["rule"]: RuleCost(r["rule"], r["s"] / max(1, r["n"]), r["h"] / max(1, r["n"])) for r in lines}
     return [found.get(r.name, RuleCost(r.name, 0.0, 0.0)) for r in rules]
@@ -166,8 +169,9 @@ def assess(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int =
                 names=["doc_id", *FIGURES, "base_failed", "kept"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, " + ", ".join(f"{f} bigint" for f in FIGURES) + ", base_failed boolean, kept boolean")
+    figures = ", ".join(f"{f} bigint" for f in FIGURES)
+    return map_batches(docs.select("doc_id", "text"), run,
+                       f"doc_id {kind}, {figures}, base_failed boolean, kept boolean")
 
 
 def keep_clean(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 200) -> DataFrame:
@@ -181,4 +185,4 @@ def keep_clean(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: in
             stays = [first_rejection(Measures(t.as_py()), cascade) is None for t in b.column(at)]
             yield b.filter(pa.array(stays, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimsdq.llm.common import lookup_hot_safe, staged
+from claimsdq.llm.common import lookup_hot_safe, map_batches, staged
 from claimsdq.llm.components import connected_components
 
 BITS = 64
@@ -79,7 +79,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
             fp = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp bigint")
+    return map_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, fp bigint")
 
 
 def _bit_mask(segment: int, segments: int) -> int:

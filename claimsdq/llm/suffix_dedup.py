@@ -51,7 +51,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimsdq.llm.common import staged
+from claimsdq.llm.common import map_batches, staged
 
 GRAM = 32
 _LOWEST = -(1 << 63)
@@ -275,7 +275,7 @@ def _segment_rows(base: DataFrame, length: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(anchor), pa.array(digest), pa.array(np.full(len(anchor), doc, np.int64)),
                          pa.array(packed)], names=["anchor", "digest", "doc", "packed"])
-    return base.select("doc", "data").mapInArrow(run, "anchor long, digest long, doc long, packed long")
+    return map_batches(base.select("doc", "data"), run, "anchor long, digest long, doc long, packed long")
 
 
 def _collection_rows(strings: DataFrame, length: int) -> DataFrame:
@@ -292,7 +292,7 @@ def _collection_rows(strings: DataFrame, length: int) -> DataFrame:
                 d, w = repeated_windows(texts, np.concatenate(docs), np.concatenate(starts), length, folder)
             doc, lo, hi = _intervals(d, w, length)
             yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(lo), pa.array(hi)], names=["doc", "lo", "hi"])
-    return strings.select("doc", "start", "bytes").mapInArrow(run, "doc long, lo long, hi long")
+    return map_batches(strings.select("doc", "start", "bytes"), run, "doc long, lo long, hi long")
 
 
 def _window_rows(strings: DataFrame, length: int) -> DataFrame:
@@ -310,7 +310,7 @@ def _window_rows(strings: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*cols, pa.array(np.full(n, doc, np.int64)), pa.array(start + np.arange(n))],
                     names=["h1", "h2", "doc", "start"])
-    return strings.select("doc", "start", "bytes").mapInArrow(run, "h1 long, h2 long, doc long, start long")
+    return map_batches(strings.select("doc", "start", "bytes"), run, "h1 long, h2 long, doc long, start long")
 
 
 def _later_than_first(places: DataFrame, firsts: DataFrame, keys: list[str]) -> DataFrame:
@@ -338,8 +338,8 @@ def _finished(rows: DataFrame, kind: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *[pa.array(c, pa.int64()) for c in n[:3]], pa.array(n[3], pa.string())],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-    return rows.select("doc_id", "data", "cover").mapInArrow(
-        run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return map_batches(rows.select("doc_id", "data", "cover"), run,
+                       f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def repeated_intervals(base: DataFrame, length: int, crowd: int, collection_mb: int) -> DataFrame:
