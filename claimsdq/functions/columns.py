@@ -22,6 +22,12 @@ def ts_lit(value) -> Column:
     return F.lit(value.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
 
 
+def utc_ntz(ts: Column) -> Column:
+    """An instant as its UTC wall clock (whole seconds), whatever the session zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("SECOND", F.unix_seconds(ts), epoch)
+
+
 def hour_bucket(ts: Column) -> Column:
     """Hour start of a TIMESTAMP_NTZ value, kept TIMESTAMP_NTZ (``date_trunc``
     yields a session-zone timestamp; the cast back keeps the wall clock)."""

@@ -45,7 +45,7 @@ def _npi_valid(p: DQParams) -> Column:
 
 
 def _future(p: DQParams) -> Column:
-    return _c("service_date") > F.date_add(F.lit(p.as_of), p.future_date_tolerance_days)
+    return _c("service_date") > F.date_add(F.lit(p.need("as_of")), p.future_date_tolerance_days)
 
 
 def _late(p: DQParams) -> Column:

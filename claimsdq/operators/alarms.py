@@ -9,9 +9,9 @@ spine: every breaching period ``b`` votes for ``b, b+1, .., b+N-1`` (an
 ``explode`` of N offsets) and t is in ALARM when it gets N votes.  A missing
 period casts no vote, which is exactly "missing counts as not breaching", and
 the work is keyed by (alarm, period), so no series has to sit in one task.
-State changes to ALARM are found the same way: each ALARM period marks itself
-and its successor, and a period marked only by itself starts an ALARM run.
-Both read their input once (no self join, so the points are not recomputed).
+State changes to ALARM come from the same votes: those for the N periods before
+t tell whether t - 1 was in ALARM too.  All alarms are evaluated together, in
+one pass over the points (no self join, no union of one plan per alarm).
 """
 
 from __future__ import annotations
@@ -22,18 +22,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimsdq.functions.columns import period_bucket
 from claimsdq.params import DEFAULT, DQParams
 
-_STATS = {
-    "Sum": F.sum, "Average": F.avg, "Maximum": F.max, "Minimum": F.min,
-    "SampleCount": lambda c: F.count(c).cast("double"),
-}
-_CMP = {
-    "GreaterThanThreshold": lambda v, t: v > t,
-    "GreaterThanOrEqualToThreshold": lambda v, t: v >= t,
-    "LessThanThreshold": lambda v, t: v < t,
-    "LessThanOrEqualToThreshold": lambda v, t: v <= t,
+_WORDS = {
+    "GreaterThanThreshold": "greater than", "GreaterThanOrEqualToThreshold": "greater than or equal to",
+    "LessThanThreshold": "less than", "LessThanOrEqualToThreshold": "less than or equal to",
 }
 
 
@@ -55,13 +48,13 @@ class AlarmDef:
 def alarm_defs(params: DQParams = DEFAULT) -> list[AlarmDef]:
     """The three alarm definitions (fixed values: metric, statistic,
     comparison, periods, period, event type and action).  The anomaly and
-    score alarms watch the folder-level series ``claims/``."""
+    score alarms watch the folder-level series ``params.folder``."""
     p = params
     return [
-        AlarmDef(f"{p.project}-anomaly-spike", p.dq_namespace, "AnomalyCount", "claims/", "Sum",
+        AlarmDef(f"{p.project}-anomaly-spike", p.dq_namespace, "AnomalyCount", p.folder, "Sum",
                  "GreaterThanThreshold", p.anomaly_threshold, 1, p.period_seconds,
                  "anomaly_spike", "handle_anomaly_spike"),
-        AlarmDef(f"{p.project}-dq-score-low", p.dq_namespace, "DataQualityScore", "claims/", "Average",
+        AlarmDef(f"{p.project}-dq-score-low", p.dq_namespace, "DataQualityScore", p.folder, "Average",
                  "LessThanThreshold", p.score_threshold, p.score_periods, p.period_seconds, None, None),
         AlarmDef(f"{p.project}-daily-cost-spike", p.cost_namespace, "DailyCost", None, "Maximum",
                  "GreaterThanThreshold", p.cost_threshold, 1, p.period_seconds, "cost_spike",
@@ -79,79 +72,83 @@ ALARM_SCHEMA = T.StructType([
 ])
 
 
-def alarm_definitions(spark: SparkSession, params: DQParams = DEFAULT) -> DataFrame:
+def alarm_definitions(spark: SparkSession, params: DQParams = DEFAULT,
+                      defs: list[AlarmDef] | None = None) -> DataFrame:
     """Definitions as a (configuration-sized) DataFrame for joins."""
-    rows = [tuple(d.__dict__.values()) for d in alarm_defs(params)]
+    rows = [tuple(d.__dict__.values()) for d in (alarm_defs(params) if defs is None else defs)]
     return spark.createDataFrame(rows, ALARM_SCHEMA)
 
 
-def period_values(points: DataFrame, d: AlarmDef, dim_col: str | None = "source_file") -> DataFrame:
-    """The alarm's statistic per period, with the breach flag."""
-    cond = (F.col("namespace") == d.namespace) & (F.col("metric_name") == d.metric_name)
-    if d.dimension is not None and dim_col:
-        cond = cond & (F.col(dim_col) == d.dimension)
-    p = points.filter(cond).withColumn("period_start", period_bucket(F.col("ts"), d.period_seconds))
-    v = p.groupBy("period_start").agg(_STATS[d.statistic](F.col("value")).alias("value"))
-    cmp = _CMP[d.comparison]
-    return v.select(F.lit(d.alarm_name).alias("alarm_name"), "period_start", "value",
-                    F.coalesce(cmp(F.col("value"), F.lit(d.threshold)), F.lit(False)).alias("breaching"))
-
-
-def _shift(ts: Column, periods: Column | int, seconds: int) -> Column:
-    n = periods if isinstance(periods, Column) else F.lit(periods)
-    return F.timestamp_add("SECOND", n * seconds, ts)
-
-
-def alarm_periods(points: DataFrame, d: AlarmDef, dim_col: str | None = "source_file") -> DataFrame:
-    """L1-L4: the periods in ALARM, with the period's own statistic.
-
-    One pass over the period values: each breaching period ``b`` emits a vote
-    for ``b + k`` (k = 0..N-1) carrying its value when k = 0; a period with N
-    votes is in ALARM (its own k = 0 vote gives the value)."""
-    br = period_values(points, d, dim_col).filter("breaching")
-    n = max(1, d.periods)
-    votes = br.select("alarm_name", "period_start", "value",
-                      F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("k"))
-    votes = votes.select(
-        "alarm_name",
-        _shift(F.col("period_start"), F.col("k"), d.period_seconds).alias("period_start"),
-        F.when(F.col("k") == 0, F.col("value")).alias("value"))
-    full = votes.groupBy("alarm_name", "period_start").agg(
-        F.count(F.lit(1)).alias("n"), F.max("value").alias("value"))
-    return full.filter(F.col("n") == n).select("alarm_name", "period_start", "value",
-                                               F.lit("ALARM").alias("state"))
-
-
-def alarm_transitions(alarms: DataFrame, period_seconds: int = 3600) -> DataFrame:
-    """ALARM periods whose previous period was not in ALARM.
-
-    One pass: each ALARM period t marks itself and marks t + 1 period as
-    "previous was ALARM"; a period marked only by itself is a state change."""
-    marks = alarms.select(
-        "alarm_name", "value", "state",
-        F.explode(F.array(
-            F.struct(F.col("period_start").alias("p"), F.lit(True).alias("own")),
-            F.struct(_shift(F.col("period_start"), 1, period_seconds).alias("p"),
-                     F.lit(False).alias("own")))).alias("m"))
-    g = marks.groupBy("alarm_name", F.col("m.p").alias("period_start")).agg(
-        F.max(F.col("m.own").cast("int")).alias("own"),
-        F.min(F.col("m.own").cast("int")).alias("all_own"),
-        F.max(F.when(F.col("m.own"), F.col("value"))).alias("value"),
-        F.max(F.when(F.col("m.own"), F.col("state"))).alias("state"))
-    return g.filter((F.col("own") == 1) & (F.col("all_own") == 1)) \
-        .select("alarm_name", "period_start", "value", "state")
-
-
-def alarm_events(transitions: DataFrame, definitions: DataFrame) -> DataFrame:
-    """State-change events shaped for the orchestrator, only for alarms
-    that have an event target (a definition with an action).  The definitions
-    are configuration (a handful of rows), so they are broadcast."""
-    d = definitions.filter(F.col("action").isNotNull())
-    j = transitions.join(F.broadcast(d), "alarm_name", "inner")
-    words = F.when(F.col("comparison") == "GreaterThanThreshold", F.lit("greater than")) \
-        .when(F.col("comparison") == "LessThanThreshold", F.lit("less than")) \
-        .when(F.col("comparison") == "GreaterThanOrEqualToThreshold", F.lit("greater than or equal to")) \
-        .otherwise(F.lit("less than or equal to"))
+def _period_start(ts: Column, seconds: Column) -> Column:
+    """Start of the period of ``seconds`` that holds ``ts`` (epoch aligned)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    whole = F.timestamp_diff("SECOND", epoch, ts)
+    return F.timestamp_add("SECOND", whole - F.pmod(whole, seconds.cast("long")), epoch)
+
+
+def period_values(points: DataFrame, definitions: DataFrame) -> DataFrame:
+    """Per alarm and period: the alarm's statistic and whether it breaches.
+
+    One pass serves every alarm: the definitions (a few rows of configuration)
+    are broadcast to the points, all five statistics come from one aggregate
+    and each alarm takes its own."""
+    d = definitions.select(*[F.col(c).alias(f"d_{c}") for c in definitions.columns])
+    mine = (F.col("namespace") == F.col("d_namespace")) & (F.col("metric_name") == F.col("d_metric_name")) \
+        & (F.col("d_dimension").isNull() | (F.col("source_file") == F.col("d_dimension")))
+    p = points.join(F.broadcast(d), mine)
+    keys = ["alarm_name", "statistic", "comparison", "threshold", "periods", "period_seconds", "event_type", "action"]
+    v = p.groupBy(*[F.col(f"d_{k}").alias(k) for k in keys],
+                  _period_start(F.col("ts"), F.col("d_period_seconds")).alias("period_start")).agg(
+        F.sum("value").alias("Sum"), F.avg("value").alias("Average"), F.max("value").alias("Maximum"),
+        F.min("value").alias("Minimum"), F.count("value").cast("double").alias("SampleCount"))
+    value = F.coalesce(*[F.when(F.col("statistic") == s, F.col(s))
+                         for s in ("Sum", "Average", "Maximum", "Minimum", "SampleCount")])
+    v = v.withColumn("value", value)
+    breach = F.when(F.col("comparison") == "GreaterThanThreshold", F.col("value") > F.col("threshold")) \
+        .when(F.col("comparison") == "GreaterThanOrEqualToThreshold", F.col("value") >= F.col("threshold")) \
+        .when(F.col("comparison") == "LessThanThreshold", F.col("value") < F.col("threshold")) \
+        .when(F.col("comparison") == "LessThanOrEqualToThreshold", F.col("value") <= F.col("threshold"))
+    return v.withColumn("breaching", F.coalesce(breach, F.lit(False))) \
+        .select(*keys, "period_start", "value", "breaching")
+
+
+def _marks(points: DataFrame, definitions: DataFrame) -> DataFrame:
+    """Per alarm and period: how many of the last N periods breach (``now``), and
+    how many of the N before the last one (``before``).
+
+    Each breaching period b votes for b .. b + N: for ``now`` at offsets 0 to
+    N - 1, for ``before`` at offsets 1 to N.  One aggregate keyed by (alarm,
+    period) then answers both "in ALARM?" and "in ALARM one period earlier?"."""
+    b = period_values(points, definitions).filter("breaching")
+    votes = b.select("*", F.explode(F.sequence(F.lit(0), F.greatest("periods", F.lit(1)))).alias("k"))
+    at = F.timestamp_add("SECOND", F.col("k") * F.col("period_seconds"), F.col("period_start"))
+    n = F.greatest("periods", F.lit(1))
+    info = ["statistic", "comparison", "threshold", "periods", "period_seconds", "event_type", "action"]
+    return votes.withColumn("at", at).groupBy("alarm_name", *info, F.col("at").alias("period_start")).agg(
+        F.count_if(F.col("k") < n).alias("now"), F.count_if(F.col("k") > 0).alias("before"),
+        F.max(F.when(F.col("k") == 0, F.col("value"))).alias("value")) \
+        .filter(F.col("now") == n).withColumn("began", F.col("before") < n).withColumn("state", F.lit("ALARM"))
+
+
+_STATE = ["alarm_name", "period_start", "value", "state"]
+
+
+def alarm_periods(points: DataFrame, definitions: DataFrame) -> DataFrame:
+    """L1-L4: the periods in ALARM, with the period's own statistic.  A period
+    without data casts no vote, so it counts as not breaching."""
+    return _marks(points, definitions).select(*_STATE)
+
+
+def alarm_transitions(points: DataFrame, definitions: DataFrame) -> DataFrame:
+    """ALARM periods whose previous period was not in ALARM."""
+    return _marks(points, definitions).filter("began").select(*_STATE)
+
+
+def alarm_events(points: DataFrame, definitions: DataFrame) -> DataFrame:
+    """State-change events shaped for the orchestrator.  Only alarms that
+    have an event target (a definition with an action) are evaluated."""
+    j = _marks(points, definitions.filter(F.col("action").isNotNull())).filter("began")
+    words = F.coalesce(*[F.when(F.col("comparison") == c, F.lit(w)) for c, w in _WORDS.items()])
     reason = F.concat(F.lit("Threshold Crossed: "), F.col("periods").cast("string"),
                       F.lit(" consecutive period(s) were "), words, F.lit(" the threshold ("),
                       F.col("threshold").cast("string"), F.lit(")."))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from claimsdq.operators.joins import guarded_join
 from claimsdq.params import DEFAULT, DQParams
+from claimsdq.session import RunContext
 
 
 def amount_stats(clean: DataFrame, keys=("cpt_code",)) -> DataFrame:
@@ -31,7 +32,8 @@ def z_score(amount: Column, avg: Column, sd: Column) -> Column:
     return F.when(sd > 0, (amount - avg) / sd).otherwise(F.lit(0.0))
 
 
-def score_claims(flagged: DataFrame, params: DQParams = DEFAULT) -> DataFrame:
+def score_claims(flagged: DataFrame, params: DQParams = DEFAULT,
+                 ctx: RunContext | None = None) -> DataFrame:
     """J1 + A1 + A2 + tier label over classified claims (``dq_issues`` present).
 
     Clean rows (empty ``dq_issues``) get avg_amount, stddev_amount, count,
@@ -42,7 +44,8 @@ def score_claims(flagged: DataFrame, params: DQParams = DEFAULT) -> DataFrame:
     is_clean = F.col("dq_issues") == ""
     stats = amount_stats(flagged.filter(is_clean).select(*keys, "claim_amount"), keys)
     joined = guarded_join(flagged, stats, keys, "left", params.broadcast_max_rows,
-                          extra=lambda big: big["dq_issues"] == "")
+                          extra=lambda big: big["dq_issues"] == "",
+                          max_bytes=params.broadcast_max_bytes, ctx=ctx)
     z = F.when(is_clean, z_score(F.col("claim_amount"), F.col("avg_amount"), F.col("stddev_amount")))
     out = joined.withColumn("z_score", z)
     out = out.withColumn("is_statistical_outlier",
@@ -56,6 +59,6 @@ def score_claims(flagged: DataFrame, params: DQParams = DEFAULT) -> DataFrame:
 
 
 def detect_outliers(clean: DataFrame, params: DQParams = DEFAULT) -> DataFrame:
-    """``detect_statistical_anomalies(clean)``: clean rows with stats, z and flag."""
+    """Clean rows with their group's stats, z-score and outlier flag."""
     flagged = clean.withColumn("dq_issues", F.lit(""))
     return score_claims(flagged, params).drop("dq_issues", "tier")

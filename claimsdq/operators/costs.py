@@ -16,20 +16,30 @@ from pyspark.sql import functions as F
 from claimsdq.params import DEFAULT, DQParams
 
 
-def cost_responses(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """Fixture F4: daily cost per market segment from orders x customer.
-
-    One shuffle join on the customer key (the customer side grows with the
-    data, so it is not hinted; AQE may still broadcast it at run time and
-    splits a skewed customer's partition), then a partial + final aggregate to
-    (day, segment) and a per-day list bounded by the number of segments."""
-    o = orders.select("o_custkey", F.to_date("o_orderdate").alias("period_start"), "o_totalprice")
-    c = customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("service"))
-    by_service = o.join(c, "o_custkey").groupBy("period_start", "service") \
-        .agg((F.sum("o_totalprice") / F.lit(1e6)).alias("amount"))
-    return by_service.groupBy("period_start").agg(
-        F.sum("amount").alias("total"),
-        F.array_sort(F.collect_list(F.struct("service", "amount"))).alias("groups"))
+# The nested answer of a cost service: amounts are text (fixed values: names).
+_AMOUNT = "struct<UnblendedCost:struct<Amount:string,Unit:string>>"
+RESPONSE_SCHEMA = ("struct<ResultsByTime:array<struct<TimePeriod:struct<Start:string,End:string>,"
+                   f"Total:{_AMOUNT},Groups:array<struct<Keys:array<string>,Metrics:{_AMOUNT}>>>>>")
+
+
+def parse_responses(responses: DataFrame, column: str = "response", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Nested cost answers to one row per answer and period: ``period_start``,
+    ``total`` (null when absent) and ``groups`` (service, amount; one entry per
+    service, the last one given).  An answer without periods gives one row with
+    a null period, no total and no groups.  A bad amount is null."""
+    parsed = responses.select(*keep, F.from_json(column, RESPONSE_SCHEMA).alias("a"))
+    period = parsed.select(*keep, F.explode_outer("a.ResultsByTime").alias("p"))
+
+    def amount(c):
+        return c["UnblendedCost"]["Amount"].try_cast("double")
+
+    given = F.coalesce(F.col("p.Groups"), F.array().cast(f"array<struct<Keys:array<string>,Metrics:{_AMOUNT}>>"))
+    pairs = F.transform(given, lambda g: F.struct(F.get(g["Keys"], F.lit(0)).alias("service"),
+                                                  amount(g["Metrics"]).alias("amount")))
+    last = F.filter(pairs, lambda g, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)),
+                                                  lambda later: later["service"] == g["service"]))
+    return period.select(*keep, F.try_to_date(F.col("p.TimePeriod.Start")).alias("period_start"),
+                         amount(F.col("p.Total")).alias("total"), F.array_sort(last).alias("groups"))
 
 
 def cost_by_service(resp: DataFrame) -> DataFrame:
@@ -89,3 +99,15 @@ def cost_status(resp: DataFrame, params: DQParams = DEFAULT) -> DataFrame:
         F.when(high, F.lit("high")).otherwise(F.lit("normal")).alias("status"),
         F.when(high, F.map_from_entries(F.col("groups"))).alias("service_breakdown"),
         F.when(high, text).alias("breakdown_text"))
+
+
+def cost_spike_events(resp: DataFrame, run_ts: dt.datetime, params: DQParams = DEFAULT) -> DataFrame:
+    """One event per day above the threshold, shaped as its receiver wants
+    it: current_cost, threshold, service_breakdown, date, timestamp."""
+    d = cost_daily(resp, keep=("groups",)).filter(F.col("total_cost") > F.lit(params.cost_threshold))
+    breakdown = F.map_from_entries(F.filter("groups", lambda g: g["service"].isNotNull()))
+    detail = F.struct(F.col("total_cost").alias("current_cost"), F.lit(params.cost_threshold).alias("threshold"),
+                      breakdown.alias("service_breakdown"), F.date_format("period_start", "yyyy-MM-dd").alias("date"),
+                      F.lit(run_ts.strftime("%Y-%m-%dT%H:%M:%S")).alias("timestamp"))
+    return d.select("period_start", F.lit("Cost Spike Detected").alias("detail_type"),
+                    detail.alias("detail"), F.to_json(detail).alias("detail_json"))

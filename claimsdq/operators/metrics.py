@@ -60,14 +60,16 @@ def hourly_file_metrics(tiered: DataFrame, ts_col: str = "ts") -> DataFrame:
     return dq_metrics(tiered.withColumn("ts", hour_bucket(F.col(ts_col))), ["source_file", "ts"])
 
 
-def to_points(wide: DataFrame, namespace: str, dims: list[str]) -> DataFrame:
-    """M5: wide metrics -> ``(namespace, metric_name, <dims>, value, unit)``."""
+def to_points(wide: DataFrame, namespace: str | None, dims: list[str]) -> DataFrame:
+    """M5: wide metrics -> ``(namespace, metric_name, <dims>, value, unit)``;
+    without a ``namespace`` it is one of the dims."""
     vals = [F.col(c).cast("double").alias(name) for name, c, _ in METRICS]
     long = wide.select(*dims, *vals).unpivot(dims, [m[0] for m in METRICS], "metric_name", "value")
     unit = F.when(F.col("metric_name").isin("DataQualityScore", "AnomalyRate"), F.lit("Percent")) \
         .otherwise(F.lit("Count"))
-    return long.select(F.lit(namespace).alias("namespace"), "metric_name", *dims, "value",
-                       unit.alias("unit"))
+    name = F.col("namespace") if namespace is None else F.lit(namespace).alias("namespace")
+    rest = [d for d in dims if d != "namespace"]
+    return long.select(name, "metric_name", *rest, "value", unit.alias("unit"))
 
 
 def rollup_by_folder(wide: DataFrame, time_cols: list[str] = ("ts",)) -> DataFrame:
@@ -79,29 +81,14 @@ def rollup_by_folder(wide: DataFrame, time_cols: list[str] = ("ts",)) -> DataFra
     return with_derived(counts)
 
 
-def metric_points(tiered: DataFrame, params: DQParams = DEFAULT, level: str = "file",
-                  ts_col: str = "ts", materialize: bool = True) -> DataFrame:
-    """Hourly metric points at file level, folder level or both (``all``).
-
-    The hourly per-file metrics have one row per (file, hour), not per claim;
-    they are written once as a table so the file and folder branches (and
-    every alarm built on them) read it instead of each re-aggregating the
-    claims (Catalyst prunes the branches differently, so no exchange is
-    shared)."""
-    wide = hourly_file_metrics(tiered, ts_col)
-    if materialize:
-        from claimsdq.operators.joins import write_small
-        wide = write_small(wide, "hourly_metrics")
-    dims = ["source_file", "ts"]
-    parts = []
-    if level in ("file", "all"):
-        parts.append(to_points(wide, params.dq_namespace, dims))
-    if level in ("folder", "all"):
-        parts.append(to_points(rollup_by_folder(wide), params.dq_namespace, dims))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def folder_points(file_points: DataFrame) -> DataFrame:
+    """M6 over written points: the file-level counts of each folder and time
+    summed, the ratios recomputed from the sums."""
+    sums = [F.sum(F.when(F.col("metric_name") == name, F.col("value"))).cast("long").alias(c)
+            for name, c, _ in METRICS if c in COUNT_COLUMNS]
+    wide = file_points.withColumn("source_file", folder_prefix(F.col("source_file"))) \
+        .groupBy("namespace", "source_file", "ts").agg(*sums)
+    return to_points(with_derived(wide), None, ["namespace", "source_file", "ts"])
 
 
 def clean_based_metrics(flagged_all_match: DataFrame, by=("source_file",)) -> DataFrame:
@@ -163,6 +150,8 @@ def metrics_json(wide: DataFrame, digits: int | None = None) -> DataFrame:
         if digits is not None and f in ("data_quality_score", "anomaly_rate"):
             c = F.round(c, digits)
         cols.append(c.alias(f))
+    if "ts" in wide.columns:
+        cols.append(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"))
     if "source_file" in wide.columns:
         cols.append(F.col("source_file"))
     keys = [c for c in ["source_file"] if c in wide.columns]

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimsdq.functions.columns import period_bucket, ratio_pct, ts_lit
@@ -21,7 +21,8 @@ SERIES = ["namespace", "metric_name", "source_file"]
 def metric_range(points: DataFrame, namespace: str, metric_name: str, dimension: str | None,
                  hours: int, as_of_ts: dt.datetime) -> DataFrame:
     """T1 + O3: one metric (and dimension) over ``[as_of_ts - hours, as_of_ts)``,
-    in time order."""
+    in time order.  Over a table with date folders, read it with the same range
+    (``in_range``), which prunes them."""
     start = as_of_ts - dt.timedelta(hours=hours)
     cond = (F.col("namespace") == namespace) & (F.col("metric_name") == metric_name) \
         & (F.col("ts") >= ts_lit(start)) & (F.col("ts") < ts_lit(as_of_ts))
@@ -51,36 +52,41 @@ def metric_recent(points: DataFrame, k: int = 3, series=SERIES) -> DataFrame:
     return points.withColumn("recency", F.row_number().over(w)).filter(F.col("recency") <= k)
 
 
-def is_file_dimension(dim) -> "F.Column":
-    """T5: a per-file dimension, not the folder roll-up."""
-    return (dim != "claims/") & dim.contains("payer_claims")
+def is_file_dimension(dim: Column, contains: str | None = None) -> Column:
+    """T5: a per-file dimension, not a folder roll-up; ``contains`` narrows it to
+    names with that text."""
+    file = ~dim.endswith("/")
+    return file if contains is None else file & dim.contains(contains)
 
 
-def metric_dimensions(points: DataFrame, files_only: bool = True) -> DataFrame:
+def metric_dimensions(points: DataFrame, files_only: bool = True, contains: str | None = None) -> DataFrame:
     """T5: distinct series, optionally only per-file dimensions."""
-    p = points.filter(is_file_dimension(F.col("source_file"))) if files_only else points
+    p = points.filter(is_file_dimension(F.col("source_file"), contains)) if files_only else points
     return p.select(*SERIES).distinct()
 
 
-def latest_file_summary(points: DataFrame, params: DQParams = DEFAULT, days: int = 7) -> DataFrame:
+def latest_file_summary(points: DataFrame, params: DQParams = DEFAULT, days: int = 7,
+                        contains: str | None = None) -> DataFrame:
     """T6 + T7: the most recent file (by point time, ties by name) and its
-    latest anomalies, silver, total and gold counts, with the gold-based score.
+    anomalies, silver, total and gold counts, each the Maximum of its last hour,
+    with the gold-based score.
 
-    The file is chosen by a global ``max_by`` over a struct, a one-row result,
+    The file is chosen by a global ``max`` over a struct, a one-row result,
     so joining it back is a broadcast of a proven single row.
     """
-    start = params.as_of_ts - dt.timedelta(days=days)
+    end = params.need("as_of_ts")
+    start = end - dt.timedelta(days=days)
     p = points.filter((F.col("namespace") == params.dq_namespace)
-                      & is_file_dimension(F.col("source_file"))
-                      & (F.col("ts") >= ts_lit(start)) & (F.col("ts") < ts_lit(params.as_of_ts)))
+                      & is_file_dimension(F.col("source_file"), contains)
+                      & (F.col("ts") >= ts_lit(start)) & (F.col("ts") < ts_lit(end)))
     latest = p.agg(F.max(F.struct("ts", "source_file")).alias("m")) \
         .select(F.col("m.source_file").alias("latest_file"))
     mine = p.join(F.broadcast(latest), p["source_file"] == latest["latest_file"], "left_semi")
     wanted = ["AnomalyCount", "SilverRecords", "TotalRecords", "GoldRecords"]
-    per_metric = mine.filter(F.col("metric_name").isin(*wanted)) \
-        .groupBy("source_file", "metric_name").agg(F.max_by("value", "ts").alias("v"))
+    hourly = metric_buckets(mine.filter(F.col("metric_name").isin(*wanted)), 3600, ["source_file", "metric_name"])
+    per_metric = hourly.groupBy("source_file", "metric_name").agg(F.max_by("maximum", "period_start").alias("v"))
 
-    def pick(name: str):
+    def pick(name: str) -> Column:
         return F.coalesce(F.max(F.when(F.col("metric_name") == name, F.col("v"))), F.lit(0.0)) \
             .cast("long")
 
@@ -92,7 +98,7 @@ def latest_file_summary(points: DataFrame, params: DQParams = DEFAULT, days: int
     return s.withColumn("dq_score", ratio_pct(F.col("gold_records"), F.col("total_records")))
 
 
-def score_band(score, params: DQParams = DEFAULT) -> "F.Column":
+def score_band(score, params: DQParams = DEFAULT) -> Column:
     """Below 80, 80 to 95, 95 and above (fixed band edges)."""
     return F.when(score < params.score_band_low, F.lit("below_80")) \
         .when(score < params.score_target, F.lit("80_to_95")).otherwise(F.lit("95_and_above"))
@@ -110,7 +116,7 @@ def cost_summary(cost_points: DataFrame, params: DQParams = DEFAULT, days: int =
     """T8 + T9: over daily DailyCost maxima of the last ``days`` days: latest,
     average, latest x 30, the delta to the average and the budget label.
     With no points the latest falls back to a fixed daily estimate."""
-    end = dt.datetime.combine(params.cost_as_of, dt.time())
+    end = dt.datetime.combine(params.need("cost_as_of"), dt.time())
     start = end - dt.timedelta(days=days)
     daily = metric_buckets(
         cost_points.filter((F.col("metric_name") == "DailyCost")

@@ -23,8 +23,8 @@ def with_issues(claims: DataFrame, params: DQParams = DEFAULT, mode: str = FIRST
 
 def split_clean_failed(claims: DataFrame, params: DQParams = DEFAULT,
                        mode: str = FIRST_MATCH) -> tuple[DataFrame, DataFrame]:
-    """``validate_data_quality(df) -> (clean, failed)``: clean drops the helper
-    columns, failed keeps ``dq_issues`` and ``has_dq_issues``."""
+    """The clean rows without the helper columns, and the failed rows with
+    ``dq_issues`` and ``has_dq_issues``."""
     flagged = with_issues(claims, params, mode)
     clean = flagged.filter(~F.col("has_dq_issues")).drop("dq_issues", "has_dq_issues")
     failed = flagged.filter(F.col("has_dq_issues"))

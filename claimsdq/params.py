@@ -1,14 +1,14 @@
 """Run parameters: thresholds, value domains and the clock.
 
-Nothing here reads the wall clock. ``as_of`` (rule R9 and the cost
-"yesterday" window) and ``as_of_ts`` (metric look-back windows) are passed in,
-so a rerun of the same input gives the same output.
+Nothing here reads the wall clock, and no date is a default: a job sets its
+clock from the one timestamp of its run (``at``), tests and fixtures name
+theirs.  An operator that needs a date refuses parameters without one.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -31,10 +31,11 @@ class DQParams:
     # uses the code alone; the per-file stream adds source_file.
     stats_keys: tuple[str, ...] = ("cpt_code",)
 
-    # Clock.
-    as_of: dt.date = dt.date(2024, 12, 31)
-    as_of_ts: dt.datetime = dt.datetime(2024, 1, 31, 0, 0, 0)
-    cost_as_of: dt.date = dt.date(2001, 8, 2)
+    # Clock: the day of rule R9, the end of metric look-back windows and the
+    # day after the last cost day; all UTC.
+    as_of: dt.date | None = None
+    as_of_ts: dt.datetime | None = None
+    cost_as_of: dt.date | None = None
 
     # Alarms (fixed values of the alarm definitions).
     anomaly_threshold: float = 100.0
@@ -58,11 +59,28 @@ class DQParams:
     dq_namespace: str = "ClaimsDQ/DataQuality"
     cost_namespace: str = "ClaimsDQ/Cost"
 
-    # Broadcast guard: a small side is broadcast only when its checked row
-    # count is at most this; beyond it the join shuffles (AQE splits skew).
-    broadcast_max_rows: int = 1_000_000
+    # Metric dimensions: the folder whose roll-up the alarms watch.
+    folder: str = "claims/"
 
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
+    # Broadcast guard: a small side is broadcast only when both its checked row
+    # count and its checked size are within these; beyond it the join shuffles
+    # (AQE splits skew).
+    broadcast_max_rows: int = 1_000_000
+    broadcast_max_bytes: int = 64 << 20
+
+    def at(self, run_ts: dt.datetime) -> "DQParams":
+        """The same parameters with every unset clock value taken from ``run_ts``
+        (an aware datetime)."""
+        utc = run_ts.astimezone(dt.timezone.utc).replace(tzinfo=None)
+        return replace(self, as_of=self.as_of or utc.date(), as_of_ts=self.as_of_ts or utc,
+                       cost_as_of=self.cost_as_of or utc.date())
+
+    def need(self, name: str):
+        """A clock value; an error where the caller has set none."""
+        value = getattr(self, name)
+        if value is None:
+            raise ValueError(f"parameter {name} is not set")
+        return value
 
     def with_(self, **kw) -> "DQParams":
         return replace(self, **kw)

@@ -1,20 +1,22 @@
-"""The batch job: ingest -> classify -> stage -> tiers -> sinks -> metrics.
+"""The batch job: ingest -> classify -> stage -> tiers -> metrics -> publish.
 
 Plan at scale:
 
 1. The CSV is parsed once: the classified claims (rules are one narrow
-   projection) are written as Parquet under the shared checkpoint folder,
-   partitioned by the failed flag.  That cuts lineage (a lost executor
-   re-reads staged Parquet, not the CSV), lets the stats pass read three
-   columns of the clean partition only, and lets silver read only failures.
-2. Per-code stats: partial + final aggregate, checkpointed, row count checked,
-   broadcast (``score_claims``).  Claims are never shuffled for the z-score.
-3. The scored clean claims are persisted (memory and disk) for the gold and
-   quarantine writes and the metric aggregate; on loss they are recomputed
-   from the staged table.
-4. Sinks overwrite dynamically by ``source_file`` partitions, so rerunning a
-   file or a whole prefix (H3) replaces its rows instead of appending twice,
-   and a retried write task cannot leave duplicates.
+   projection) are staged as Parquet under the shared checkpoint folder,
+   partitioned by the failed flag.  That cuts lineage (a lost executor re-reads
+   staged Parquet, not the CSV), lets the stats pass read two columns of the
+   clean partition only, and lets silver read only failures.
+2. Per-code stats: partial + final aggregate, staged, size checked, broadcast
+   (``score_claims``).  Claims are never shuffled for the z-score, so gold,
+   quarantine and the metrics each re-scan the columns they need of the clean
+   partition instead of caching it whole on executor disks.
+3. Every output goes to folders of this run (``plans/store.py``): gold by year
+   and month, with as many files as scan tasks and months, whatever the number
+   of input files.  Nothing is renamed or overwritten, and the manifest, written
+   last, makes all of it visible at once.  A rerun of a file or prefix (H3)
+   supersedes its rows in every tier.
+4. What was staged is removed when the run ends.
 """
 
 from __future__ import annotations
@@ -22,101 +24,80 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimsdq.functions.columns import utc_ntz
 from claimsdq.operators.anomaly import score_claims
-from claimsdq.operators.metrics import dq_metrics, metrics_json, rollup_by_folder, to_points
+from claimsdq.operators.metrics import dq_metrics, metrics_json, to_points
 from claimsdq.operators.tiers import gold_tier, quarantine_tier, silver_tier
-from claimsdq.operators.validate import FIRST_MATCH, with_issues
+from claimsdq.operators.validate import ALL_MATCH, FIRST_MATCH, with_issues
 from claimsdq.params import DEFAULT, DQParams
-from claimsdq.session import staging_path
-from claimsdq.sources.claims import read_claims_csv
+from claimsdq.plans.store import Store, new_run_id
+from claimsdq.session import RunContext
+from claimsdq.sources.claims import list_claim_files, read_claims_csv, read_claims_untyped
 
 
 @dataclass
 class BatchResult:
-    file_metrics: DataFrame      # wide metrics per source_file (lazy, over the staged table)
+    run_id: str
+    file_metrics: DataFrame      # wide metrics per source_file, read from what the run wrote
     counts: dict                 # overall counts of this run
-    staged_path: str
 
 
-def _overwrite(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet") -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).format(fmt).save(path))
+def utc_now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc)
 
 
-def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> tuple[DataFrame, str]:
-    """Write ``df`` to a fresh folder under the checkpoint dir and read it back."""
-    spark = df.sparkSession
-    path = staging_path(spark, name)
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    # read with the written schema so partition values keep their types
-    return spark.read.schema(df.schema).parquet(path), path
+def aware(ts: dt.datetime) -> dt.datetime:
+    """A timestamp with its zone; one without is UTC."""
+    return ts if ts.tzinfo else ts.replace(tzinfo=dt.timezone.utc)
 
 
-def run_tiers(claims: DataFrame, out_root: str, params: DQParams = DEFAULT,
-              mode: str = FIRST_MATCH, run_key: str = "claims/") -> BatchResult:
+def run_tiers(claims: DataFrame, out_root: str, params: DQParams = DEFAULT, mode: str = FIRST_MATCH,
+              run_ts: dt.datetime | None = None, run_id: str | None = None,
+              files: DataFrame | None = None) -> BatchResult:
     """Classify, split and write the three tiers plus metrics for ``claims``
     (a DataFrame with the claim columns, ``source_file`` and
-    ``ingestion_timestamp``).
-
-    The staged table is partitioned by ``has_dq_issues``: the stats pass and
-    the gold/quarantine side read only the clean partition, silver reads only
-    the failed one (partition pruning, no filter over the whole table), and
-    only the clean side is persisted for its two writes and the metrics."""
-    staged, staged_path = stage(with_issues(claims, params, mode), "classified", ("has_dq_issues",))
-    clean = staged.filter(~F.col("has_dq_issues"))
-    failed = staged.filter(F.col("has_dq_issues")).withColumn("tier", F.lit("silver"))
-    scored = score_claims(clean, params).persist(StorageLevel.MEMORY_AND_DISK)
-    per_file = None
-    try:
-        out = out_root.rstrip("/")
-        _overwrite(gold_tier(scored), f"{out}/gold", ["year", "month", "source_file"])
-        _overwrite(silver_tier(failed), f"{out}/silver", ["source_file"])
-        _overwrite(quarantine_tier(scored), f"{out}/quarantine", ["source_file"])
-        cols = ["source_file", "tier", "ingestion_timestamp"]
-        tiers = scored.select(*cols).unionByName(failed.select(*cols))
+    ``ingestion_timestamp``), and publish them as one run.
+
+    ``files`` (source_file, modified) are the files this run stands for; by
+    default those that have rows.  Unset clock parameters come from ``run_ts``
+    (default: now); ``run_id`` names a run that may be retried."""
+    spark = claims.sparkSession
+    run_ts = aware(run_ts or utc_now())
+    params, run_id, store = params.at(run_ts), run_id or new_run_id(run_ts), Store(spark, out_root)
+    with RunContext(spark) as ctx:
+        staged = ctx.stage(with_issues(claims, params, mode), "classified", ("has_dq_issues",))
+        failed = staged.filter(F.col("has_dq_issues")).withColumn("tier", F.lit("silver"))
+        scored = score_claims(staged.filter(~F.col("has_dq_issues")), params, ctx)
+        store.write("gold", run_id, gold_tier(scored))
+        store.write("silver", run_id, silver_tier(failed))
+        store.write("quarantine", run_id, quarantine_tier(scored))
         # each file's points are stamped with its ingestion time (the run's
-        # timestamp in batch, the file's arrival time in the stream)
-        per_file = dq_metrics(tiers, ["source_file"], [
-            F.max("ingestion_timestamp").cast("timestamp_ntz").alias("ts")]) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        write_metrics(per_file, out, params, run_key)
-        totals = per_file.agg(*[F.sum(c).alias(c) for c in
-                                ("total_records", "gold_records", "silver_records",
-                                 "quarantine_records", "total_anomalies")]).first()
-        counts = {k: int(totals[k] or 0) for k in totals.asDict()}
-        return BatchResult(per_file.unpersist(), counts, staged_path)
-    finally:
-        # release the caches: a stream calls this once per micro-batch
-        if per_file is not None:
-            per_file.unpersist()
-        scored.unpersist()
-
-
-def write_metrics(per_file: DataFrame, out: str, params: DQParams, run_key: str) -> None:
-    """K4 + K5: metric points (file and folder level) and metrics JSON, keyed
-    by the run's input key so a rerun replaces them."""
-    file_pts = to_points(per_file, params.dq_namespace, ["source_file", "ts"])
-    folder_pts = to_points(rollup_by_folder(per_file, ["ts"]), params.dq_namespace, ["source_file", "ts"])
-    pts = file_pts.unionByName(folder_pts).withColumn("run_key", F.lit(run_key))
-    _overwrite(pts, f"{out}/metrics/points", ["run_key"])
-    js = metrics_json(per_file).withColumn("run_key", F.lit(run_key))
-    _overwrite(js, f"{out}/metrics/json", ["run_key"], fmt="json")
-
-
-def run_csv_job(spark: SparkSession, input_path: str, out_root: str, params: DQParams = DEFAULT,
-                key_root: str | None = None, run_ts: dt.datetime | None = None,
-                run_key: str | None = None, mode: str = FIRST_MATCH) -> BatchResult:
-    """The whole job for one file, a folder or a glob."""
-    ts = F.lit(run_ts or dt.datetime(2024, 1, 1)).cast("timestamp")
-    claims = read_claims_csv(spark, input_path, key_root=key_root, run_ts=ts)
-    return run_tiers(claims, out_root, params, mode=mode, run_key=run_key or input_path)
-
-
-def log_remediation(spark: SparkSession, records: DataFrame, out_root: str) -> None:
-    """K6: audit records as JSON, partitioned by action and run id; a rerun of
-    the same run id replaces its own records."""
-    _overwrite(records, f"{out_root.rstrip('/')}/remediation", ["action", "run_id"], fmt="json")
+        # timestamp in batch, the file's arrival time in the stream), in UTC
+        cols = ["source_file", "tier", "ingestion_timestamp"]
+        per_file = dq_metrics(scored.select(*cols).unionByName(failed.select(*cols)), ["source_file"],
+                              [utc_ntz(F.max("ingestion_timestamp")).alias("ts")])
+        store.write("metrics/files", run_id, per_file)
+        written = store.read_run("metrics/files", run_id)
+        points = to_points(written, params.dq_namespace, ["source_file", "ts"])
+        store.write("metrics/points", run_id, points.withColumn("date", F.to_date("ts")))
+        store.write("metrics/json", run_id, metrics_json(written))
+        store.publish(run_id, written.select("source_file") if files is None else files, run_ts)
+    names = ("total_records", "gold_records", "silver_records", "quarantine_records", "total_anomalies")
+    totals = written.agg(*[F.sum(c).alias(c) for c in names]).first()
+    return BatchResult(run_id, written.drop("run_id"), {c: int(totals[c] or 0) for c in names})
+
+
+def run_csv_job(spark: SparkSession, input_path: str | list[str], out_root: str, params: DQParams = DEFAULT,
+                key_root: str | None = None, run_ts: dt.datetime | None = None, run_id: str | None = None,
+                mode: str = FIRST_MATCH, only: str | None = "*.csv") -> BatchResult:
+    """The whole job for one file, a folder or a glob (S1-S3, K1-K5, H3).  Files
+    without rows are part of the run too: their earlier rows go.  The all-match
+    mode reads as the local checker does, by header name."""
+    run_ts = aware(run_ts or utc_now())
+    read = read_claims_untyped if mode == ALL_MATCH else read_claims_csv
+    claims = read(spark, input_path, key_root=key_root, run_ts=run_ts, only=only)
+    files = list_claim_files(spark, input_path, key_root, only).select("source_file", "modified")
+    return run_tiers(claims, out_root, params, mode, run_ts, run_id, files)

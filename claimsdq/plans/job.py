@@ -1,12 +1,17 @@
-"""Command-line entry for ``spark-submit``: the batch job, the file stream and
-the metric stream.
+"""Command-line entry for ``spark-submit``.
 
-    spark-submit -m claimsdq.plans.job batch  --input s3a://raw/claims/x.csv \\
+    spark-submit -m claimsdq.plans.job batch  --input s3a://raw/claims \\
+        --key-root s3a://raw --output s3a://processed
+    spark-submit -m claimsdq.plans.job arrivals --input s3a://raw/claims \\
         --key-root s3a://raw --output s3a://processed
     spark-submit -m claimsdq.plans.job stream --input s3a://raw/claims \\
         --key-root s3a://raw --output s3a://processed --checkpoint s3a://processed/_ckpt/w1
+    spark-submit -m claimsdq.plans.job metrics-stream --output s3a://processed \\
+        --checkpoint s3a://processed/_ckpt/w2
 
-The checkpoint folder for staged tables comes from ``spark.checkpoint.dir``.
+The folder for staged tables comes from ``spark.checkpoint.dir``.  The clock is
+the time of the run (of the batch, in a stream) unless ``--as-of`` says
+otherwise, and the session works in UTC.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ from pyspark.sql import SparkSession
 
 from claimsdq.operators.validate import ALL_MATCH, FIRST_MATCH
 from claimsdq.params import DEFAULT
-from claimsdq.plans.batch import run_csv_job
+from claimsdq.plans.batch import run_csv_job, utc_now
 from claimsdq.session import apply_unset, checkpoint_dir, cluster_conf
 
 
@@ -33,39 +38,59 @@ def _params(a):
     return p
 
 
+def _input_bytes(spark: SparkSession, a) -> int:
+    """The input volume: as given, else the size of the listed files."""
+    if a.input_bytes or not a.input:
+        return a.input_bytes
+    from pyspark.sql import functions as F
+
+    from claimsdq.sources.claims import list_claim_files
+    return list_claim_files(spark, a.input).agg(F.sum("bytes")).first()[0] or 0
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="claimsdq")
-    ap.add_argument("command", choices=["batch", "stream"])
-    ap.add_argument("--input", required=True, help="file, folder or glob of claim CSVs")
-    ap.add_argument("--output", required=True, help="root of gold/ silver/ quarantine/ metrics/")
+    ap.add_argument("command", choices=["batch", "arrivals", "stream", "metrics-stream"])
+    ap.add_argument("--input", default=None, help="file, folder or glob of claim CSVs")
+    ap.add_argument("--output", required=True, help="root of gold/ silver/ quarantine/ metrics/ manifest/")
     ap.add_argument("--key-root", default=None, help="prefix stripped from file URIs (bucket root)")
-    ap.add_argument("--run-key", default=None, help="input key recorded with the metrics")
+    ap.add_argument("--run-id", default=None, help="name of a run that may be retried")
     ap.add_argument("--mode", choices=[FIRST_MATCH, ALL_MATCH], default=FIRST_MATCH)
     ap.add_argument("--as-of", default=None, help="date for the future-service rule (YYYY-MM-DD)")
     ap.add_argument("--max-amount", type=float, default=None)
     ap.add_argument("--checkpoint", default=None, help="stream checkpoint location")
     ap.add_argument("--max-files-per-trigger", type=int, default=None)
-    ap.add_argument("--input-bytes", type=int, default=0,
-                    help="expected input volume, sizes shuffle partitions")
+    ap.add_argument("--continuous", action="store_true", help="keep a stream running")
+    ap.add_argument("--input-bytes", type=int, default=0, help="expected input volume, if listing is too slow")
     a = ap.parse_args(argv)
+    if a.command != "metrics-stream" and not a.input:
+        ap.error(f"{a.command} needs --input")
+    if a.command in ("stream", "metrics-stream") and not a.checkpoint:
+        ap.error(f"{a.command} needs --checkpoint")
 
     spark = SparkSession.builder.appName("claimsdq").getOrCreate()
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     checkpoint_dir(spark)
-    if a.input_bytes:
-        apply_unset(spark, cluster_conf(a.input_bytes))
+    apply_unset(spark, cluster_conf(_input_bytes(spark, a)))
     params = _params(a)
+    files = {"max_files_per_trigger": a.max_files_per_trigger} if a.max_files_per_trigger else {}
     if a.command == "batch":
-        res = run_csv_job(spark, a.input, a.output, params, key_root=a.key_root,
-                          run_ts=dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-                          run_key=a.run_key or a.input, mode=a.mode)
-        print(json.dumps(res.counts))
-        return 0
-    from claimsdq.streaming.file_ingest import start_file_ingest
-    if not a.checkpoint:
-        ap.error("stream needs --checkpoint")
-    q = start_file_ingest(spark, a.input, a.output, a.checkpoint, params, key_root=a.key_root,
-                          max_files_per_trigger=a.max_files_per_trigger)
-    q.awaitTermination()
+        res = run_csv_job(spark, a.input, a.output, params, key_root=a.key_root, run_ts=utc_now(),
+                          run_id=a.run_id, mode=a.mode)
+        print(json.dumps({"run_id": res.run_id, **res.counts}))
+    elif a.command == "arrivals":
+        from claimsdq.streaming.file_ingest import ingest_arrivals
+        limit = {"max_files": a.max_files_per_trigger} if a.max_files_per_trigger else {}
+        print(json.dumps(ingest_arrivals(spark, a.input, a.output, params, key_root=a.key_root, **limit)))
+    elif a.command == "stream":
+        from claimsdq.streaming.file_ingest import start_file_ingest
+        start_file_ingest(spark, a.input, a.output, a.checkpoint, params, key_root=a.key_root,
+                          available_now=not a.continuous, **files).awaitTermination()
+    else:
+        from claimsdq.streaming.metric_stream import start_hourly_buckets
+        root = a.output.rstrip("/")
+        start_hourly_buckets(spark, f"{root}/metrics/points", f"{root}/metrics/hourly", a.checkpoint,
+                             available_now=not a.continuous).awaitTermination()
     return 0
 
 

@@ -8,14 +8,14 @@ names, types and 6-digit rounding follow ``plans/queries.py``.
 from __future__ import annotations
 
 from claimsdq.operators.metrics import METRICS
-from claimsdq.params import DEFAULT
+from claimsdq.operators.alarms import ACTION_ROUTES
+from claimsdq.plans.fixtures import P
 
-P = DEFAULT
 NS = P.dq_namespace
 CNS = P.cost_namespace
 
 # Fixture F1 in DuckDB's dialect.
-CLAIMS = """claims AS (
+_F1 = """
 SELECT 'C' || lpad(CAST(event_id AS VARCHAR), 10, '0') AS claim_id,
  CASE WHEN event_id % 101 = 0 THEN NULL ELSE 'MBR' || CAST(user_id AS VARCHAR) END AS member_id,
  'PRV' || CAST(event_id % 97 AS VARCHAR) AS provider_id,
@@ -31,7 +31,9 @@ SELECT 'C' || lpad(CAST(event_id AS VARCHAR), 10, '0') AS claim_id,
  CASE WHEN event_id % 179 = 0 THEN '1234' WHEN event_id % 181 = 0 THEN '12345-6789' ELSE lpad(CAST(user_id AS VARCHAR), 5, '0') END AS patient_zip,
  CASE WHEN event_id % 173 = 0 THEN 'X' WHEN event_id % 3 = 0 THEN 'M' WHEN event_id % 3 = 1 THEN 'F' ELSE 'U' END AS patient_gender,
  ts, 'claims/payer_claims_' || strftime(ts, '%Y%m%d') || '.csv' AS source_file
-FROM events)"""
+FROM events"""
+
+CLAIMS = f"claims AS ({_F1})"
 
 CLAIM_COLS = ("claim_id, member_id, provider_id, provider_npi, cpt_code, icd10_code, claim_amount, "
               "service_date, submission_date, claim_status, denial_reason, patient_dob, patient_zip, "
@@ -90,26 +92,43 @@ ALL_MATCH = (
     "CASE WHEN coalesce(NOT patient_gender IN ('M', 'F', 'U'), true) THEN 'INVALID_GENDER;' END)"
 )
 
+# Fixture F1 after its files were mended (plans/fixtures.py: corrected).
+MENDED = f"""f1 AS ({_F1}),
+f1_fixed AS (
+ SELECT * REPLACE (
+  CASE WHEN provider_npi = '12345' THEN '1234567890' ELSE provider_npi END AS provider_npi,
+  CASE WHEN CAST(substr(claim_id, 2) AS BIGINT) % 29 = 0 THEN service_date + 31 ELSE service_date END AS service_date,
+  CASE WHEN CAST(substr(claim_id, 2) AS BIGINT) % 29 = 0 THEN submission_date + 31 ELSE submission_date END
+   AS submission_date) FROM f1),
+claims AS (SELECT * FROM f1_fixed
+ WHERE source_file <> 'claims/payer_claims_20240105.csv' OR {FIRST_MATCH} = '')"""
+
 FLAGGED = f"""flagged AS (SELECT *, {FIRST_MATCH} AS dq_issues FROM claims),
 flagged_all AS (SELECT *, {ALL_MATCH} AS dq_issues FROM claims)"""
 
-TIERED = """stats AS (
- SELECT cpt_code, avg(claim_amount) AS avg_amount, stddev_samp(claim_amount) AS stddev_amount,
+def _tiered(*keys: str) -> str:
+    """Stats per ``keys``, z-scores and tiers."""
+    same = " AND ".join(f"f.{k} = s.{k}" for k in keys)
+    return f"""stats AS (
+ SELECT {", ".join(keys)}, avg(claim_amount) AS avg_amount, stddev_samp(claim_amount) AS stddev_amount,
         count(*) AS count
- FROM flagged WHERE dq_issues = '' GROUP BY cpt_code),
+ FROM flagged WHERE dq_issues = '' GROUP BY {", ".join(keys)}),
 scored AS (
  SELECT f.*, s.avg_amount, s.stddev_amount, s.count,
   CASE WHEN f.dq_issues = '' THEN
    CASE WHEN s.stddev_amount > 0 THEN (f.claim_amount - s.avg_amount) / s.stddev_amount ELSE 0.0 END
   END AS z_score
- FROM flagged f LEFT JOIN stats s ON f.cpt_code = s.cpt_code AND f.dq_issues = ''),
+ FROM flagged f LEFT JOIN stats s ON {same} AND f.dq_issues = ''),
 tiered AS (
  SELECT *, coalesce(abs(z_score) > 3.0, false) AS is_statistical_outlier,
   CASE WHEN dq_issues <> '' THEN 'silver' WHEN coalesce(abs(z_score) > 3.0, false) THEN 'quarantine'
        ELSE 'gold' END AS tier
  FROM scored)"""
 
-BASE = f"WITH {CLAIMS},\n{FLAGGED},\n{TIERED}"
+
+BASE = f"WITH {CLAIMS},\n{FLAGGED},\n{_tiered('cpt_code')}"
+PER_FILE_BASE = f"WITH {CLAIMS},\n{FLAGGED},\n{_tiered('source_file', 'cpt_code')}"
+MENDED_BASE = f"WITH {MENDED},\n{FLAGGED},\n{_tiered('cpt_code')}"
 
 
 def _ratio(num: str, den: str) -> str:
@@ -131,7 +150,8 @@ def _derive(src: str) -> str:
 
 
 FILE_METRICS = f"file_metrics AS ({_derive(_counts('source_file', 'source_file'))})"
-HOURLY = f"hourly AS ({_derive(_counts('source_file, date_trunc(' + repr('hour') + ', ts) AS ts', '1, 2'))})"
+_BY_HOUR = "source_file, date_trunc('hour', ts) AS ts"
+HOURLY = f"hourly AS ({_derive(_counts(_BY_HOUR, '1, 2'))})"
 
 FOLDER = ("CASE WHEN contains(source_file, '/') THEN split_part(source_file, '/', 1) || '/' "
           "ELSE source_file END")
@@ -160,8 +180,8 @@ PBASE = f"{BASE},\n{POINTS}"
 
 COSTS = """cost_o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS period_start, sum(o_totalprice) AS price
   FROM orders GROUP BY 1, 2),
-cost_bs AS (SELECT o.period_start, c.c_mktsegment AS service, sum(o.price) / 1e6 AS amount
-  FROM cost_o o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2),
+cost_bs AS (SELECT o.period_start, coalesce(c.c_mktsegment, 'unknown') AS service, sum(o.price) / 1e6 AS amount
+  FROM cost_o o LEFT JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2),
 cost_resp AS (SELECT period_start, sum(amount) AS total, count(*) AS n FROM cost_bs GROUP BY 1),
 cost_points AS (
   SELECT '""" + CNS + """' AS namespace, 'DailyCost' AS metric_name,
@@ -178,6 +198,15 @@ def r(expr: str, name: str) -> str:
     return f"round({expr}, 6) AS {name}"
 
 
+ROUTED = "CASE action " + " ".join(f"WHEN '{a}' THEN '{t}'" for a, t in ACTION_ROUTES) + " END"
+_STATUS = f"CAST(CASE WHEN {ROUTED} IS NOT NULL THEN 200 ELSE 400 END AS INTEGER)"
+_ERROR = f"CASE WHEN {ROUTED} IS NULL THEN 'Unknown action: ' || coalesce(action, '') END"
+_ACTIONS = ", ".join([*[f"'{a}'" for a, _ in ACTION_ROUTES], "'drop_tables'", "''", "NULL"])
+# the driver's table, as "events" names a CTE where the alarms are
+REQUESTS = (f"requests AS (SELECT 'R' || event_id AS request_id, ([{_ACTIONS}])[event_id // 50 % 9 + 1] AS action "
+            "FROM main.events WHERE event_id % 50 = 0)")
+
+
 def _alarm_sqls(anomaly_threshold: float = 4.0) -> dict[str, str]:
     an = f"{P.project}-anomaly-spike"
     sc = f"{P.project}-dq-score-low"
@@ -211,10 +240,6 @@ events AS (SELECT d.event_type, t.alarm_name, t.state,
    FROM trans t JOIN defs d ON t.alarm_name = d.alarm_name)"""
     pre = f"{PBASE},\n{ctes}\n"
     out = "alarm_name, period_start, round(value, 8) AS value, state"
-    routed = ("CASE action WHEN 'quarantine_data' THEN 'quarantine_data' "
-              "WHEN 'handle_anomaly_spike' THEN 'quarantine_data' WHEN 'restart_glue_job' THEN 'restart_job' "
-              "WHEN 'restart_etl' THEN 'restart_job' WHEN 'handle_cost_spike' THEN 'cost_spike_detected' "
-              "WHEN 'cost_spike' THEN 'cost_spike_detected' END")
     return {
         "alarm_anomaly": f"{pre}SELECT {out} FROM anomaly_al",
         "alarm_score": f"{pre}SELECT {out} FROM score_al",
@@ -222,30 +247,18 @@ events AS (SELECT d.event_type, t.alarm_name, t.state,
         "alarm_transitions": f"{pre}SELECT {out} FROM trans",
         "alarm_events": f"{pre}SELECT event_type, alarm_name, state, reason, timestamp, action, "
                         f"round(value, 8) AS value FROM events",
-        "action_routing": f"{pre}SELECT request_id, action, routed_action, "
-                          "CAST(CASE WHEN routed_action IS NOT NULL THEN 200 ELSE 400 END AS INTEGER) AS status_code, "
-                          "CASE WHEN routed_action IS NULL THEN 'Unknown action: ' || coalesce(action, '') END AS error "
-                          f"FROM (SELECT alarm_name || '@' || strftime(timestamp, '%Y%m%d%H') AS request_id, action, "
-                          f"{routed} AS routed_action FROM events)",
+        "action_routing": f"{pre}, {REQUESTS}, asked AS (SELECT alarm_name || '@' || "
+                          "strftime(timestamp, '%Y%m%d%H') AS request_id, action FROM events "
+                          "UNION ALL SELECT request_id, action FROM requests) "
+                          f"SELECT request_id, action, {ROUTED} AS routed_action, {_STATUS} AS status_code, "
+                          f"{_ERROR} AS error FROM asked",
     }
 
 
 def _rule_sqls() -> dict[str, str]:
-    keys = {
-        "rule_missing_member": "MISSING_MEMBER_ID", "rule_missing_npi": "MISSING_NPI",
-        "rule_missing_cpt": "MISSING_CPT", "rule_missing_diagnosis": "MISSING_DIAGNOSIS",
-        "rule_missing_amount": "MISSING_AMOUNT", "rule_invalid_npi": "INVALID_NPI",
-        "rule_negative_amount": "NEGATIVE_AMOUNT", "rule_excessive_amount": "EXCESSIVE_AMOUNT",
-        "rule_future_service": "FUTURE_SERVICE_DATE", "rule_late_submission": "LATE_SUBMISSION",
-        "rule_submission_before_service": "SUBMISSION_BEFORE_SERVICE",
-        "rule_invalid_status": "INVALID_STATUS", "rule_invalid_gender": "INVALID_GENDER",
-        "rule_invalid_zip": "INVALID_ZIP",
-    }
-    out = {}
-    for key, code in keys.items():
-        pred, cols = RULE_SQL[code]
-        out[key] = f"WITH {CLAIMS} SELECT claim_id, {cols} FROM claims WHERE {pred}"
-    return out
+    short = {"MISSING_MEMBER_ID": "missing_member", "FUTURE_SERVICE_DATE": "future_service"}
+    return {f"rule_{short.get(code, code.lower())}": f"WITH {CLAIMS} SELECT claim_id, {cols} FROM claims WHERE {pred}"
+            for code, (pred, cols) in RULE_SQL.items()}
 
 
 def _flag_files() -> str:
@@ -269,7 +282,59 @@ def oracle_sql() -> dict[str, str]:
           "END AS quarantine_key FROM rows_pf r LEFT JOIN flagged_files f ON r.source_file = f.source_file)\n")
     band = (f"CASE WHEN data_quality_score < {P.score_band_low} THEN 'below_80' "
             f"WHEN data_quality_score < {P.score_target} THEN '80_to_95' ELSE '95_and_above' END")
+    # F4 as its nested text says it: no Total every 7th day, no Groups every
+    # 11th, no period every 13th, and a tax of 0.125 in the Total
+    parsed = (f"{CBASE},\nnested AS (SELECT period_start AS day, date_diff('day', DATE '1992-01-01', period_start) AS d, "
+              "sum(amount) AS total, count(*) AS n, sum(CAST(printf('%.8f', amount) AS DOUBLE)) AS groups_sum, "
+              "string_agg(service || '=' || printf('%.8f', amount), ';' ORDER BY service) AS t "
+              "FROM cost_bs GROUP BY 1),\n"
+              "parsed AS (SELECT day, CASE WHEN d % 13 <> 0 AND d % 7 <> 0 THEN total + 0.125 END AS total, "
+              "CASE WHEN d % 13 <> 0 AND d % 11 <> 0 THEN t ELSE '' END AS groups_text, "
+              "CASE WHEN d % 13 <> 0 AND d % 11 <> 0 THEN groups_sum ELSE 0.0 END AS service_sum, "
+              "CASE WHEN d % 13 <> 0 AND d % 11 <> 0 THEN n ELSE 0 END AS n FROM nested)\n")
+    csv_cols = CLAIM_COLS.replace("icd10_code", "nullif(icd10_code, '') AS icd10_code")
+    n = "CAST(substr(claim_id, 2) AS BIGINT)"
+    first, rest = CLAIM_COLS.split(", ")[:3], CLAIM_COLS.split(", ")[3:]
+    cut = {c: f"nullif({c}, '')" if c == "icd10_code" else c for c in rest}
+    cut["service_date"] = f"CASE WHEN {n} % 19 <> 0 THEN service_date END"
+    cut["claim_amount"] = f"CASE WHEN {n} % 23 <> 0 THEN claim_amount END"
+    malformed = ", ".join(first + [f"CASE WHEN {n} % 31 <> 0 THEN {e} END AS {c}" for c, e in cut.items()])
+    mended_files = f"{MENDED_BASE},\n{FILE_METRICS}"
+    at = "TIMESTAMP '2024-12-03 00:00:00'"
+    mended_points = (f"{mended_files},\nhourly AS (SELECT * EXCLUDE (source_file), source_file, {at} AS ts "
+                     f"FROM file_metrics),\n{HOURLY_FOLDER}")
+    audit = " ".join(f"WHEN '{t}' THEN {body}" for t, body in (
+        ("quarantine_data", "(SELECT '{\"status\":\"success\",\"quarantined_count\":' || count(*) || "
+                            "',\"quarantined_rows\":' || sum(rows) || '}' FROM fstatus WHERE status = 'Quarantined')"),
+        ("restart_job", "'{\"status\":\"success\",\"reprocess\":\"claims/\"}'"),
+        ("cost_spike_detected", "'{\"status\":\"success\",\"message\":\"cost spike recorded\"}'")))
     q: dict[str, str] = {
+        "csv_scan": f"WITH {CLAIMS} SELECT {csv_cols}, source_file FROM claims",
+        "csv_untyped": f"WITH {CLAIMS} SELECT {csv_cols}, source_file FROM claims",
+        "csv_malformed": f"WITH {CLAIMS} SELECT {malformed} FROM claims",
+        "gold_after_rerun": f"{MENDED_BASE} SELECT {CLAIM_COLS}, source_file, CAST(year(service_date) AS INTEGER) "
+                            "AS year, CAST(month(service_date) AS INTEGER) AS month FROM tiered WHERE tier = 'gold'",
+        "silver_after_rerun": f"{MENDED_BASE} SELECT claim_id, member_id, provider_id, cpt_code, claim_amount, "
+                              "service_date, dq_issues, source_file FROM tiered WHERE tier = 'silver'",
+        "quarantine_after_rerun": f"{MENDED_BASE} SELECT claim_id, cpt_code, claim_amount, service_date, "
+                                  f"{r('z_score', 'z_score')}, 'STATISTICAL_OUTLIER' AS anomaly_type, source_file "
+                                  "FROM tiered WHERE tier = 'quarantine'",
+        "points_after_rerun": f"{mended_points} SELECT {pcols} FROM ({_points('hourly')} UNION ALL "
+                              f"{_points('hourly_folder')})",
+        "quarantine_sink": f"{fm},\n{_flag_files()}\nSELECT claim_id, source_file, 'run1' AS run_id FROM claims WHERE "
+                           "source_file IN (SELECT source_file FROM flagged_files) UNION ALL "
+                           "SELECT claim_id, source_file, 'run3' FROM claims WHERE "
+                           "starts_with(source_file, 'claims/payer_claims_2024010') AND "
+                           "source_file NOT IN (SELECT source_file FROM flagged_files)",
+        "remediation_audit": f"{fs}, {REQUESTS} SELECT request_id, '2024-01-31T00:00:00' AS timestamp, "
+                             f"coalesce(action, '') AS action, coalesce({ROUTED}, 'none') AS routed_action, "
+                             f"CASE {ROUTED} {audit} ELSE '{{\"status\":\"error\",\"message\":\"' || {_ERROR} || "
+                             f"'\"}}' END AS result, '{P.environment}' AS environment, "
+                             f"CAST({_STATUS} AS BIGINT) AS status_code FROM requests",
+        "metric_stream_hourly": f"{PBASE} SELECT namespace, metric_name, source_file, ts AS period_start, "
+                                "round(avg(value), 6) AS average, round(sum(value), 6) AS sum, round(max(value), 6) AS "
+                                "maximum, round(min(value), 6) AS minimum, count(*) AS sample_count FROM file_points "
+                                "WHERE ts + INTERVAL 3 HOUR <= (SELECT max(ts) FROM file_points) GROUP BY 1, 2, 3, 4",
         "claims_scan": f"WITH {CLAIMS} SELECT * FROM claims",
         "ingest_metadata": f"WITH {CLAIMS} SELECT claim_id, source_file, {FOLDER} AS folder FROM claims",
     }
@@ -347,27 +412,26 @@ def oracle_sql() -> dict[str, str]:
                         "round(avg(value), 6) AS average, round(sum(value), 6) AS sum, round(max(value), 6) AS "
                         "maximum, round(min(value), 6) AS minimum, count(*) AS sample_count FROM points "
                         "GROUP BY 1, 2, 3, 4",
-        "tiers_per_file_run": f"WITH {CLAIMS},\n{FLAGGED},\n" + TIERED.replace(
-            "SELECT cpt_code, avg", "SELECT source_file, cpt_code, avg").replace(
-            "GROUP BY cpt_code", "GROUP BY source_file, cpt_code").replace(
-            "ON f.cpt_code = s.cpt_code", "ON f.source_file = s.source_file AND f.cpt_code = s.cpt_code")
-            + f" SELECT source_file, total_records, gold_records, silver_records, quarantine_records, "
-              "total_anomalies, round(data_quality_score, 6) AS data_quality_score, "
-              f"round(anomaly_rate, 6) AS anomaly_rate FROM ({_derive(_counts('source_file', 'source_file'))})",
+        "tiers_per_file_run": f"{PER_FILE_BASE} SELECT source_file, {wide} FROM "
+                              f"({_derive(_counts('source_file', 'source_file'))})",
+        "stream_tiers": f"{PER_FILE_BASE} SELECT source_file, {wide} FROM "
+                        f"({_derive(_counts('source_file', 'source_file'))})",
+        "batch_csv_tiers": f"{fm} SELECT source_file, {wide} FROM file_metrics",
         "metric_latest": f"{PBASE} SELECT namespace, metric_name, source_file, max(ts) AS latest_ts, "
                          "round(arg_max(value, ts), 6) AS latest_value FROM points GROUP BY 1, 2, 3",
         "metric_recent": f"{PBASE} SELECT * FROM (SELECT namespace, metric_name, source_file, ts, "
                          "round(value, 6) AS value, CAST(row_number() OVER (PARTITION BY namespace, metric_name, "
                          "source_file ORDER BY ts DESC) AS INTEGER) AS recency FROM points) WHERE recency <= 3",
         "metric_dimensions": f"{PBASE} SELECT DISTINCT namespace, metric_name, source_file FROM points "
-                             "WHERE source_file <> 'claims/' AND contains(source_file, 'payer_claims')",
+                             "WHERE NOT ends_with(source_file, '/') AND contains(source_file, 'payer_claims')",
         "latest_file_summary": f"{PBASE},\nlp AS (SELECT * FROM points WHERE namespace = '{NS}' AND "
-                               "source_file <> 'claims/' AND contains(source_file, 'payer_claims') AND "
+                               "NOT ends_with(source_file, '/') AND contains(source_file, 'payer_claims') AND "
                                "ts >= TIMESTAMP '2024-01-24 00:00:00' AND ts < TIMESTAMP '2024-01-31 00:00:00'),\n"
                                "lf AS (SELECT source_file FROM lp ORDER BY ts DESC, source_file DESC LIMIT 1),\n"
-                               "pm AS (SELECT source_file, metric_name, arg_max(value, ts) AS v FROM lp WHERE "
+                               "ph AS (SELECT source_file, metric_name, date_trunc('hour', ts) AS h, max(value) AS v FROM lp WHERE "
                                "source_file IN (SELECT source_file FROM lf) AND metric_name IN ('AnomalyCount', "
-                               "'SilverRecords', 'TotalRecords', 'GoldRecords') GROUP BY 1, 2),\n"
+                               "'SilverRecords', 'TotalRecords', 'GoldRecords') GROUP BY 1, 2, 3),\n"
+                               "pm AS (SELECT source_file, metric_name, arg_max(v, h) AS v FROM ph GROUP BY 1, 2),\n"
                                "s AS (SELECT source_file, "
                                "CAST(coalesce(max(v) FILTER (WHERE metric_name = 'AnomalyCount'), 0.0) AS BIGINT) AS total_anomalies, "
                                "CAST(coalesce(max(v) FILTER (WHERE metric_name = 'SilverRecords'), 0.0) AS BIGINT) AS data_quality_issues, "
@@ -391,8 +455,16 @@ def oracle_sql() -> dict[str, str]:
                         f"CASE WHEN cur * 30 < {P.monthly_budget} THEN 'Within budget' ELSE 'Over budget' END "
                         "AS budget_status FROM s2",
         "cost_by_service": f"{CBASE} SELECT period_start, service, round(amount, 8) AS amount FROM cost_bs",
-        "cost_daily": f"{CBASE} SELECT period_start, round(total, 8) AS total_cost, round(total, 8) AS service_sum, "
-                      "CAST(n AS INTEGER) AS n_services FROM cost_resp",
+        "cost_daily": f"{parsed} SELECT day AS period_start, coalesce(round(total, 8), 0.0) AS total_cost, "
+                      "round(service_sum, 8) AS service_sum, CAST(n AS INTEGER) AS n_services FROM parsed",
+        "cost_parse": f"{parsed} SELECT day, day AS period_start, round(total, 8) AS total, groups_text FROM parsed",
+        "cost_spike_events": f"{CBASE}, txt AS (SELECT period_start, string_agg(service || '=' || "
+                             "printf('%.8f', amount), ';' ORDER BY service) AS t FROM cost_bs GROUP BY 1) "
+                             "SELECT 'Cost Spike Detected' AS detail_type, round(total, 8) AS current_cost, "
+                             f"CAST({P.cost_threshold} AS DOUBLE) AS threshold, t AS service_breakdown, "
+                             "strftime(r.period_start, '%Y-%m-%d') AS date, '2024-01-31T00:00:00' AS timestamp "
+                             f"FROM cost_resp r JOIN txt ON r.period_start = txt.period_start "
+                             f"WHERE total > {P.cost_threshold}",
         "cost_yesterday": f"{CBASE} SELECT period_start, service, round(amount, 8) AS amount FROM cost_bs "
                           "WHERE period_start >= DATE '2001-08-01' AND period_start < DATE '2001-08-02'",
         "cost_metric_points": f"{CBASE} SELECT namespace, metric_name, dimension, ts, round(value, 8) AS value, unit "

@@ -8,28 +8,32 @@ to 6 digits so the DuckDB oracle can compare them across engines.
 
 from __future__ import annotations
 
+import datetime as dt
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimsdq.functions.columns import folder_prefix
+from claimsdq.functions.rules import RULES
 from claimsdq.operators import alarms as AL
 from claimsdq.operators import costs as CO
 from claimsdq.operators import metrics as ME
 from claimsdq.operators import remediation as RE
 from claimsdq.operators import timeseries as TS
-from claimsdq.operators.anomaly import score_claims
-from claimsdq.operators.tiers import (
-    gold_tier, quarantine_tier, silver_tier, tier_counts)
+from claimsdq.operators.anomaly import amount_stats, score_claims
+from claimsdq.operators.tiers import gold_tier, quarantine_tier, silver_tier, tier_counts
 from claimsdq.operators.validate import ALL_MATCH, FIRST_MATCH, rule_hits, with_issues
-from claimsdq.params import DEFAULT, DQParams
-from claimsdq.sources.claims import CLAIM_COLUMNS, load_claims, read_table
+from claimsdq.plans import fixtures as FX
+from claimsdq.plans.batch import run_csv_job, run_tiers
+from claimsdq.plans.fixtures import P, P_F3, load_claims
+from claimsdq.plans.remediate import quarantine_files, remediate
+from claimsdq.plans.store import Store, in_range
+from claimsdq.session import checkpoint_dir, staging_path
+from claimsdq.sources.claims import CLAIM_COLUMNS, read_claims_csv, read_claims_untyped, read_table
+from claimsdq.streaming.file_ingest import start_file_ingest
+from claimsdq.streaming.metric_stream import hourly_buckets
 
-P = DEFAULT
-# hourly anomaly counts stay small in the fixture, so the anomaly alarm
-# is evaluated at a threshold of 4 instead of 100.
-P_F3 = DEFAULT.with_(anomaly_threshold=4.0)
 R = 6
 # Cost amounts are cents / 1e6: 8 digits keep them exact (6 would cut at
 # half-cent ties, which two engines may round apart).
@@ -59,8 +63,35 @@ def tiered(spark: SparkSession, sf: str) -> DataFrame:
     return score_claims(flagged(spark, sf), P)
 
 
-def points(spark: SparkSession, sf: str, level: str = "all") -> DataFrame:
-    return ME.metric_points(tiered(spark, sf), P, level)
+_tables: dict[tuple, str] = {}
+
+
+def written_once(spark: SparkSession, sf: str, name: str, write: Callable[[str], None]) -> str:
+    """A folder that ``write`` filled, once per application and input: queries
+    over the same written table share it instead of writing it again."""
+    key = (spark.sparkContext.applicationId, checkpoint_dir(spark), sf, name)
+    if key not in _tables:
+        path = staging_path(spark, name)
+        write(path)
+        _tables[key] = path
+    return _tables[key]
+
+
+def points_table(spark: SparkSession, sf: str) -> DataFrame:
+    """F3 as the read side finds it: file-level hourly points, in date folders."""
+    def write(path: str) -> None:
+        wide = ME.hourly_file_metrics(tiered(spark, sf))
+        ME.to_points(wide, P.dq_namespace, ["source_file", "ts"]).withColumn("date", F.to_date("ts")) \
+            .repartition("date").write.partitionBy("date").parquet(path)
+    return spark.read.parquet(written_once(spark, sf, "points", write))
+
+
+def points(spark: SparkSession, sf: str, level: str = "all", start=None, end=None) -> DataFrame:
+    files = in_range(points_table(spark, sf), start, end).drop("date")
+    if level == "file":
+        return files
+    folders = ME.folder_points(files)
+    return folders if level == "folder" else files.unionByName(folders)
 
 
 def file_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -68,7 +99,7 @@ def file_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cost_resp(spark: SparkSession, sf: str) -> DataFrame:
-    return CO.cost_responses(read_table(spark, sf, "orders"), read_table(spark, sf, "customer"))
+    return FX.cost_responses(read_table(spark, sf, "orders"), read_table(spark, sf, "customer"))
 
 
 def _point_cols(df: DataFrame, dim: str = "source_file") -> DataFrame:
@@ -93,22 +124,9 @@ def _rule_query(code: str) -> Callable:
     return q
 
 
-RULE_QUERIES = {
-    "rule_missing_member": "MISSING_MEMBER_ID",
-    "rule_missing_npi": "MISSING_NPI",
-    "rule_missing_cpt": "MISSING_CPT",
-    "rule_missing_diagnosis": "MISSING_DIAGNOSIS",
-    "rule_missing_amount": "MISSING_AMOUNT",
-    "rule_invalid_npi": "INVALID_NPI",
-    "rule_negative_amount": "NEGATIVE_AMOUNT",
-    "rule_excessive_amount": "EXCESSIVE_AMOUNT",
-    "rule_future_service": "FUTURE_SERVICE_DATE",
-    "rule_late_submission": "LATE_SUBMISSION",
-    "rule_submission_before_service": "SUBMISSION_BEFORE_SERVICE",
-    "rule_invalid_status": "INVALID_STATUS",
-    "rule_invalid_gender": "INVALID_GENDER",
-    "rule_invalid_zip": "INVALID_ZIP",
-}
+#: Query names of the rules whose own name is longer than need be.
+_SHORT = {"MISSING_MEMBER_ID": "missing_member", "FUTURE_SERVICE_DATE": "future_service"}
+RULE_QUERIES = {f"rule_{_SHORT.get(r.code, r.code.lower())}": r.code for r in RULES}
 
 
 def q_dq_issues_first_match(spark, sf):
@@ -132,7 +150,6 @@ def q_dq_failed(spark, sf):
 
 def q_amount_stats_by_code(spark, sf):
     clean = flagged(spark, sf).filter(~F.col("has_dq_issues"))
-    from claimsdq.operators.anomaly import amount_stats
     return amount_stats(clean).select("cpt_code", _r("avg_amount"), _r("stddev_amount"), "count")
 
 
@@ -158,7 +175,9 @@ def q_gold_tier(spark, sf):
 
 
 def q_silver_tier(spark, sf):
-    return silver_tier(tiered(spark, sf))
+    # silver needs the rules only, no stats
+    failed = flagged(spark, sf).filter("has_dq_issues").withColumn("tier", F.lit("silver"))
+    return silver_tier(failed)
 
 
 def q_quarantine_tier(spark, sf):
@@ -246,8 +265,8 @@ def q_union_failures(spark, sf):
 # ---------------------------------------------------------------- time series
 
 def q_metric_range(spark, sf):
-    r = TS.metric_range(points(spark, sf), P.dq_namespace, "DataQualityScore", "claims/", 168, P.as_of_ts)
-    return _point_cols(r)
+    pts = points(spark, sf, "folder", P.as_of_ts - dt.timedelta(hours=168), P.as_of_ts)
+    return _point_cols(TS.metric_range(pts, P.dq_namespace, "DataQualityScore", P.folder, 168, P.as_of_ts))
 
 
 def q_metric_hourly(spark, sf):
@@ -272,11 +291,12 @@ def q_metric_recent(spark, sf):
 
 def q_metric_dimensions(spark, sf):
     # per-file dimensions only: the folder roll-up would be filtered out
-    return TS.metric_dimensions(points(spark, sf, "file"))
+    return TS.metric_dimensions(points(spark, sf, "file"), contains="payer_claims")
 
 
 def q_latest_file_summary(spark, sf):
-    s = TS.latest_file_summary(points(spark, sf, "file"), P)
+    pts = points(spark, sf, "file", P.as_of_ts - dt.timedelta(days=7), P.as_of_ts)
+    s = TS.latest_file_summary(pts, P, contains="payer_claims")
     return s.select("source_file", "total_anomalies", "data_quality_issues", "total_records",
                     "gold_records", _r("dq_score"))
 
@@ -296,50 +316,41 @@ def q_cost_summary(spark, sf):
 
 # ---------------------------------------------------------------- alarms
 
-def _defs(params: DQParams = P_F3) -> dict[str, AL.AlarmDef]:
-    return {d.metric_name: d for d in AL.alarm_defs(params)}
-
-
 def _alarm_out(df: DataFrame) -> DataFrame:
     return df.select("alarm_name", "period_start", _rc("value"), "state")
 
 
-def _dq_alarm(spark, sf, metric: str) -> DataFrame:
-    return AL.alarm_periods(points(spark, sf, "folder"), _defs()[metric])
+def _defs(spark, metric: str | None = None) -> DataFrame:
+    return AL.alarm_definitions(spark, defs=[d for d in AL.alarm_defs(P_F3) if metric in (None, d.metric_name)])
 
 
-def _cost_alarm(spark, sf) -> DataFrame:
-    return AL.alarm_periods(CO.cost_metric_points(cost_resp(spark, sf), P), _defs()["DailyCost"],
-                            dim_col=None)
+def _cost_points(spark, sf) -> DataFrame:
+    return CO.cost_metric_points(cost_resp(spark, sf), P).withColumnRenamed("dimension", "source_file")
+
+
+def _alarm_points(spark, sf) -> DataFrame:
+    """Every series that an alarm watches, in one table."""
+    return points(spark, sf, "folder").unionByName(_cost_points(spark, sf))
 
 
 def q_alarm_anomaly(spark, sf):
-    return _alarm_out(_dq_alarm(spark, sf, "AnomalyCount"))
+    return _alarm_out(AL.alarm_periods(points(spark, sf, "folder"), _defs(spark, "AnomalyCount")))
 
 
 def q_alarm_score(spark, sf):
-    return _alarm_out(_dq_alarm(spark, sf, "DataQualityScore"))
+    return _alarm_out(AL.alarm_periods(points(spark, sf, "folder"), _defs(spark, "DataQualityScore")))
 
 
 def q_alarm_cost(spark, sf):
-    return _alarm_out(_cost_alarm(spark, sf))
-
-
-def _all_transitions(spark, sf) -> DataFrame:
-    pts = points(spark, sf, "folder")
-    d = _defs()
-    parts = [AL.alarm_transitions(AL.alarm_periods(pts, d["AnomalyCount"])),
-             AL.alarm_transitions(AL.alarm_periods(pts, d["DataQualityScore"])),
-             AL.alarm_transitions(_cost_alarm(spark, sf))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return _alarm_out(AL.alarm_periods(_cost_points(spark, sf), _defs(spark, "DailyCost")))
 
 
 def q_alarm_transitions(spark, sf):
-    return _alarm_out(_all_transitions(spark, sf))
+    return _alarm_out(AL.alarm_transitions(_alarm_points(spark, sf), _defs(spark)))
 
 
 def _events(spark, sf) -> DataFrame:
-    return AL.alarm_events(_all_transitions(spark, sf), AL.alarm_definitions(spark, P_F3))
+    return AL.alarm_events(_alarm_points(spark, sf), _defs(spark))
 
 
 def q_alarm_events(spark, sf):
@@ -347,27 +358,50 @@ def q_alarm_events(spark, sf):
                                      "action", _rc("value"))
 
 
+def _requests(spark, sf) -> DataFrame:
+    """Action requests from ``events``: one per 50 events, over the six known
+    names, an unknown one, an empty one and none at all."""
+    names = F.array(*[F.lit(n) for n, _ in AL.ACTION_ROUTES], F.lit("drop_tables"), F.lit(""), F.lit(None))
+    return read_table(spark, sf, "events").filter("event_id % 50 = 0").select(
+        F.concat(F.lit("R"), F.col("event_id").cast("string")).alias("request_id"),
+        F.get(names, F.pmod(F.col("event_id") / 50, F.lit(9)).cast("int")).alias("action"))
+
+
 def q_action_routing(spark, sf):
     e = _events(spark, sf)
     req = e.select(F.concat(F.col("alarm_name"), F.lit("@"),
                             F.date_format(F.col("timestamp"), "yyyyMMddHH")).alias("request_id"),
                    "action")
-    return AL.action_routing(req)
+    return AL.action_routing(req.unionByName(_requests(spark, sf)))
 
 
 # ---------------------------------------------------------------- costs
 
+def _parsed(spark, sf) -> DataFrame:
+    """F4's nested answers, parsed; the answer's own day stands in for a period
+    that is not there."""
+    answers = FX.cost_json(read_table(spark, sf, "orders"), read_table(spark, sf, "customer"))
+    p = CO.parse_responses(answers.withColumnRenamed("period_start", "day"), keep=("day",))
+    return p.withColumn("period_start", F.coalesce("period_start", "day"))
+
+
+def q_cost_parse(spark, sf):
+    groups = F.array_join(F.transform("groups", lambda g: F.concat(
+        g["service"], F.lit("="), F.format_string("%.8f", g["amount"]))), ";")
+    return _parsed(spark, sf).select("day", "period_start", _rc("total"), groups.alias("groups_text"))
+
+
 def q_cost_by_service(spark, sf):
     return CO.cost_by_service(cost_resp(spark, sf)).select("period_start", "service", _rc("amount"))
 
 
 def q_cost_daily(spark, sf):
-    return CO.cost_daily(cost_resp(spark, sf)).select("period_start", _rc("total_cost"), _rc("service_sum"),
-                                                       "n_services")
+    d = CO.cost_daily(_parsed(spark, sf))
+    return d.select("period_start", _rc("total_cost"), _rc("service_sum"), "n_services")
 
 
 def q_cost_yesterday(spark, sf):
-    y = CO.cost_yesterday(cost_resp(spark, sf), P.cost_as_of)
+    y = CO.cost_yesterday(cost_resp(spark, sf), P.need("cost_as_of"))
     return CO.cost_by_service(y).select("period_start", "service", _rc("amount"))
 
 
@@ -381,10 +415,26 @@ def q_cost_status(spark, sf):
     return s.select("period_start", _rc("total_cost"), "threshold", "status", "breakdown_text")
 
 
+def q_cost_spike_events(spark, sf):
+    e = CO.cost_spike_events(cost_resp(spark, sf), P.need("as_of_ts"), P)
+    breakdown = F.array_join(F.transform(F.array_sort(F.map_entries("detail.service_breakdown")), lambda g: F.concat(
+        g["key"], F.lit("="), F.format_string("%.8f", g["value"]))), ";")
+    return e.select("detail_type", _rc("detail.current_cost").alias("current_cost"),
+                    F.col("detail.threshold").alias("threshold"), breakdown.alias("service_breakdown"),
+                    F.col("detail.date").alias("date"), F.col("detail.timestamp").alias("timestamp"))
+
+
 # ---------------------------------------------------------------- remediation
 
+def file_metrics_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The per-file metrics as a run writes them: remediation starts from these,
+    not from another pass over the claims."""
+    return spark.read.parquet(written_once(
+        spark, sf, "file-metrics", lambda path: file_metrics(spark, sf).write.parquet(path)))
+
+
 def _flagged_files(spark, sf) -> DataFrame:
-    return RE.flagged_files(file_metrics(spark, sf), P)
+    return RE.flagged_files(file_metrics_table(spark, sf), P)
 
 
 def q_quarantine_by_file(spark, sf):
@@ -398,7 +448,8 @@ def q_retain_by_file(spark, sf):
 
 
 def _file_status(spark, sf) -> DataFrame:
-    return RE.file_status(RE.rows_per_file(claims(spark, sf)), _flagged_files(spark, sf), P)
+    rows = file_metrics_table(spark, sf).select("source_file", F.col("total_records").alias("rows"))
+    return RE.file_status(rows, _flagged_files(spark, sf), P)
 
 
 def q_file_status(spark, sf):
@@ -409,6 +460,145 @@ def q_quarantine_summary(spark, sf):
     return RE.quarantine_summary(_file_status(spark, sf))
 
 
+def q_quarantine_sink(spark, sf):
+    """What lies in quarantine after the score-based action, the same action
+    again (which finds nothing new), and the action for one prefix."""
+    store = Store(spark, staging_path(spark, "remediation"))
+    c, m = claims(spark, sf), file_metrics_table(spark, sf)
+    quarantine_files(c, m, store, "run1", P)
+    quarantine_files(c, m, store, "run2", P)
+    quarantine_files(c, m, store, "run3", P, prefix="claims/payer_claims_2024010")
+    rows = spark.read.parquet(f"{store.root}/quarantined_files")
+    return rows.select("claim_id", "source_file", "run_id")
+
+
+def q_remediation_audit(spark, sf):
+    store = Store(spark, staging_path(spark, "remediation"))
+    records = remediate(_requests(spark, sf), claims(spark, sf), file_metrics_table(spark, sf), store,
+                        P.need("as_of_ts").replace(tzinfo=dt.timezone.utc), P, run_id="audit")
+    return records.select("request_id", "timestamp", "action", "routed_action", "result", "environment", "status_code")
+
+
+# ---------------------------------------------------------------- sinks, reruns, arrivals
+
+def after_rerun(spark: SparkSession, sf: str) -> Store:
+    """A store after F1 ran whole, one mended file ran alone, and the mended
+    prefix ran whole."""
+    def write(path: str) -> None:
+        first = claims(spark, sf)
+        mended = FX.corrected(first)
+        alone = mended.filter("source_file = 'claims/payer_claims_20240103.csv'")
+        for n, rows in enumerate((first, alone, mended)):
+            at = dt.datetime(2024, 12, 1 + n, tzinfo=dt.timezone.utc)
+            files = first if n != 1 else alone
+            run_tiers(rows.withColumn("ingestion_timestamp", F.lit(at)), path, P, run_ts=at, run_id=f"run{n}",
+                      files=files.select("source_file").distinct())
+    return Store(spark, written_once(spark, sf, "after-rerun", write))
+
+
+def q_gold_after_rerun(spark, sf):
+    return after_rerun(spark, sf).read("gold").drop("ingestion_timestamp", "run_id")
+
+
+def q_silver_after_rerun(spark, sf):
+    return after_rerun(spark, sf).read("silver").drop("ingestion_timestamp", "run_id")
+
+
+def q_quarantine_after_rerun(spark, sf):
+    return after_rerun(spark, sf).read("quarantine").select(
+        "claim_id", "cpt_code", "claim_amount", "service_date", _r("z_score"), "anomaly_type", "source_file")
+
+
+def q_points_after_rerun(spark, sf):
+    return _point_cols(after_rerun(spark, sf).points())
+
+
+def _as_csv(spark, sf, name: str, rows: Callable[[], DataFrame]) -> str:
+    """F1 as CSV files with a header, one per day, under ``<root>/claims``."""
+    def write(path: str) -> None:
+        rows().repartition("day").write.partitionBy("day").option("header", "true").csv(f"{path}/claims")
+    return written_once(spark, sf, name, write)
+
+
+def _day_of() -> Column:
+    return F.regexp_extract("source_file", "([0-9]{8})[.]csv$", 1).alias("day")
+
+
+def _named(df: DataFrame) -> DataFrame:
+    """The day folder's file under the name its day has in F1."""
+    day = F.regexp_extract("source_file", "day=([0-9]{8})", 1)
+    return df.withColumn("source_file", F.concat(F.lit("claims/payer_claims_"), day, F.lit(".csv")))
+
+
+def f1_csv(spark: SparkSession, sf: str) -> str:
+    return _as_csv(spark, sf, "f1-csv", lambda: claims(spark, sf).select(
+        *FX.claim_fields_as_text(claims(spark, sf)), _day_of()))
+
+
+def q_csv_scan(spark, sf):
+    root = f1_csv(spark, sf)
+    return _named(read_claims_csv(spark, f"{root}/claims", key_root=root)).drop("ingestion_timestamp")
+
+
+def q_csv_untyped(spark, sf):
+    """The same files as the local checker reads them, by header name."""
+    root = f1_csv(spark, sf)
+    return _named(read_claims_untyped(spark, f"{root}/claims", key_root=root)).drop("ingestion_timestamp")
+
+
+def q_csv_malformed(spark, sf):
+    """Files with bad dates, bad amounts and short rows: each bad field is null
+    and its row stays."""
+    n = F.substring("claim_id", 2, 10).cast("long")
+
+    def lines() -> DataFrame:
+        text = {c: F.coalesce(F.col(c), F.lit("")) for c in CLAIM_COLUMNS}
+        text["service_date"] = F.when(n % 19 == 0, F.lit("2024-13-45")).otherwise(text["service_date"])
+        text["claim_amount"] = F.when(n % 23 == 0, F.lit("abc")).otherwise(text["claim_amount"])
+        whole, short = F.concat_ws(",", *text.values()), F.concat_ws(",", *[text[c] for c in CLAIM_COLUMNS[:3]])
+        return claims(spark, sf).select(*FX.claim_fields_as_text(claims(spark, sf))) \
+            .select(F.when(n % 31 == 0, short).otherwise(whole).alias("line"))
+
+    root = written_once(spark, sf, "f1-malformed", lambda path: lines().write.text(f"{path}/claims"))
+    return read_claims_csv(spark, f"{root}/claims", header=False).select(*CLAIM_COLUMNS)
+
+
+def q_stream_tiers(spark, sf):
+    """F1's files through the arrival stream, each file its own run."""
+    def write(path: str) -> None:
+        root = f1_csv(spark, sf)
+        q = start_file_ingest(spark, f"{root}/claims", path, f"{path}-stream", P, key_root=root, max_files_per_trigger=12)
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+    m = _named(Store(spark, written_once(spark, sf, "stream-tiers", write)).read("metrics/files"))
+    return m.select("source_file", *_WIDE, _r("data_quality_score"), _r("anomaly_rate"))
+
+
+def q_batch_csv_tiers(spark, sf):
+    """F1's files through the batch job."""
+    def write(path: str) -> None:
+        root = f1_csv(spark, sf)
+        run_csv_job(spark, f"{root}/claims", path, P, key_root=root, run_id="only")
+    m = _named(Store(spark, written_once(spark, sf, "batch-tiers", write)).read("metrics/files"))
+    return m.select("source_file", *_WIDE, _r("data_quality_score"), _r("anomaly_rate"))
+
+
+def q_metric_stream_hourly(spark, sf):
+    """F3's points through the metric stream: the buckets that the watermark has
+    closed (all but the last two hours)."""
+    def write(path: str) -> None:
+        src = spark.readStream.schema(points_table(spark, sf).schema) \
+            .parquet(written_once(spark, sf, "points", lambda _: None))
+        q = hourly_buckets(src).writeStream.outputMode("append").format("parquet").option("path", path) \
+            .option("checkpointLocation", f"{path}-stream").trigger(availableNow=True).start()
+        q.awaitTermination()
+        if q.exception():
+            raise q.exception()
+    b = spark.read.parquet(written_once(spark, sf, "stream-buckets", write))
+    return b.select(*TS.SERIES, "period_start", _r("average"), _r("sum"), _r("maximum"), _r("minimum"), "sample_count")
+
+
 # ---------------------------------------------------------------- catalog
 
 def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -457,6 +647,8 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "alarm_transitions": q_alarm_transitions,
         "alarm_events": q_alarm_events,
         "action_routing": q_action_routing,
+        "cost_parse": q_cost_parse,
+        "cost_spike_events": q_cost_spike_events,
         "cost_by_service": q_cost_by_service,
         "cost_daily": q_cost_daily,
         "cost_yesterday": q_cost_yesterday,
@@ -466,5 +658,17 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "retain_by_file": q_retain_by_file,
         "quarantine_summary": q_quarantine_summary,
         "file_status": q_file_status,
+        "quarantine_sink": q_quarantine_sink,
+        "remediation_audit": q_remediation_audit,
+        "gold_after_rerun": q_gold_after_rerun,
+        "silver_after_rerun": q_silver_after_rerun,
+        "quarantine_after_rerun": q_quarantine_after_rerun,
+        "points_after_rerun": q_points_after_rerun,
+        "csv_scan": q_csv_scan,
+        "csv_untyped": q_csv_untyped,
+        "csv_malformed": q_csv_malformed,
+        "stream_tiers": q_stream_tiers,
+        "batch_csv_tiers": q_batch_csv_tiers,
+        "metric_stream_hourly": q_metric_stream_hourly,
     })
     return out

@@ -8,11 +8,10 @@ session without that setting gets a scratch folder of its own.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -27,7 +26,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.ui.showConsoleProgress", "false")
     )
     for k, v in (extra or {}).items():
@@ -46,9 +44,8 @@ def cluster_conf(input_bytes: int) -> dict[str, str]:
       metrics); the one large shuffle is the salted join fallback.  Start at
       about one partition per 2 GB of input and let AQE coalesce towards
       256 MB partitions and split skewed ones.
-    * Dynamic partition overwrite makes every sink idempotent per file.
     """
-    parts = max(200, min(50000, input_bytes // (2 << 30)))
+    parts = max(200, input_bytes // (2 << 30))
     return {
         "spark.sql.files.maxPartitionBytes": str(512 << 20),
         "spark.sql.shuffle.partitions": str(parts),
@@ -56,7 +53,6 @@ def cluster_conf(input_bytes: int) -> dict[str, str]:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.parquet.compression.codec": "zstd",
     }
 
@@ -65,32 +61,34 @@ def apply_unset(spark: SparkSession, conf: dict[str, str]) -> None:
     """Set each key only where the submitted configuration does not name it."""
     given = spark.sparkContext.getConf()
     for k, v in conf.items():
-        if not given.contains(k):
+        if not given.contains(k) and spark.conf.isModifiable(k):
             spark.conf.set(k, v)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
-    Read from the session; set a scratch folder only when it is unset and the
-    master is local (tests, bench).  A cluster without the setting is an error:
-    a machine-local folder would not survive the loss of an executor.
+    Read from the session; a scratch folder is set only when it is unset and
+    the master is one machine (tests, bench).  A cluster without the setting is
+    an error: a machine-local folder would not survive the loss of an executor.
+    A ``file:`` folder that a cluster names itself is taken at its word, as it
+    may be a mount that all machines share.
     """
+    conf = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
-    except Exception:  # Spark Connect: the server's own checkpoint setting applies
-        return spark.conf.get("spark.checkpoint.dir", "") or ""
+    except Exception as e:  # Spark Connect: only the setting is at hand
+        if not conf:
+            raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for checkpoints") from e
+        return conf
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
-    master = sc.master or ""
-    if not master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; name a shared folder for checkpoints")
+    if not (sc.master or "").startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for checkpoints")
     path = tempfile.mkdtemp(prefix="claimsdq-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
@@ -102,6 +100,44 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{base}/staged/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def scratch_dir() -> str:
-    """A fresh local folder for tests (never used by library code)."""
-    return tempfile.mkdtemp(prefix="claimsdq-run-", dir=os.environ.get("TMPDIR", "/tmp"))
+class RunContext:
+    """The staged tables of one run: written once under the checkpoint folder,
+    shared by the run's steps and removed at its end.
+
+    Without a context an operator still works; what it stages then stays until
+    the checkpoint folder is cleaned, since its lazy result reads it.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def stage(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        """Write ``df`` and read it back with the written types."""
+        path = staging_path(self.spark, name)
+        self.paths.append(path)
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        while self.paths:
+            remove_path(self.spark, self.paths.pop())
+
+    def __enter__(self) -> "RunContext":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it lies."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

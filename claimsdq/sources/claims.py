@@ -1,8 +1,9 @@
-"""Claims sources: the fixed-schema CSV scan (S1, S2, S3, S5) and the claims
-view derived from the driver's ``events`` table (fixture F1)."""
+"""Claims sources: the fixed-schema CSV scan (S1, S2, S3, S5) and the listing
+of claim files behind arrival ingest (S4)."""
 
 from __future__ import annotations
 
+import datetime as dt
 from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,8 +33,10 @@ CLAIM_COLUMNS = [f.name for f in CLAIMS_SCHEMA.fields]
 
 
 def read_claims_csv(spark: SparkSession, path: str | list[str], key_root: str | None = None,
-                    run_ts: Column | None = None, corrupt_column: str | None = None) -> DataFrame:
-    """Read one file, a folder or a glob of claims CSVs.
+                    run_ts: dt.datetime | Column | None = None, corrupt_column: str | None = None,
+                    header: bool = True, only: str | None = None) -> DataFrame:
+    """Read one file, a folder (with all folders in it) or a glob
+    of claims CSVs; ``only`` is a pattern that file names must match.
 
     * The schema is given, so no inference pass; PERMISSIVE mode turns a bad
       field or a short row into NULLs.
@@ -41,20 +44,48 @@ def read_claims_csv(spark: SparkSession, path: str | list[str], key_root: str |
       ``key_root`` stripped so it reads like an object key
       (``claims/payer_claims_20240101.csv``).  A literal would label every row
       of a folder read with the folder name.
-    * ``ingestion_timestamp`` is one literal per run (``run_ts``), not
-      ``current_timestamp()`` per action.
+    * ``ingestion_timestamp`` is one literal per run (``run_ts``, an aware
+      datetime), not ``current_timestamp()`` per action.
     """
     schema = CLAIMS_SCHEMA
-    reader = spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE")
     if corrupt_column:
         schema = T.StructType(schema.fields + [T.StructField(corrupt_column, T.StringType(), True)])
-        reader = spark.read.schema(schema).option("header", "true") \
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_column)
-    df = reader.csv(path)
-    df = df.withColumn("source_file", object_key(F.col("_metadata.file_path"), key_root))
-    df = df.withColumn("ingestion_timestamp",
-                       run_ts if run_ts is not None else F.current_timestamp())
-    return df
+    reader = spark.read.schema(schema).option("header", str(header).lower()).option("mode", "PERMISSIVE") \
+        .option("recursiveFileLookup", "true")
+    if only:
+        reader = reader.option("pathGlobFilter", only)
+    if corrupt_column:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
+    if isinstance(run_ts, dt.datetime):
+        run_ts = F.lit(run_ts)
+    return reader.csv(path) \
+        .withColumn("source_file", object_key(F.col("_metadata.file_path"), key_root)) \
+        .withColumn("ingestion_timestamp", run_ts if run_ts is not None else F.current_timestamp())
+
+
+def read_claims_untyped(spark: SparkSession, path: str | list[str], key_root: str | None = None,
+                        run_ts: dt.datetime | None = None, only: str | None = None) -> DataFrame:
+    """Claims CSVs as the local checker reads them: columns by header name,
+    types brought to the fixed schema value by value (bad ones become NULL)."""
+    reader = spark.read.option("header", "true").option("recursiveFileLookup", "true")
+    if only:
+        reader = reader.option("pathGlobFilter", only)
+    return conform_to_schema(
+        reader.csv(path).withColumn("source_file", object_key(F.col("_metadata.file_path"), key_root))
+        .withColumn("ingestion_timestamp", F.lit(run_ts) if run_ts else F.current_timestamp()))
+
+
+def list_claim_files(spark: SparkSession, path: str | list[str], key_root: str | None = None,
+                     only: str | None = "*.csv") -> DataFrame:
+    """Every file under ``path`` at any depth (whose name matches ``only``):
+    source_file, path, modified, bytes.  Only the listing is read, never a
+    file's content."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if only:
+        reader = reader.option("pathGlobFilter", only)
+    return reader.load(path).select(
+        object_key(F.col("path"), key_root).alias("source_file"), "path",
+        F.col("modificationTime").alias("modified"), F.col("length").alias("bytes"))
 
 
 def conform_to_schema(df: DataFrame) -> DataFrame:
@@ -90,48 +121,8 @@ def object_key(file_path: Column, key_root: str | None) -> Column:
     path = F.url_decode(F.regexp_replace(file_path, r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?", ""))
     root = urlparse(key_root).path if "://" in key_root or key_root.startswith("file:") else key_root
     root = "/" + root.strip("/") + "/" if root.strip("/") else "/"
-    return F.when(path.startswith(root), F.substring(path, len(root) + 1, 1 << 20)).otherwise(path)
-
-
-# Fixture F1: the claims view over the driver's `events` table.  This is test
-# input, written as the Spark SQL text the fixture document gives, so that the
-# DuckDB oracle builds the same rows.
-_F1_SELECT = [
-    "'C' || lpad(CAST(event_id AS STRING), 10, '0') AS claim_id",
-    "CASE WHEN event_id % 101 = 0 THEN NULL ELSE 'MBR' || CAST(user_id AS STRING) END AS member_id",
-    "'PRV' || CAST(event_id % 97 AS STRING) AS provider_id",
-    "CASE WHEN event_id % 103 = 0 THEN NULL WHEN event_id % 107 = 0 THEN '12345' "
-    "WHEN event_id % 211 = 0 THEN '0000000000' ELSE CAST(1000000000 + user_id AS STRING) END AS provider_npi",
-    "CASE WHEN event_id % 109 = 0 THEN NULL WHEN event_id % 223 = 0 THEN 'INVALID' ELSE event_type END AS cpt_code",
-    "CASE WHEN event_id % 113 = 0 THEN '' WHEN event_id % 127 = 0 THEN NULL ELSE 'I10' END AS icd10_code",
-    "CASE WHEN event_id % 131 = 0 THEN NULL WHEN event_id % 137 = 0 THEN -value "
-    "WHEN event_id % 139 = 0 THEN value + 200000 ELSE value END AS claim_amount",
-    "CASE WHEN event_id % 149 = 0 THEN DATE '2099-01-01' WHEN event_id % 227 = 0 THEN NULL "
-    "ELSE CAST(ts AS DATE) END AS service_date",
-    "CASE WHEN event_id % 151 = 0 THEN date_add(CAST(ts AS DATE), 400) "
-    "WHEN event_id % 157 = 0 THEN date_add(CAST(ts AS DATE), -5) "
-    "ELSE date_add(CAST(ts AS DATE), CAST(1 + event_id % 30 AS INT)) END AS submission_date",
-    "CASE WHEN event_id % 163 = 0 THEN 'VOID' WHEN event_id % 167 = 0 THEN NULL "
-    "WHEN event_id % 20 < 3 THEN 'DENIED' WHEN event_id % 10 = 9 THEN 'PENDING' ELSE 'PAID' END AS claim_status",
-    "CASE WHEN event_id % 20 < 3 THEN 'Duplicate claim' END AS denial_reason",
-    "date_add(DATE '1960-01-01', CAST(user_id % 15000 AS INT)) AS patient_dob",
-    "CASE WHEN event_id % 179 = 0 THEN '1234' WHEN event_id % 181 = 0 THEN '12345-6789' "
-    "ELSE lpad(CAST(user_id AS STRING), 5, '0') END AS patient_zip",
-    "CASE WHEN event_id % 173 = 0 THEN 'X' WHEN event_id % 3 = 0 THEN 'M' "
-    "WHEN event_id % 3 = 1 THEN 'F' ELSE 'U' END AS patient_gender",
-    "ts",
-    "'claims/payer_claims_' || date_format(ts, 'yyyyMMdd') || '.csv' AS source_file",
-]
-
-
-def claims_from_events(events: DataFrame) -> DataFrame:
-    """F1 claims (14 claim columns + ts + source_file), a narrow projection."""
-    return events.selectExpr(*_F1_SELECT)
+    return F.when(path.startswith(root), F.right(path, F.char_length(path) - F.lit(len(root)))).otherwise(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def load_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return claims_from_events(read_table(spark, sf_dir, "events"))

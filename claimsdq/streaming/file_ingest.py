@@ -1,47 +1,91 @@
-"""Arrival-driven ingest, one micro-batch of newly arrived claim files.
+"""Arrival-driven ingest of claim files.
 
-A file stream over the claims folder (``*.csv`` only) replaces the
-object-created trigger that starts one job per file.  Each micro-batch runs
+Two ways to notice a file, one way to process it.  Every batch of files runs
 the batch job with the z-score scope narrowed to ``(source_file, cpt_code)``,
-so a file's outliers are judged against its own rows, as in a per-file run.
-Tier writes overwrite the batch's ``source_file`` partitions, so a batch that
-is replayed after a failure replaces what it wrote instead of appending again;
-the stream's checkpoint (a shared folder) records which files were consumed.
+so a file's outliers are judged against its own rows, as in a per-file run, and
+is published as one run of the store.
+
+* ``start_file_ingest``: a file stream over the folder and all folders in it.
+  Its checkpoint records which files were consumed.  The run id is the stream's
+  query id and the batch id, so a replayed batch overwrites itself and two
+  streams never meet.  Files count as new by name, however old their time.
+* ``ingest_arrivals``: a sweep that lists the folder and takes every (file,
+  modification time) that no published run has.  It also sees files that were
+  uploaded again under their name, which a file stream by its nature does not,
+  so run it on a schedule beside the stream or alone.
+
+Both bound the files per batch and leave the rest for the next batch.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from claimsdq.params import DEFAULT, DQParams
-from claimsdq.plans.batch import run_tiers
-from claimsdq.sources.claims import CLAIMS_SCHEMA, object_key
+from claimsdq.plans.batch import run_tiers, utc_now
+from claimsdq.plans.store import Store
+from claimsdq.sources.claims import CLAIMS_SCHEMA, list_claim_files, object_key
 
+#: Bounds a batch's (file, code) groups, and so its broadcast stats.
+FILES_PER_BATCH = 1000
 
-def claims_file_stream(spark: SparkSession, input_dir: str, key_root: str | None = None,
-                       max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (spark.readStream.schema(CLAIMS_SCHEMA).option("header", "true")
-              .option("pathGlobFilter", "*.csv").option("mode", "PERMISSIVE"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    df = reader.csv(input_dir)
+
+def per_file_params(params: DQParams) -> DQParams:
+    """Stats keyed by file first."""
+    return params.with_(stats_keys=("source_file", *[k for k in params.stats_keys if k != "source_file"]))
+
+
+def _with_metadata(df: DataFrame, key_root: str | None) -> DataFrame:
     return df.withColumn("source_file", object_key(F.col("_metadata.file_path"), key_root)) \
         .withColumn("ingestion_timestamp", F.col("_metadata.file_modification_time"))
 
 
+def claims_file_stream(spark: SparkSession, input_dir: str, key_root: str | None = None,
+                       max_files_per_trigger: int = FILES_PER_BATCH) -> DataFrame:
+    reader = (spark.readStream.schema(CLAIMS_SCHEMA).option("header", "true").option("mode", "PERMISSIVE")
+              .option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
+              # a file older than the newest by more than this would be skipped: never
+              .option("maxFileAge", "36500d").option("maxFilesPerTrigger", str(max_files_per_trigger)))
+    return _with_metadata(reader.csv(input_dir), key_root)
+
+
 def start_file_ingest(spark: SparkSession, input_dir: str, out_root: str, checkpoint_location: str,
-                      params: DQParams = DEFAULT, key_root: str | None = None,
-                      available_now: bool = True,
-                      max_files_per_trigger: int | None = None) -> StreamingQuery:
-    per_file = params.with_(stats_keys=("source_file",) + tuple(
-        k for k in params.stats_keys if k != "source_file"))
+                      params: DQParams = DEFAULT, key_root: str | None = None, available_now: bool = True,
+                      max_files_per_trigger: int = FILES_PER_BATCH) -> StreamingQuery:
+    per_file = per_file_params(params)
+    query: list[StreamingQuery] = []
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        run_tiers(batch, out_root, per_file, run_key=f"batch-{batch_id}")
+        name = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or query[0].id
+        modified = F.max("ingestion_timestamp").alias("modified")
+        run_tiers(batch, out_root, per_file, run_id=f"stream-{name}-{batch_id:012d}", run_ts=utc_now(),
+                  files=batch.groupBy("source_file").agg(modified))
 
     w = (claims_file_stream(spark, input_dir, key_root, max_files_per_trigger).writeStream
          .foreachBatch(each_batch).option("checkpointLocation", checkpoint_location))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+    query.append(w.start())
+    return query[0]
+
+
+def ingest_arrivals(spark: SparkSession, input_dir: str, out_root: str, params: DQParams = DEFAULT,
+                    key_root: str | None = None, max_files: int = FILES_PER_BATCH,
+                    run_ts: dt.datetime | None = None) -> list[str]:
+    """Process every file that is new or was uploaded again; the run ids.  The
+    driver holds the paths of one batch at a time."""
+    store, runs = Store(spark, out_root), []
+    while True:
+        done = store.manifest().select("source_file", "modified").distinct()
+        fresh = list_claim_files(spark, input_dir, key_root).join(done, ["source_file", "modified"], "left_anti")
+        batch = fresh.orderBy("modified", "source_file").limit(max_files).collect()
+        if not batch:
+            return runs
+        claims = _with_metadata(spark.read.schema(CLAIMS_SCHEMA).option("header", "true")
+                                .option("mode", "PERMISSIVE").csv([r["path"] for r in batch]), key_root)
+        files = spark.createDataFrame([(r["source_file"], r["modified"]) for r in batch],
+                                      "source_file string, modified timestamp")
+        runs.append(run_tiers(claims, out_root, per_file_params(params), run_ts=run_ts, files=files).run_id)

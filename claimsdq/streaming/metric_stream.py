@@ -8,10 +8,12 @@ dropped, as a metrics store would reject writes that are too old.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from claimsdq.plans.store import SCHEMAS
+
 
 def hourly_buckets(points: DataFrame, period: str = "1 hour", delay: str = "2 hours") -> DataFrame:
     """Average, Sum, Maximum, Minimum and SampleCount per series and period."""
@@ -26,9 +28,12 @@ def hourly_buckets(points: DataFrame, period: str = "1 hour", delay: str = "2 ho
                     "average", "sum", "maximum", "minimum", "sample_count"))
 
 
-def start_hourly_buckets(spark, points_dir: str, schema, out_dir: str, checkpoint_location: str,
-                         delay: str = "2 hours", available_now: bool = True) -> StreamingQuery:
-    stream = spark.readStream.schema(schema).parquet(points_dir)
+def start_hourly_buckets(spark: SparkSession, points_dir: str, out_dir: str, checkpoint_location: str,
+                         delay: str = "2 hours", available_now: bool = True,
+                         schema=SCHEMAS["metrics/points"]) -> StreamingQuery:
+    """Buckets over a store's ``metrics/points``: its folders only ever gain runs,
+    so each point is fed once, a rerun's as points of their own time."""
+    stream = spark.readStream.schema(schema).option("maxFileAge", "36500d").parquet(points_dir)
     w = (hourly_buckets(stream, delay=delay).writeStream.outputMode("append").format("parquet")
          .option("path", out_dir).option("checkpointLocation", checkpoint_location))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -10,7 +10,7 @@ from claimsdq.operators import alarms as AL
 from claimsdq.operators import costs as CO
 from claimsdq.operators import metrics as ME
 from claimsdq.operators import timeseries as TS
-from claimsdq.params import DEFAULT
+from claimsdq.plans.fixtures import P as DEFAULT
 from claimsdq.streaming.metric_stream import start_hourly_buckets
 
 PT_SCHEMA = "namespace string, metric_name string, source_file string, ts timestamp_ntz, value double, unit string"
@@ -23,20 +23,26 @@ def _pts(spark, metric, values, start=dt.datetime(2024, 1, 1), dim="claims/"):
     return spark.createDataFrame(rows, PT_SCHEMA)
 
 
+def _def(spark, *defs):
+    return AL.alarm_definitions(spark, defs=list(defs))
+
+
 def test_consecutive_periods_and_gaps(spark):
-    d = {x.metric_name: x for x in AL.alarm_defs(DEFAULT)}["DataQualityScore"]
+    d = _def(spark, {x.metric_name: x for x in AL.alarm_defs(DEFAULT)}["DataQualityScore"])
     # breaches at 0, 1, 2, 4, 6, 7; hour 3 has no data (not breaching), 5 is fine:
     # ALARM at 1, 2 and 7; hour 4 is not, since its previous period is missing
     vals = [(0, 80), (1, 70), (2, 80), (4, 84), (5, 90), (6, 20), (7, 30)]
-    al = AL.alarm_periods(_pts(spark, "DataQualityScore", vals), d)
+    pts = _pts(spark, "DataQualityScore", vals)
+    al = AL.alarm_periods(pts, d)
     hours = sorted(r.period_start.hour for r in al.collect())
     assert hours == [1, 2, 7]
-    tr = sorted(r.period_start.hour for r in AL.alarm_transitions(al).collect())
+    tr = sorted(r.period_start.hour for r in AL.alarm_transitions(pts, d).collect())
     assert tr == [1, 7]
 
 
 def test_three_period_alarm(spark):
     d = AL.AlarmDef("x", NS, "M", "claims/", "Maximum", "GreaterThanOrEqualToThreshold", 5.0, 3, 3600, None, None)
+    d = _def(spark, d)
     vals = [(0, 5), (1, 6), (2, 7), (3, 1), (4, 9), (5, 9), (6, 9), (7, 9)]
     al = AL.alarm_periods(_pts(spark, "M", vals), d)
     assert sorted(r.period_start.hour for r in al.collect()) == [2, 6, 7]
@@ -44,7 +50,7 @@ def test_three_period_alarm(spark):
 
 def test_anomaly_sum_alarm_and_events(spark):
     p = DEFAULT.with_(anomaly_threshold=100.0)
-    d = {x.metric_name: x for x in AL.alarm_defs(p)}["AnomalyCount"]
+    d = _def(spark, {x.metric_name: x for x in AL.alarm_defs(p)}["AnomalyCount"])
     # two points in the same hour sum over the threshold
     rows = [(NS, "AnomalyCount", "claims/", dt.datetime(2024, 1, 1, 5, m), v, "Count")
             for m, v in [(0, 60.0), (30, 50.0)]]
@@ -53,7 +59,7 @@ def test_anomaly_sum_alarm_and_events(spark):
     al = AL.alarm_periods(pts, d)
     got = [(r.period_start.hour, r.value) for r in al.collect()]
     assert got == [(5, 110.0)]
-    ev = AL.alarm_events(AL.alarm_transitions(al), AL.alarm_definitions(spark, p)).first()
+    ev = AL.alarm_events(pts, AL.alarm_definitions(spark, p)).first()
     assert ev.event_type == "anomaly_spike" and ev.action == "handle_anomaly_spike"
     assert ev.timestamp == dt.datetime(2024, 1, 1, 6, 0)
     assert ev.reason == "Threshold Crossed: 1 consecutive period(s) were greater than the threshold (100.0)."
@@ -166,7 +172,8 @@ def test_metric_stream_matches_batch(spark, tmp):
     pts = _pts(spark, "AnomalyCount", vals).unionByName(
         _pts(spark, "AnomalyCount", [(h, 1) for h in range(0, 30)], start=dt.datetime(2024, 1, 1, 0, 30)))
     pts.write.parquet(f"{tmp}/points")
-    q = start_hourly_buckets(spark, f"{tmp}/points", pts.schema, f"{tmp}/out", f"{tmp}/ckpt", delay="1 hour")
+    q = start_hourly_buckets(spark, f"{tmp}/points", f"{tmp}/out", f"{tmp}/ckpt", delay="1 hour",
+                             schema=pts.schema)
     q.awaitTermination(120)
     got = spark.read.parquet(f"{tmp}/out")
     batch = TS.metric_buckets(pts, 3600)
@@ -194,11 +201,82 @@ def test_alarm_votes_match_brute_force(spark, seed, n):
     hours = [h for h in range(72) if rnd.random() > 0.15]           # some hours missing
     vals = [(h, rnd.choice([50.0, 90.0, 95.0])) for h in hours]      # < 85 breaches
     d = AL.AlarmDef("a", NS, "S", "claims/", "Average", "LessThanThreshold", 85.0, n, 3600, None, None)
-    al = AL.alarm_periods(_pts(spark, "S", vals), d)
+    d, pts = _def(spark, d), _pts(spark, "S", vals)
+    al = AL.alarm_periods(pts, d)
     got = sorted(r.period_start.hour + 24 * (r.period_start.day - 1) for r in al.collect())
     breach = {h for h, v in vals if v < 85.0}
     want = sorted(h for h in breach if all(h - k in breach for k in range(n)))
     assert got == want
     tr = sorted(r.period_start.hour + 24 * (r.period_start.day - 1)
-                for r in AL.alarm_transitions(al).collect())
+                for r in AL.alarm_transitions(pts, d).collect())
     assert tr == [h for h in want if h - 1 not in set(want)]
+
+
+def test_alarms_of_all_kinds_in_one_pass(spark):
+    """Different statistics, periods and lengths together give what each gives alone."""
+    import random
+    rnd = random.Random(8)
+    defs = [AL.AlarmDef(f"{st}-{cmp}-{n}-{sec}", NS, m, "claims/", st, cmp, th, n, sec, "e", "a")
+            for st in ("Sum", "Average", "Maximum", "Minimum", "SampleCount")
+            for cmp in ("GreaterThanThreshold", "LessThanOrEqualToThreshold")
+            for m, th, n, sec in (("M", 3.0, 1, 3600), ("N", 2.0, 2, 7200))]
+    rows = [(NS, m, dim, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=rnd.randint(0, 3000)),
+             float(rnd.randint(0, 5)), "Count") for m in "MNO" for dim in ("claims/", "other/") for _ in range(60)]
+    pts = spark.createDataFrame(rows, PT_SCHEMA)
+    stat = {"Sum": sum, "Average": lambda v: sum(v) / len(v), "Maximum": max, "Minimum": min, "SampleCount": len}
+    want, began = set(), set()
+    for d in defs:
+        groups = {}
+        for _, m, dim, ts, v, _ in rows:
+            if m == d.metric_name and dim == "claims/":
+                p = int((ts - dt.datetime(1970, 1, 1)).total_seconds()) // d.period_seconds
+                groups.setdefault(p, []).append(v)
+        hit = {p for p, v in groups.items() if (stat[d.statistic](v) > d.threshold
+                                                if d.comparison.startswith("Greater") else stat[d.statistic](v) <= d.threshold)}
+        alarm = {p for p in hit if all(p - k in hit for k in range(d.periods))}
+        want |= {(d.alarm_name, p) for p in alarm}
+        began |= {(d.alarm_name, p) for p in alarm if p - 1 not in alarm}
+    seconds = {d.alarm_name: d.period_seconds for d in defs}
+
+    def found(df):
+        return {(r.alarm_name, int((r.period_start - dt.datetime(1970, 1, 1)).total_seconds()) // seconds[r.alarm_name])
+                for r in df.collect()}
+    table = _def(spark, *defs)
+    assert found(AL.alarm_periods(pts, table)) == want
+    assert found(AL.alarm_transitions(pts, table)) == began
+    assert AL.alarm_events(pts, table).count() == len(began)
+    plan = AL.alarm_events(pts, table)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2
+
+
+def test_last_hour_maximum_is_taken(spark):
+    t0 = dt.datetime(2024, 1, 30, 10)
+    rows = [(NS, "TotalRecords", "claims/payer_claims_a.csv", t0 + dt.timedelta(minutes=m), v, "Count")
+            for m, v in ((-90, 99.0), (5, 7.0), (20, 12.0), (40, 3.0))]
+    s = TS.latest_file_summary(spark.createDataFrame(rows, PT_SCHEMA), DEFAULT).first()
+    assert s.total_records == 12
+
+
+def test_parse_cost_answers(spark):
+    one = ('{"ResultsByTime":[{"TimePeriod":{"Start":"2024-01-01","End":"2024-01-02"},'
+           '"Total":{"UnblendedCost":{"Amount":"3.5","Unit":"USD"}},"Groups":['
+           '{"Keys":["B"],"Metrics":{"UnblendedCost":{"Amount":"1.0"}}},{"Keys":["A"],"Metrics":{"UnblendedCost":{"Amount":"x"}}},'
+           '{"Keys":["B"],"Metrics":{"UnblendedCost":{"Amount":"2.25"}}}]},'
+           '{"TimePeriod":{"Start":"2024-01-02"},"Groups":[]}]}')
+    df = spark.createDataFrame([(1, one), (2, "{}"), (3, '{"ResultsByTime":[]}'), (4, None), (5, "not json")],
+                               "id int, response string")
+    got = sorted(((r.id, r.period_start, r.total, [tuple(g) for g in r.groups])
+                  for r in CO.parse_responses(df, keep=("id",)).collect()), key=lambda r: (r[0], str(r[1])))
+    assert got == [(1, dt.date(2024, 1, 1), 3.5, [("A", None), ("B", 2.25)]), (1, dt.date(2024, 1, 2), None, []),
+                   (2, None, None, []), (3, None, None, []), (4, None, None, []), (5, None, None, [])]
+    daily = {(r.period_start, r.total_cost) for r in CO.cost_daily(CO.parse_responses(df)).collect()}
+    assert (dt.date(2024, 1, 2), 0.0) in daily and (dt.date(2024, 1, 1), 3.5) in daily
+
+
+def test_cost_spike_event_shape(spark):
+    import json
+    e = CO.cost_spike_events(_resp(spark), dt.datetime(2024, 1, 5, 6, 7, 8), DEFAULT).collect()
+    assert len(e) == 1 and e[0].detail_type == "Cost Spike Detected"
+    assert json.loads(e[0].detail_json) == {
+        "current_cost": 3.0, "threshold": 2.0, "service_breakdown": {"Compute": 2.5, "Storage": 0.5},
+        "date": "2024-01-01", "timestamp": "2024-01-05T06:07:08"}

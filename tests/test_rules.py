@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimsdq.operators.validate import ALL_MATCH, FIRST_MATCH, split_clean_failed, with_issues
-from claimsdq.params import DEFAULT
+from claimsdq.plans.fixtures import P as DEFAULT
 from conftest import claim, claims_df
 
 AS_OF = DEFAULT.as_of
@@ -66,7 +66,7 @@ def test_issue_strings_both_modes(spark):
 
 def test_split_clean_failed(spark):
     rows = [claim(claim_id=f"C{i}", **over) for i, (over, _, _) in enumerate(CASES)]
-    clean, failed = split_clean_failed(claims_df(spark, rows))
+    clean, failed = split_clean_failed(claims_df(spark, rows), DEFAULT)
     n_failed = sum(1 for _, f, _ in CASES if f)
     assert failed.count() == n_failed
     assert clean.count() == len(CASES) - n_failed
@@ -137,7 +137,7 @@ def test_first_match_randomized(spark):
         rows.append(claim(**over))
         over = {**__import__("conftest").VALID, **over}
         dicts.append(dict(over))
-    got = {r.claim_id: r.dq_issues for r in with_issues(claims_df(spark, rows)).collect()}
+    got = {r.claim_id: r.dq_issues for r in with_issues(claims_df(spark, rows), DEFAULT).collect()}
     for d in dicts:
         assert got[d["claim_id"]] == _py_first_match(d), d
 
@@ -152,9 +152,9 @@ def test_classification_is_one_projection(spark, mode):
 
 def test_f1_issue_codes_all_seen(spark):
     from claimsdq.functions.rules import ISSUE_CODES, issue_array
-    from claimsdq.sources.claims import load_claims
+    from claimsdq.plans.fixtures import load_claims
     from conftest import SF_SMALL
-    f = with_issues(load_claims(spark, SF_SMALL))
+    f = with_issues(load_claims(spark, SF_SMALL), DEFAULT)
     seen = {r.c for r in f.select(F.explode(issue_array(F.col("dq_issues"))).alias("c")).distinct().collect()}
     assert seen == set(ISSUE_CODES)
 
