@@ -43,7 +43,7 @@ def digests(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def merge_tree(rows: DataFrame, leaf_bits: int = 6, fan_bits: int = 2) -> DataFrame:
     """One row per distinct digest: smallest and largest ``doc_id``, rows."""
-    one = F.struct("doc_id")
+    one = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id"))
     runs = rows.withColumn("run", F.pmod(F.xxhash64("doc_id"), F.lit(1 << leaf_bits)).cast("int")) \
         .groupBy("run", *KEY).agg(F.min(one).alias("low"), F.max(one).alias("high"), F.count("*").alias("n"))
     for _ in range(0, leaf_bits, fan_bits):
