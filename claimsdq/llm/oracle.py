@@ -37,7 +37,7 @@ figures AS (
 judged AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM figures)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND 10 * n_symbols <= 3 * n_words AND 10 * n_dup_lines <= 3 * n_lines
+       NOT base_failed AND 10 * n_symbols <= 3 * n_words AND 2 * n_dup_lines <= n_lines
        AND word_chars <= 40 * n_words AS kept
 FROM judged
 """

@@ -96,7 +96,7 @@ RULES = (
     Rule("few_words", lambda m: m.n_words < 10),
     Rule("repeated_words", lambda m: 100 * m.n_repeat_words > 20 * m.n_words),
     Rule("symbols", lambda m: 10 * m.n_symbols > 3 * m.n_words),
-    Rule("repeated_lines", lambda m: 10 * m.n_dup_lines > 3 * len(m.lines)),
+    Rule("repeated_lines", lambda m: 2 * m.n_dup_lines > len(m.lines)),
     Rule("word_length", lambda m: m.word_chars > 40 * m.n_words),
 )
 BASE = RULES[:2]

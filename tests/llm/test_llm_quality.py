@@ -42,7 +42,7 @@ def test_assess_matches_plain_rules(spark):
         f = plain(r[1])
         failed = f[0] < 10 or 100 * f[4] > 20 * f[0]
         lines = len([x for x in (r[1] or "").split("\n") if words(x)])
-        ok = not failed and 10 * f[2] <= 3 * f[0] and 10 * f[3] <= 3 * lines and f[1] <= 40 * f[0]
+        ok = not failed and 10 * f[2] <= 3 * f[0] and 2 * f[3] <= lines and f[1] <= 40 * f[0]
         want[(r[0], *f, failed, ok)] += 1
     assert Counter(map(tuple, got.collect())) == want
 
