@@ -23,7 +23,7 @@ from claimsdq.session import RunContext
 
 def quarantined(store: Store) -> DataFrame:
     """Files that have the status already."""
-    return store._table("file_status").filter("status = 'Quarantined'").select("source_file").distinct()
+    return store.table("file_status").filter("status = 'Quarantined'").select("source_file").distinct()
 
 
 def quarantine_files(claims: DataFrame, file_metrics: DataFrame, store: Store, run_id: str,

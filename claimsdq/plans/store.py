@@ -97,7 +97,8 @@ class Store:
 
     # ------------------------------------------------------------------- read
 
-    def _table(self, kind: str) -> DataFrame:
+    def table(self, kind: str) -> DataFrame:
+        """All rows of a kind, of every run; empty before the first."""
         path = f"{self.root}/{kind}"
         if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], SCHEMAS[kind])
@@ -105,7 +106,7 @@ class Store:
         return self.spark.read.schema(SCHEMAS[kind]).format(fmt).load(path)
 
     def manifest(self) -> DataFrame:
-        return self._table("manifest")
+        return self.table("manifest")
 
     def current(self) -> DataFrame:
         """Per file, the newest run that lists it: source_file, run_id, modified."""
@@ -116,10 +117,10 @@ class Store:
     def read(self, kind: str) -> DataFrame:
         """The rows of every file's newest run."""
         now = self.current().select("source_file", "run_id")
-        return self._table(kind).join(now, ["source_file", "run_id"], "left_semi")
+        return self.table(kind).join(now, ["source_file", "run_id"], "left_semi")
 
     def read_run(self, kind: str, run_id: str) -> DataFrame:
-        return self._table(kind).filter(F.col("run_id") == run_id)
+        return self.table(kind).filter(F.col("run_id") == run_id)
 
     def points(self, start: dt.datetime | None = None, end: dt.datetime | None = None,
                folders: bool = True) -> DataFrame:
