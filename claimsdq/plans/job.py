@@ -8,6 +8,7 @@
         --key-root s3a://raw --output s3a://processed --checkpoint s3a://processed/_ckpt/w1
     spark-submit -m claimsdq.plans.job metrics-stream --output s3a://processed \\
         --checkpoint s3a://processed/_ckpt/w2
+    spark-submit -m claimsdq.plans.job compact --output s3a://processed
 
 The folder for staged tables comes from ``spark.checkpoint.dir``.  The clock is
 the time of the run (of the batch, in a stream) unless ``--as-of`` says
@@ -26,6 +27,7 @@ from pyspark.sql import SparkSession
 from claimsdq.operators.validate import ALL_MATCH, FIRST_MATCH
 from claimsdq.params import DEFAULT
 from claimsdq.plans.batch import run_csv_job, utc_now
+from claimsdq.plans.store import Store
 from claimsdq.session import apply_unset, checkpoint_dir, cluster_conf
 
 
@@ -50,7 +52,7 @@ def _input_bytes(spark: SparkSession, a) -> int:
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="claimsdq")
-    ap.add_argument("command", choices=["batch", "arrivals", "stream", "metrics-stream"])
+    ap.add_argument("command", choices=["batch", "arrivals", "stream", "metrics-stream", "compact"])
     ap.add_argument("--input", default=None, help="file, folder or glob of claim CSVs")
     ap.add_argument("--output", required=True, help="root of gold/ silver/ quarantine/ metrics/ manifest/")
     ap.add_argument("--key-root", default=None, help="prefix stripped from file URIs (bucket root)")
@@ -63,7 +65,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--continuous", action="store_true", help="keep a stream running")
     ap.add_argument("--input-bytes", type=int, default=0, help="expected input volume, if listing is too slow")
     a = ap.parse_args(argv)
-    if a.command != "metrics-stream" and not a.input:
+    if a.command not in ("metrics-stream", "compact") and not a.input:
         ap.error(f"{a.command} needs --input")
     if a.command in ("stream", "metrics-stream") and not a.checkpoint:
         ap.error(f"{a.command} needs --checkpoint")
@@ -86,6 +88,8 @@ def main(argv: list[str] | None = None) -> int:
         from claimsdq.streaming.file_ingest import start_file_ingest
         start_file_ingest(spark, a.input, a.output, a.checkpoint, params, key_root=a.key_root,
                           available_now=not a.continuous, **files).awaitTermination()
+    elif a.command == "compact":
+        print(json.dumps({"batches": Store(spark, a.output).compact_manifest()}))
     else:
         from claimsdq.streaming.metric_stream import start_hourly_buckets
         root = a.output.rstrip("/")

@@ -6,7 +6,7 @@ Layout under one root::
     metrics/files/run_id=<run>/         one row per file (wide metrics)
     metrics/points/run_id=<run>/date=/  file-level metric points
     metrics/json/run_id=<run>/          one JSON object per file
-    manifest/run_id=<run>/              (source_file, modified, run_ts), written last
+    manifest/batch=<run>/               (source_file, modified, run_ts, run), written last
 
 A run writes only into its own folders and nothing is renamed or replaced.  Its
 rows become visible at once, when its manifest appears; a run that dies before
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimsdq.operators.metrics import folder_points
-from claimsdq.session import path_exists
+from claimsdq.session import list_folders, path_exists, remove_path
 from claimsdq.sources.claims import CLAIMS_SCHEMA
 
 
@@ -61,7 +61,7 @@ SCHEMAS = {
     "file_status": _schema(("source_file", "string"), ("rows", "long"), ("status", "string"),
                            ("quarantine_key", "string"), ("run_id", "string")),
     "manifest": _schema(("source_file", "string"), ("modified", "timestamp"), ("run_ts", "timestamp"),
-                        ("run_id", "string")),
+                        ("run", "string"), ("batch", "string")),
 }
 PARTITIONS = {"gold": ("year", "month"), "metrics/points": ("date",)}
 
@@ -79,21 +79,36 @@ class Store:
 
     def write(self, kind: str, run_id: str, df: DataFrame) -> None:
         """Write one kind of a run's output; a retry overwrites it."""
-        cols = [f.name for f in SCHEMAS[kind].fields if f.name != "run_id"]
+        folder = "batch" if kind == "manifest" else "run_id"
+        cols = [f.name for f in SCHEMAS[kind].fields if f.name != folder]
         have = {c: df.schema[c].dataType for c in df.columns}
         want = {f.name: f.dataType for f in SCHEMAS[kind].fields}
         out = df.select(*[(F.col(c).cast(want[c]) if c in have else F.lit(None).cast(want[c])).alias(c) for c in cols])
         fmt = "json" if kind == "metrics/json" else "parquet"
         # the run's folder is replaced as a whole, whatever the session's overwrite mode
         out.write.mode("overwrite").option("partitionOverwriteMode", "static") \
-            .partitionBy(*PARTITIONS.get(kind, ())).format(fmt).save(f"{self.root}/{kind}/run_id={run_id}")
+            .partitionBy(*PARTITIONS.get(kind, ())).format(fmt).save(f"{self.root}/{kind}/{folder}={run_id}")
 
     def publish(self, run_id: str, files: DataFrame, run_ts: dt.datetime) -> None:
         """Make the run visible: one small file, the last that the run writes.
         ``files``: source_file and, where known, modified."""
         modified = F.col("modified") if "modified" in files.columns else F.lit(None)
         self.write("manifest", run_id, files.select("source_file", modified.cast("timestamp").alias("modified"))
-                   .distinct().withColumn("run_ts", F.lit(run_ts)).coalesce(1))
+                   .distinct().withColumns({"run_ts": F.lit(run_ts), "run": F.lit(run_id)}).coalesce(1))
+
+    def compact_manifest(self) -> int:
+        """Put the manifest's current rows into one batch and remove the batches
+        they came from; how many went.  Runs may publish meanwhile: only batches
+        listed before the read are removed, and readers that see both the new
+        batch and old ones find the same newest runs."""
+        old = [p for p in list_folders(self.spark, f"{self.root}/manifest") if "/batch=" in p]
+        if len(old) < 2:
+            return 0
+        now = self.current().withColumnRenamed("run_id", "run")
+        self.write("manifest", f"compact-{uuid.uuid4().hex}", now.repartition(max(1, len(old) // 10_000)))
+        for path in old:
+            remove_path(self.spark, path)
+        return len(old)
 
     # ------------------------------------------------------------------- read
 
@@ -109,10 +124,10 @@ class Store:
         return self.table("manifest")
 
     def current(self) -> DataFrame:
-        """Per file, the newest run that lists it: source_file, run_id, modified."""
-        newest = F.max(F.struct("run_ts", "run_id", "modified")).alias("m")
+        """Per file, the newest run that lists it: source_file, run_id, modified, run_ts."""
+        newest = F.max(F.struct("run_ts", "run", "modified")).alias("m")
         return self.manifest().groupBy("source_file").agg(newest) \
-            .select("source_file", "m.run_id", "m.modified")
+            .select("source_file", F.col("m.run").alias("run_id"), "m.modified", "m.run_ts")
 
     def read(self, kind: str) -> DataFrame:
         """The rows of every file's newest run."""

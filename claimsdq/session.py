@@ -141,3 +141,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders right under ``path``."""
+    if not path_exists(spark, path):
+        return []
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    return [str(f.getPath().toString()) for f in found if f.isDirectory()]

@@ -243,7 +243,20 @@ def test_two_streams_share_a_root(spark, tmp):
     store = Store(spark, out)
     assert len(_ids(store, "gold")) == 6
     assert {r.source_file for r in store.points(folders=False).collect()} == {"claims/f1.csv", "claims/f2.csv"}
-    assert store.manifest().select("run_id").distinct().count() == 2
+    assert store.manifest().select("run").distinct().count() == 2
+
+
+def test_compacting_the_manifest_changes_no_reader(spark, tmp):
+    src, out = f"{tmp}/raw", f"{tmp}/processed"
+    for n in range(4):
+        _write(f"{src}/claims/f{n % 3}.csv", [_line(n)])
+        run_csv_job(spark, f"{src}/claims/f{n % 3}.csv", out, key_root=src, run_ts=_at(1 + n))
+    store = Store(spark, out)
+    before = sorted(map(tuple, store.current().collect())), _ids(store, "gold")
+    assert store.compact_manifest() == 4 and len(os.listdir(f"{out}/manifest")) == 1
+    assert (sorted(map(tuple, store.current().collect())), _ids(store, "gold")) == before
+    assert store.compact_manifest() == 0
+    assert ingest_arrivals(spark, f"{src}/claims", out, key_root=src) == []
 
 
 def test_arrivals_see_new_nested_and_uploaded_again_files(spark, tmp):
