@@ -21,8 +21,9 @@ collections small.  Spark sees to both without losing a match:
    are pre-aggregated: the earliest stands for all, every other one is wholly
    repeated.  A text that a third of all documents share is one string here.
 4. *Collections.*  Where an anchor still has different segments, these meet in
-   one task, a few MB of them, and the suffix array of that collection shows
-   runs of suffixes with common prefixes of ``length`` or more.  In each run all
+   one task, a few MB of them, are cut down once more around their anchor
+   (``narrowed``, again without loss), and the suffix array of that collection
+   shows runs of suffixes with common prefixes of ``length`` or more.  In each run all
    but the earliest place are repeats.  Scratch files are the task's own and
    end with it.
 5. *Crowded anchors.*  An anchor with more than ``crowd`` different segments
@@ -62,7 +63,7 @@ _PLACE = np.uint64(255)
 
 # ------------------------------------------------------------- rolling hashes
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=8)
 def _hash_tables(n: int, seed: int):
     """Byte values, powers and inverse powers of an odd base modulo 2**64."""
     rng = np.random.default_rng(seed)
@@ -106,8 +107,8 @@ def _sliding_min(a: np.ndarray, width: int) -> np.ndarray:
 def segments(data: bytes, length: int):
     """Segments of one text: arrays (anchor, digest, start, windows, twice).
 
-    ``twice``: the anchor's gram stands at two places in the segment, so two
-    windows of the segment itself may be equal."""
+    ``twice``: the anchor's gram stands at two places in the segment, so two windows of
+    the segment itself may be equal."""
     parts = []
     whole = np.frombuffer(data, np.uint8)
     span = length - GRAM + 1
@@ -227,26 +228,92 @@ def suffix_rows(bwt: np.ndarray, lens: np.ndarray, at_least: int):
     return [np.concatenate(x) for x in zip(*out)] if out else [np.empty(0, np.int64)] * 3
 
 
-def repeated_windows(strings: list[bytes], doc: np.ndarray, start: np.ndarray, length: int, folder: str):
+def _later_places(key: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Of rows sorted by (key, doc, at): which are later than their key's first
+    place (the same place twice is not later than itself)."""
+    later = np.zeros(len(key), bool)
+    later[1:] = key[1:] == key[:-1]
+    first = np.maximum.accumulate(np.where(later, 0, np.arange(len(key))))
+    return later & ((doc != doc[first]) | (at != at[first]))
+
+
+def repeated_windows(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray, doc: np.ndarray, start: np.ndarray,
+                     length: int, folder: str):
     """(doc, window start) of every window of ``length`` bytes in the strings
-    that is equal to an earlier one of the collection."""
-    lens = np.array([len(s) for s in strings], np.int64)
-    flat = np.frombuffer(b"".join(strings), np.uint8)
-    starts = np.cumsum(lens) - lens
+    ``flat[starts:starts + lens]`` that is equal to an earlier one of the
+    collection; ``start``: where the strings begin in their documents."""
     bwt, lcp = collection_bwt(flat, starts, lens, folder)
     rows, ids, offset = suffix_rows(bwt, lens, length)
     run = np.cumsum(lcp < length)[rows]
     d, w = doc[ids], start[ids] + offset
     by = np.lexsort((w, d, run))
     run, d, w = run[by], d[by], w[by]
-    later = np.zeros(len(run), bool)
-    later[1:] = run[1:] == run[:-1]
-    # the same place in two strings is not earlier than itself
-    first = np.maximum.accumulate(np.where(later, 0, np.arange(len(run))))
-    later &= (d != d[first]) | (w != w[first])
+    later = _later_places(run, d, w)
     return d[later], w[later]
 
 
+def _string_hashes(flat: np.ndarray, offset: np.ndarray, seed: int):
+    """A function (lo, hi) -> hashes of flat[lo:hi]; a pair lies in one string,
+    and ``offset`` is each byte's place in its string."""
+    values, up, down = _hash_tables(int(offset.max(initial=0)) + 1, seed)
+    p = np.zeros(len(flat) + 1, np.uint64)
+    np.cumsum(values[flat] * up[offset], out=p[1:])
+    return lambda lo, hi: (p[hi] - p[lo]) * down[offset[lo]]
+
+
+#: Windows whose first anchor lies in one band of this many places are judged together.
+BAND = 9
+
+
+def narrowed(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray, anchor: np.ndarray, doc: np.ndarray,
+             start: np.ndarray, length: int):
+    """Cut strings down to what can still repeat.
+
+    A window whose first anchor gram stands ``l`` bytes from its start shares,
+    with all windows of the same band of ``l``, a core of ``length - BAND + 1``
+    bytes that lies fixed to that gram.  Equal windows have equal ``l`` and so
+    equal cores.  A band's windows whose core stands nowhere else hold no repeat;
+    bands that are byte for byte one are pre-aggregated: the earliest stands, the
+    rest is repeated.
+
+    Returns (lo, hi, doc, start) of the strings left, as slices of ``flat``, and
+    (doc, lo, hi) of byte intervals that are repeated outright."""
+    offset = np.arange(len(flat)) - np.repeat(starts, lens)
+    inside = np.flatnonzero(offset <= np.repeat(lens - GRAM, lens))
+    gram = _mixed(_string_hashes(flat, offset, 11)(inside, inside + GRAM)) >> np.uint64(8)
+    of = np.repeat(np.arange(len(lens)), lens - GRAM + 1)
+    hit = np.flatnonzero(gram == anchor.view(np.uint64)[of])
+    of, at = of[hit], offset[inside[hit]]            # every place of every string's anchor
+    after = np.zeros(len(of), np.int64)              # windows before it have an earlier one
+    after[1:] = np.where(of[1:] == of[:-1], at[:-1] + 1, 0)
+    lo, hi, owner, core, core_end = [], [], [], [], []
+    for first in range(0, length - GRAM + 1, BAND):
+        last = min(first + BAND - 1, length - GRAM)
+        a = np.maximum(np.maximum(at - last, 0), after)
+        z = np.minimum(at - first, lens[of] - length)
+        ok = np.flatnonzero(a <= z)
+        base = starts[of[ok]]
+        lo.append(base + a[ok])
+        hi.append(base + z[ok] + length)
+        owner.append(of[ok])
+        core.append(base + at[ok] - first)
+        core_end.append(base + at[ok] - last + length)
+    lo, hi, owner, core, core_end = map(np.concatenate, (lo, hi, owner, core, core_end))
+    band_start = start[owner] + lo - starts[owner]
+    _, group, size = np.unique(_mixed(_string_hashes(flat, offset, 31)(core, core_end)), return_inverse=True,
+                               return_counts=True)
+    keep = size[group] > 1
+    lo, hi, owner, band_start, group = (x[keep] for x in (lo, hi, owner, band_start, group))
+    same = _mixed(_string_hashes(flat, offset, 37)(lo, hi) + (hi - lo).astype(np.uint64))
+    by = np.lexsort((band_start, doc[owner], same))
+    later = _later_places(same[by], doc[owner[by]], band_start[by])
+    copies, by = by[later], by[~later]
+    out = (doc[owner[copies]], band_start[copies], band_start[copies] + hi[copies] - lo[copies])
+    kinds = np.bincount(group[by], minlength=len(size))
+    by = by[kinds[group[by]] > 1]
+    return (lo[by], hi[by], doc[owner[by]], band_start[by]), out
+
+
 def _intervals(doc: np.ndarray, window: np.ndarray, length: int):
     """Byte intervals (doc, lo, hi) under the given windows, neighbours joined."""
     by = np.lexsort((window, doc))
@@ -282,17 +349,24 @@ def _collection_rows(strings: DataFrame, length: int) -> DataFrame:
     """Intervals from the collections; a task's strings (a few MB by how they
     were dealt) are one collection."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, docs, starts = [], [], []
+        texts, numbers = [], []
         for b in batches:
-            texts += b.column(2).to_pylist()
-            docs.append(b.column(0).to_numpy(zero_copy_only=False))
-            starts.append(b.column(1).to_numpy(zero_copy_only=False))
-        if len(texts) > 0:
+            texts += b.column(3).to_pylist()
+            numbers.append([b.column(c).to_numpy(zero_copy_only=False) for c in range(3)])
+        if not texts:
+            return
+        doc, start, anchor = map(np.concatenate, zip(*numbers))
+        lens = np.array([len(t) for t in texts], np.int64)
+        flat = np.frombuffer(b"".join(texts), np.uint8)
+        (lo, hi, d, s), (copy_doc, copy_lo, copy_hi) = narrowed(
+            flat, np.cumsum(lens) - lens, lens, anchor, doc, start, length)
+        if len(lo):
             with tempfile.TemporaryDirectory(prefix="bwt-") as folder:   # this task's own files
-                d, w = repeated_windows(texts, np.concatenate(docs), np.concatenate(starts), length, folder)
-            doc, lo, hi = _intervals(d, w, length)
-            yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(lo), pa.array(hi)], names=["doc", "lo", "hi"])
-    return map_batches(strings.select("doc", "start", "bytes"), run, "doc long, lo long, hi long")
+                d, w = repeated_windows(flat, lo, hi - lo, d, s, length, folder)
+            d, lo, hi = _intervals(d, w, length)
+        cols = [np.concatenate(c) for c in ((copy_doc, d), (copy_lo, lo), (copy_hi, hi))]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc", "lo", "hi"])
+    return map_batches(strings.select("doc", "start", "anchor", "bytes"), run, "doc long, lo long, hi long")
 
 
 def _window_rows(strings: DataFrame, length: int) -> DataFrame:

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from llm_cases import documents, empty, frame
 
-from claimsdq.llm.suffix_dedup import collection_bwt, remove_repeats, repeated_windows, segments, suffix_rows
+from claimsdq.llm.suffix_dedup import collection_bwt, narrowed, remove_repeats, repeated_windows, segments, suffix_rows
 
 
 def plain_arrays(strings):
@@ -48,10 +48,44 @@ def test_repeated_windows(tmp_path):
             if x in seen:
                 want.add((d, w))
             seen.add(x)
-        got = repeated_windows(strings, doc, start, 5, str(tmp_path))
+        flat, starts, lens = joined(strings)
+        got = repeated_windows(flat, starts, lens, doc, start, 5, str(tmp_path))
         assert set(zip(*[c.tolist() for c in got])) == want
 
 
+def joined(strings):
+    lens = np.array([len(s) for s in strings])
+    return np.frombuffer(b"".join(strings), np.uint8), np.cumsum(lens) - lens, lens
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_narrowing_loses_no_repeat_and_prunes(tmp_path, seed):
+    r = random.Random(seed)
+    vocab = [b"the ", b"on ", b"ing ", b"re ", b"\xc3\xa9 ", b"ab" * 40]
+    base = b"".join(r.choice(vocab) + str(r.randint(0, 999)).encode() for _ in range(300))
+    texts = [base]
+    for _ in range(5):
+        t = bytearray(base)
+        for _ in range(12):
+            t[r.randrange(len(t))] = r.randrange(97, 123)
+        texts.append(bytes(t) + b"xy" * r.randint(0, 90))
+    rows = {}
+    for d, t in enumerate(texts):
+        for a, g, s, n, _ in zip(*[c.tolist() for c in segments(t, 100)]):
+            rows.setdefault((a, g), (a, d, s, t[s:s + n + 99]))
+    a, d, s, strings = zip(*rows.values())
+    anchor, doc, start = map(np.array, (a, d, s))
+    flat, starts, lens = joined(strings)
+    whole = repeated_windows(flat, starts, lens, doc, start, 100, str(tmp_path))
+    (lo, hi, d, s), copies = narrowed(flat, starts, lens, anchor, doc, start, 100)
+    left = repeated_windows(flat, lo, hi - lo, d, s, 100, str(tmp_path))
+    got = set(zip(*[c.tolist() for c in left]))
+    for d, a, z in zip(*[c.tolist() for c in copies]):
+        got |= {(d, w) for w in range(a, z - 99)}
+    assert got == set(zip(*[c.tolist() for c in whole])) and got
+    assert (hi - lo).sum() < 0.8 * lens.sum()
+
+
 def test_segments_cover_every_window_once_and_follow_content():
     r = random.Random(2)
     data = bytes(r.choice(b"abcdefgh ") for _ in range(3000)) + b"xy" * 400 + b"z" * 300
@@ -62,7 +96,8 @@ def test_segments_cover_every_window_once_and_follow_content():
     moved = segments(b"prefix" + data, 100)
     by_window = {w: a for a, s, n in zip(anchor, start, size) for w in range(s, s + n)}
     assert all(by_window[w - 6] == a for a, s, n in zip(moved[0], moved[2], moved[3]) for w in range(s, s + n) if w >= 6)
-    assert twice[start > 3100].all()
+    periodic = ((start > 3100) & (start + size + 99 <= 3800)) | (start >= 3800)
+    assert periodic.sum() > 5 and twice[periodic].all()
     assert not len(segments(b"short", 100)[0])
 
 
