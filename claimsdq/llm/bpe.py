@@ -16,8 +16,8 @@ only normalizes and splits into words.  The merging itself is done here:
 
 Work is linear in the word times the number of tokens ending at a position, so
 a word of 100,000 letters is no special case.  Word encodings and pair tests
-are remembered per task in tables of at most twice ``CACHE_WORDS`` and
-``CACHE_PAIRS`` entries (speed only).
+are remembered per worker in tables of at most twice ``CACHE_WORDS`` and
+``CACHE_PAIRS`` entries, some 100 MB (speed only).
 
 Special tokens are cut out of the raw text first, as the library does with
 ``encode_special_tokens`` off.  Decoding joins the tokens' strings by a space,
@@ -36,6 +36,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -47,11 +48,32 @@ from tokenizers import Tokenizer
 
 from claimsdq.llm.common import map_batches
 
-CACHE_WORDS = 200_000
-CACHE_PAIRS = 500_000
+CACHE_WORDS = 100_000
+CACHE_PAIRS = 200_000
 #: Stands for the word-end suffix inside the automaton; no byte-level symbol.
 _END = "￿"
 _NEVER = float("inf")
+#: A chunk of Latin letters and then marks, none of them an apostrophe (which
+#: may open a word of its own): the commonest chunks, split without the library.
+_PLAIN = re.compile(r"([a-z\xdf-\xf6\xf8-\xff]*)([!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]*)")
+#: Beyond Latin-1 without the separators that blanks do not include: such text
+#: needs the library's normalizer.
+_BEYOND = re.compile(r"[^\x00-\x1b\x20-\xff]")
+
+
+def _byte_symbols() -> dict[int, int]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others
+    follow from 256 on, in order."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: 256 + n for n, b in enumerate(rest)}
+
+
+_BYTE_SYMBOLS = _byte_symbols()
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class PrefixBPE:
@@ -71,6 +93,12 @@ class PrefixBPE:
         whole, apart = self._split(probe), [p for chunk in probe.split(" ") for p in self._split(chunk)]
         # words that never hold a space can be found chunk by chunk
         self._by_chunk = [w for w, _ in whole] == [w for w, _ in apart]
+        # Latin-1 text can be normalized here if the file asks for no more than
+        # composition, blanks made single spaces and lower case
+        steps = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+        sample = "".join(c for c in map(chr, range(256)) if not 0x1C <= ord(c) < 0x20)
+        self._plain_case = self._by_chunk and steps == ["NFC", "Replace", "Lowercase"] and \
+            [c for c in self._normalize(sample).split(" ") if c] == sample.lower().split()
         self._suffix = model.get("end_of_word_suffix") or ""
         vocab = model["vocab"]
         self.tokens = {i: t for t, i in vocab.items()}
@@ -95,7 +123,7 @@ class PrefixBPE:
                 word = self._marked(token)
                 self._automaton.add_word(word, (i, len(word)))
         self._automaton.make_automaton()
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
         self._newer: dict[str, tuple[bytes, bytes]] = {}
         self._older: dict[str, tuple[bytes, bytes]] = {}
 
@@ -105,11 +133,12 @@ class PrefixBPE:
 
     def compatible(self, left: int, right: int) -> bool:
         """True if BPE over the two tokens' symbols gives exactly the two."""
-        known = self._pairs.get((left, right))
+        pair = left << 32 | right
+        known = self._pairs.get(pair)
         if known is None:
             if len(self._pairs) >= CACHE_PAIRS:
                 self._pairs.clear()
-            known = self._pairs[left, right] = self._stay_apart(left, right)
+            known = self._pairs[pair] = self._stay_apart(left, right)
         return known
 
     def _stay_apart(self, a: int, b: int) -> bool:
@@ -154,7 +183,7 @@ class PrefixBPE:
                 before = last[start]
                 if before < 0:
                     continue
-                fits = pairs.get((before, token))
+                fits = pairs.get(before << 32 | token)
                 if fits is None:
                     fits = self.compatible(before, token)
                 if not fits:
@@ -168,28 +197,49 @@ class PrefixBPE:
             at = back[at]
         return ids[::-1]
 
+    def _word(self, word: str) -> list[int]:
+        """Ids of a word as it stands in normalized text."""
+        return self.encode_word(word if word.isascii() else
+                                word.encode("utf-8").decode("latin-1").translate(_BYTE_SYMBOLS))
+
     def _chunk(self, chunk: str) -> tuple[bytes, bytes]:
         """(ids as little-endian 32-bit integers, decoded form) of a piece of
         normalized text whose ends are ends of words."""
         known = self._older.get(chunk)
         if known is None:
-            ids = [i for word, _ in self._split(chunk) if word for i in self.encode_word(word)]
-            known = (np.asarray(ids, "<u4").tobytes(), " ".join([self.tokens[i] for i in ids]).encode("utf-8"))
+            plain = self._by_chunk and _PLAIN.fullmatch(chunk)
+            if plain:                # letters, then marks: two words at most
+                ids = self._word(plain[1]) if plain[1] else []
+                if plain[2]:
+                    ids = ids + self._word(plain[2])
+            else:
+                ids = [i for word, _ in self._split(chunk) if word for i in self.encode_word(word)]
+            known = (_packed(ids), " ".join([self.tokens[i] for i in ids]).encode("utf-8"))
         if len(chunk) <= 64:
             if len(self._newer) >= CACHE_WORDS:
                 self._older, self._newer = self._newer, {}
             self._newer[chunk] = known
         return known
 
+    def _chunks(self, text: str) -> list[str] | tuple[str]:
+        """The chunks of a text, normalized."""
+        if self._plain_case and not _BEYOND.search(text):
+            return text.lower().split()
+        text = self._normalize(text)
+        return text.split(" ") if self._by_chunk else (text,)
+
     def _parts(self, text: str | None) -> Iterator[tuple[bytes, bytes]]:
+        known = self._newer
         for piece in self._cut.split(text or "") if self._cut else [text or ""]:
             if piece in self._special:
-                yield np.asarray([self._special[piece]], "<u4").tobytes(), piece.encode("utf-8")
+                yield _packed([self._special[piece]]), piece.encode("utf-8")
             elif piece:
-                text = self._normalize(piece)
-                for chunk in text.split(" ") if self._by_chunk else (text,):
+                for chunk in self._chunks(piece):
                     if chunk:
-                        part = self._newer.get(chunk) or self._chunk(chunk)
+                        part = known.get(chunk)
+                        if part is None:
+                            part = self._chunk(chunk)
+                            known = self._newer
                         if part[0]:
                             yield part
 
