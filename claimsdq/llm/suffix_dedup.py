@@ -104,11 +104,12 @@ def _sliding_min(a: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def segments(data: bytes, length: int):
+def segments(data: bytes, length: int, digests: bool = True, twices: bool = True):
     """Segments of one text: arrays (anchor, digest, start, windows, twice).
 
-    ``twice``: the anchor's gram stands at two places in the segment, so two windows of
-    the segment itself may be equal."""
+    ``twice``: the anchor's gram stands at two places in the segment, so two
+    windows of the segment itself may be equal.  Digests and this flag are left
+    out (0, False) where they are not asked for."""
     parts = []
     whole = np.frombuffer(data, np.uint8)
     span = length - GRAM + 1
@@ -117,10 +118,13 @@ def segments(data: bytes, length: int):
         p, down = _prefix(b, 11)
         h = _mixed((p[GRAM:] - p[:-GRAM]) * down[:len(b) - GRAM + 1]) & ~_PLACE
         place = np.arange(len(h), dtype=np.uint64) & _PLACE
-        first = _sliding_min(h | place, span)
-        last = _sliding_min(h | (_PLACE - place), span)
-        anchor = first >> np.uint64(8)
-        first, last = first & _PLACE, _PLACE - (last & _PLACE)
+        if twices:
+            first = _sliding_min(h | place, span)
+            last = _sliding_min(h | (_PLACE - place), span)
+            anchor = first >> np.uint64(8)
+            first, last = first & _PLACE, _PLACE - (last & _PLACE)
+        else:
+            anchor = _sliding_min(h, span) >> np.uint64(8)
         n = len(anchor)
         cut = np.flatnonzero(anchor[1:] != anchor[:-1]) + 1
         run_start = np.concatenate(([0], cut))
@@ -131,13 +135,17 @@ def segments(data: bytes, length: int):
         start = start + nth * span
         end = np.minimum(start + span, np.repeat(run_start + run_len, pieces))
         size = end - start
-        moved = np.zeros(n, np.int64)
-        moved[1:] = (first[1:] != first[:-1]) | (last[1:] != last[:-1])
-        changes = np.cumsum(moved)
-        twice = (changes[end - 1] != changes[start]) | (first[start] != last[start])
-        q, qdown = _prefix(b, 23)
-        stop = end + length - 1
-        digest = _mixed((q[stop] - q[start]) * qdown[start] + size.astype(np.uint64))
+        twice = np.zeros(len(start), bool)
+        if twices:
+            moved = np.zeros(n, np.int32)
+            moved[1:] = (first[1:] != first[:-1]) | (last[1:] != last[:-1])
+            changes = np.cumsum(moved)
+            twice = (changes[end - 1] != changes[start]) | (first[start] != last[start])
+        digest = np.zeros(len(start), np.uint64)
+        if digests:
+            q, qdown = _prefix(b, 23)
+            stop = end + length - 1
+            digest = _mixed((q[stop] - q[start]) * qdown[start] + size.astype(np.uint64))
         parts.append((anchor[start].view(np.int64), digest.view(np.int64), start + at, size, twice))
     if not parts:
         return [np.empty(0, np.int64)] * 4 + [np.empty(0, bool)]
@@ -331,17 +339,29 @@ def _order(docs: DataFrame) -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOWEST).cast("long"))
 
 
+def _anchor_rows(base: DataFrame, length: int) -> DataFrame:
+    """One row per segment: its anchor and the number of places it stands for (2
+    if the gram stands in the segment twice)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for text in b.column(0):
+                anchor, _, _, _, twice = segments(text.as_py(), length, digests=False)
+                if len(anchor):
+                    yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(1 + twice.astype(np.int64))],
+                                                     names=["anchor", "places"])
+    return map_batches(base.select("data"), run, "anchor long, places long")
+
+
 def _segment_rows(base: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                anchor, digest, start, size, twice = segments(text.as_py(), length)
+                anchor, digest, start, size, _ = segments(text.as_py(), length, twices=False)
                 if len(anchor):
-                    # windows and the flag share a number with the start
-                    packed = (start << 9) | (size << 1) | twice
+                    # the number of windows shares a number with the start
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(anchor), pa.array(digest), pa.array(np.full(len(anchor), doc, np.int64)),
-                         pa.array(packed)], names=["anchor", "digest", "doc", "packed"])
+                         pa.array((start << 8) | size)], names=["anchor", "digest", "doc", "packed"])
     return map_batches(base.select("doc", "data"), run, "anchor long, digest long, doc long, packed long")
 
 
@@ -420,13 +440,12 @@ def repeated_intervals(base: DataFrame, length: int, crowd: int, collection_mb:
     """``doc, lo, hi``: byte intervals under repeated strings (may overlap).
     ``base``: doc, doc_id, data (bytes)."""
     spark = base.sparkSession
-    found = _segment_rows(base, length)
-    weight = F.lit(1).cast("long") + F.col("packed").bitwiseAND(F.lit(1).cast("long"))
-    shared = found.groupBy("anchor").agg(F.sum(weight).alias("w")).filter("w > 1").select("anchor")
-    places = staged(found.join(shared, "anchor", "left_semi").select(
-        "anchor", "digest", "doc", F.shiftright("packed", 9).alias("start"),
-        F.shiftright("packed", 1).bitwiseAND(F.lit(255).cast("long")).alias("windows"),
-        (F.col("packed").bitwiseAND(F.lit(1).cast("long")) == 1).alias("twice")), "suffix-places")
+    shared = _anchor_rows(base, length).groupBy("anchor").agg(
+        F.sum("places").alias("n"), F.max("places").alias("most")).filter("n > 1") \
+        .select("anchor", (F.col("most") > 1).alias("twice"))
+    places = staged(_segment_rows(base, length).join(shared, "anchor").select(
+        "anchor", "digest", "doc", F.shiftright("packed", 8).alias("start"),
+        F.col("packed").bitwiseAND(F.lit(255).cast("long")).alias("windows"), "twice"), "suffix-places")
     firsts = staged(places.groupBy("anchor", "digest").agg(
         F.min(F.struct("doc", "start")).alias("at"), F.max("windows").alias("windows"),
         F.max("twice").alias("twice"), F.count("*").alias("n"))
