@@ -164,16 +164,15 @@ class PrefixBPE:
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of one pre-tokenized word (byte-level symbols)."""
-        n, suffix, pairs = len(word), self._suffix, self._pairs
+        n, pairs = len(word), self._pairs
         last, back = [-1] * (n + 1), [0] * (n + 1)
+        plain = n - 1 if self._suffix else n      # ends before here are no word ends
         # matches come by end, longest first, so the first that fits is the one
-        for at, (token, size) in self._automaton.iter(word + _END if suffix else word):
-            if not suffix:
+        for at, (token, size) in self._automaton.iter(word + _END if self._suffix else word):
+            if at < plain:
                 end = at + 1
             elif at == n:
                 end, size = n, size - 1
-            elif at < n - 1:
-                end = at + 1
             else:
                 continue
             if last[end] >= 0:
@@ -197,29 +196,41 @@ class PrefixBPE:
             at = back[at]
         return ids[::-1]
 
-    def _word(self, word: str) -> list[int]:
-        """Ids of a word as it stands in normalized text."""
-        return self.encode_word(word if word.isascii() else
-                                word.encode("utf-8").decode("latin-1").translate(_BYTE_SYMBOLS))
-
-    def _chunk(self, chunk: str) -> tuple[bytes, bytes]:
-        """(ids as little-endian 32-bit integers, decoded form) of a piece of
-        normalized text whose ends are ends of words."""
-        known = self._older.get(chunk)
-        if known is None:
-            plain = self._by_chunk and _PLAIN.fullmatch(chunk)
-            if plain:                # letters, then marks: two words at most
-                ids = self._word(plain[1]) if plain[1] else []
-                if plain[2]:
-                    ids = ids + self._word(plain[2])
-            else:
-                ids = [i for word, _ in self._split(chunk) if word for i in self.encode_word(word)]
-            known = (_packed(ids), " ".join([self.tokens[i] for i in ids]).encode("utf-8"))
-        if len(chunk) <= 64:
+    def _known(self, key: str, ids) -> tuple[bytes, bytes]:
+        """Remember (ids as little-endian 32-bit integers, decoded form)."""
+        entry = (_packed(ids), " ".join([self.tokens[i] for i in ids]).encode("utf-8"))
+        if ids and len(key) <= 64:
             if len(self._newer) >= CACHE_WORDS:
                 self._older, self._newer = self._newer, {}
-            self._newer[chunk] = known
-        return known
+            self._newer[key] = entry
+        return entry
+
+    def _word(self, word: str) -> tuple[bytes, bytes]:
+        """A word of letters, or of marks, as it stands in normalized text."""
+        entry = self._newer.get(word)
+        if entry is None:
+            entry = self._older.get(word)
+            if entry is None:
+                entry = self._known(word, self.encode_word(
+                    word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(_BYTE_SYMBOLS)))
+            elif len(self._newer) < CACHE_WORDS:
+                self._newer[word] = entry
+        return entry
+
+    def _chunk(self, chunk: str) -> tuple[bytes, bytes]:
+        """A piece of normalized text whose ends are ends of words."""
+        plain = _PLAIN.fullmatch(chunk) if self._by_chunk else None
+        if plain is None:
+            entry = self._older.get(chunk)
+            return entry or self._known(chunk, [i for word, _ in self._split(chunk) if word
+                                                for i in self.encode_word(word)])
+        letters, marks = plain.groups()      # two words at most
+        if not marks:
+            return self._word(letters)
+        if not letters:
+            return self._word(marks)
+        a, b = self._word(letters), self._word(marks)
+        return a[0] + b[0], a[1] + b" " + b[1]
 
     def _chunks(self, text: str) -> list[str] | tuple[str]:
         """The chunks of a text, normalized."""
@@ -228,27 +239,24 @@ class PrefixBPE:
         text = self._normalize(text)
         return text.split(" ") if self._by_chunk else (text,)
 
-    def _parts(self, text: str | None) -> Iterator[tuple[bytes, bytes]]:
-        known = self._newer
-        for piece in self._cut.split(text or "") if self._cut else [text or ""]:
-            if piece in self._special:
-                yield _packed([self._special[piece]]), piece.encode("utf-8")
-            elif piece:
-                for chunk in self._chunks(piece):
-                    if chunk:
-                        part = known.get(chunk)
-                        if part is None:
-                            part = self._chunk(chunk)
-                            known = self._newer
-                        if part[0]:
-                            yield part
-
     def encode_with_text(self, text: str | None) -> tuple[bytes, bytes]:
         """Ids (little-endian unsigned 32-bit) and their decoding (UTF-8)."""
         ids, decoded = [], []
-        for i, d in self._parts(text):
-            ids.append(i)
-            decoded.append(d)
+        for piece in self._cut.split(text or "") if self._cut else [text or ""]:
+            if piece in self._special:
+                ids.append(_packed([self._special[piece]]))
+                decoded.append(piece.encode("utf-8"))
+                continue
+            known = self._newer
+            for chunk in self._chunks(piece):
+                part = known.get(chunk)
+                if part is None:
+                    part = self._chunk(chunk) if chunk else None
+                    known = self._newer
+                    if not part or not part[0]:
+                        continue
+                ids.append(part[0])
+                decoded.append(part[1])
         return b"".join(ids), b" ".join(decoded)
 
     def encode(self, text: str | None) -> list[int]:
