@@ -21,10 +21,12 @@ gives an empty result; other columns are not looked at.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimsdq.llm.common import ascii_lower, text_or_empty
+from claimsdq.llm.common import text_or_empty
 
 # Spellings that count as one, written (from, to).
 SPELLINGS = (
@@ -37,6 +39,7 @@ SPELLINGS = (
 TYPOGRAPHIC = "\u2018\u2019\u201c\u201d\u2013\u2014\u2026\u00a0"
 PLAIN = "''\"\"--. "
 # Lines that say who owns the text: dropped whole.
+COPYRIGHT_MARKS = ("copyright", "(c)", "\u00a9")
 COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(?:copyright\b|\(c\)|\x{A9})[^\n]*$"
 PUNCTUATION = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
 
@@ -86,24 +89,35 @@ PERFORMANCE OF THIS SOFTWARE."""),
 )
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form of a text; empty if it holds no letter or digit."""
-    t = F.translate(ascii_lower(text), TYPOGRAPHIC, PLAIN)
-    t = F.regexp_replace(t, COPYRIGHT_LINE, " ")
-    t = F.trim(F.regexp_replace(t, PUNCTUATION, " "))
-    t = F.replace(t, F.lit("all rights reserved"), F.lit(""))
-    # most texts hold none of the other spellings: one test spares the passes
-    one = t
-    for old, new in SPELLINGS:
-        one = F.replace(one, F.lit(old), F.lit(new))
-    t = F.when(t.rlike("|".join(old for old, _ in SPELLINGS)), one).otherwise(t)
-    return F.trim(F.regexp_replace(t, " +", " "))
+def _any_of(text: Column, parts) -> Column:
+    return F.exists(F.array(*[F.lit(p) for p in parts]), lambda p: text.contains(p))
+
+
+def canonical(df: DataFrame, text: str, form: str) -> DataFrame:
+    """Add ``form``: the canonical form of ``text``, empty if it holds no letter
+    or digit.  Each step is a column of its own, so that no expression is
+    computed twice; a plain search tells the many texts that need no pattern
+    from the few that do."""
+    df = df.withColumn(form, F.translate(text, string.ascii_uppercase + TYPOGRAPHIC, string.ascii_lowercase + PLAIN))
+    t = F.col(form)
+    for step in (
+            F.when(_any_of(t, COPYRIGHT_MARKS), F.regexp_replace(t, COPYRIGHT_LINE, " ")).otherwise(t),
+            F.replace(F.trim(F.regexp_replace(t, PUNCTUATION, " ")), F.lit("all rights reserved"), F.lit("")),
+            F.when(_any_of(t, [old for old, _ in SPELLINGS]), _respelled(t)).otherwise(t),
+            F.trim(F.when(t.contains("  "), F.regexp_replace(t, " +", " ")).otherwise(t))):
+        df = df.withColumn(form, step)
+    return df
+
+
+def _respelled(text: Column) -> Column:
+    pairs = F.array(*[F.struct(F.lit(old).alias("old"), F.lit(new).alias("new")) for old, new in SPELLINGS])
+    return F.aggregate(pairs, text, lambda t, p: F.replace(t, p["old"], p["new"]))
 
 
 def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
     """``digest, license`` of the known texts, one row per digest."""
     rows = spark.createDataFrame([(n, t) for n, t in known], "license string, known_text string")
-    return rows.select("license", canonical(F.col("known_text")).alias("form")).filter("form != ''") \
+    return canonical(rows, "known_text", "form").filter("form != ''") \
         .groupBy(F.sha2("form", 256).alias("known_digest")).agg(F.min("license").alias("license"))
 
 
@@ -114,7 +128,7 @@ def scan_licenses(docs: DataFrame, known=KNOWN) -> DataFrame:
     text = text_or_empty()
     units = docs.select("doc_id", F.sha2(text, 256).alias("__text"),
                         F.posexplode(F.concat(F.array(text), F.split(text, "\n", -1))).alias("__at", "__unit"))
-    units = units.withColumn("__form", canonical(F.col("__unit"))) \
+    units = canonical(units, "__unit", "__form") \
         .select("doc_id", "__text", "__at", F.sha2("__form", 256).alias("digest"),
                 (F.col("__form") == "").alias("blank"))
     found = units.join(F.broadcast(known_digests(docs.sparkSession, known)),

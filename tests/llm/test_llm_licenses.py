@@ -3,7 +3,6 @@
 from collections import Counter
 
 from llm_cases import documents, empty, frame
-from pyspark.sql import functions as F
 
 from claimsdq.llm.licenses import KNOWN, canonical, known_digests, scan_licenses
 
@@ -12,7 +11,7 @@ MIT = next(t for n, t in KNOWN if n == "MIT" and len(t) > 500)
 
 def forms(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    return [r[0] for r in df.orderBy("i").select(canonical(F.col("t"))).collect()]
+    return [r.form for r in canonical(df, "t", "form").orderBy("i").collect()]
 
 
 def test_equal_forms(spark):
