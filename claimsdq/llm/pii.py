@@ -7,8 +7,9 @@ the patterns miss ("name (at) example dot com", "555-0100 ext", grouped
 cards), set into the corpus's own text.  It then reads every text:
 
 * A text is decoded in overlapping windows of ``WIDTH`` characters, ``WIDTH //
-  2`` apart.  Windows far from any digit or ``@`` and from any spelled "(at)"
-  are passed over: no span of the four kinds can lie there.
+  2`` apart.  Windows without a trigger (a digit, ``@`` or "at" as a word, in
+  any case and any brackets) are passed over: ``accepted`` takes no span without
+  one, so the result is that of decoding every window.
 * Spans cut by a window's edge are left to the neighbour that sees them whole.
 * The document's candidate spans from all windows are reconciled together: a
   weighted interval schedule keeps the set of non-overlapping spans with the
@@ -54,7 +55,11 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_TRIGGER = re.compile(r"[0-9@]|[(\[]at[)\]]")
+# "at" and "dot" as words of any case: no letter or digit on either side.
+_AT = re.compile(r"@|(?<![^\W_])at(?![^\W_])", re.IGNORECASE)
+_DOT = re.compile(r"\.|(?<![^\W_])dot(?![^\W_])", re.IGNORECASE)
+# What every accepted span holds.
+_TRIGGER = re.compile(f"[0-9]|{_AT.pattern}", re.IGNORECASE)
 
 
 def luhn(digits: str) -> bool:
@@ -100,7 +105,7 @@ def plausible(kind: int, s: str) -> bool:
     """Whether a tagged string can be what its tag says."""
     d = _digits(s)
     if kind == 0:
-        return bool(re.search(r"@|\bat\b", s)) and bool(re.search(r"\.|\bdot\b", s)) and len(s) >= 7
+        return bool(_AT.search(s)) and bool(_DOT.search(s)) and len(s) >= 7
     if kind == 1:
         parts = re.findall(r"[0-9]+", s)
         return len(parts) == 4 and all(map(_byte, parts))
@@ -109,6 +114,16 @@ def plausible(kind: int, s: str) -> bool:
     return 7 <= len(d) <= 15
 
 
+def accepted(span: Span, text: str) -> bool:
+    """Whether a tagged span is plausible; its "at" and "dot" must be words of
+    the text, not word ends that the span's edge cuts off ("form|at x.y")."""
+    kind, lo, hi = span
+
+    def holds(word):
+        return any(lo <= m.start() and m.end() <= hi for m in word.finditer(text, max(0, lo - 1), hi + 1))
+    return plausible(kind, text[lo:hi]) and (kind != 0 or (holds(_AT) and holds(_DOT)))
+
+
 # ------------------------------------------------------------- labelled windows
 
 def tags_of(spans: list[Span], start: int, width: int = WIDTH) -> np.ndarray:
@@ -144,7 +159,8 @@ def generated_windows(contexts: list[str], n: int, seed: int = 5) -> list[tuple[
         return sep.join(body[i:i + 4] for i in range(0, 16, 4))
 
     def email():
-        at, dot = pick(("@", "."), (" at ", " dot "), (" (at) ", "."), ("[at]", "[dot]"), ("(at)", "(dot)"), (" @ ", "."))
+        at, dot = pick(("@", "."), (" at ", " dot "), (" (at) ", "."), ("[at]", "[dot]"), ("(at)", "(dot)"), (" @ ", "."),
+                       (" AT ", " DOT "), (" (AT) ", "."), ("[AT]", "[DOT]"), (" ( at ) ", " ( dot ) "), ("{at}", "{dot}"))
         return f"{word()}{pick('', '.', '_')}{num(2) if r.random() < .3 else word()}{at}{word()}{dot}{pick('com', 'org', 'net')}"
 
     def ip():
@@ -218,11 +234,12 @@ def train_on(windows: list[tuple[str, list[Span]]], epochs: int) -> Tagger:
 # ------------------------------------------------------------------- the search
 
 def window_starts(text: str) -> list[int]:
-    """Starts of the overlapping windows that lie within reach of a trigger."""
+    """Starts of the overlapping windows that hold a trigger's first character,
+    so of every window that holds an ``accepted`` span whole."""
     step, out, last = WIDTH // 2, [], -1
     for m in _TRIGGER.finditer(text):
         first = max(0, m.start() // step - 1)
-        for k in range(max(first, last + 1), m.start() // step + 2):
+        for k in range(max(first, last + 1), m.start() // step + 1):
             if k * step < len(text):
                 out.append(k * step)
                 last = k
@@ -263,10 +280,11 @@ def reconcile(found: dict[Span, float]) -> list[Span]:
     return out[::-1]
 
 
-def find_spans(texts: list[str], tagger: Tagger, least_margin: float = 6.0) -> list[tuple[list[Span], list[Span]]]:
+def find_spans(texts: list[str], tagger: Tagger, least_margin: float = 6.0,
+               starts_of=window_starts) -> list[tuple[list[Span], list[Span]]]:
     """(base spans, all spans) of each text."""
     base = [base_spans(t) for t in texts]
-    jobs = [(n, start) for n, t in enumerate(texts) for start in window_starts(t)]
+    jobs = [(n, start) for n, t in enumerate(texts) for start in starts_of(t)]
     found: list[dict[Span, float]] = [{} for _ in texts]
     for at in range(0, len(jobs), _BATCH):
         some = jobs[at:at + _BATCH]
@@ -280,8 +298,8 @@ def find_spans(texts: list[str], tagger: Tagger, least_margin: float = 6.0) -> l
             size = min(WIDTH, len(texts[n]) - start)
             for kind, lo, hi, score in spans_in(tags[row, :size], margin[row]):
                 cut = (lo == 0 and start > 0) or (hi == size and start + size < len(texts[n]))
-                if not cut:
-                    s = (kind, start + lo, start + hi)
+                s = (kind, start + lo, start + hi)
+                if not cut and accepted(s, texts[n]):
                     found[n][s] = max(score, found[n].get(s, 0.0))
     out = []
     for n, text in enumerate(texts):
@@ -292,7 +310,7 @@ def find_spans(texts: list[str], tagger: Tagger, least_margin: float = 6.0) -> l
             reach = np.maximum.accumulate([hi for _, hi in taken]) if taken else []
             for s in reconcile(found[n]):
                 k = bisect_right(starts, s[2] - 1)
-                if found[n][s] >= least_margin and not (k and reach[k - 1] > s[1]) and plausible(s[0], text[s[1]:s[2]]):
+                if found[n][s] >= least_margin and not (k and reach[k - 1] > s[1]):
                     added.append(s)
         out.append((base[n], sorted(base[n] + added)))
     return out

@@ -156,19 +156,49 @@ class Tagger:
             losses.append(total / max(1, len(ids)))
         return losses
 
+    def _hidden(self, ids, d):
+        """The hidden states of one direction, (time, hidden, window): as
+        ``_pass``, without what training keeps.  The inputs' share of the gates
+        is looked up by class, and one tanh serves all gates."""
+        k, p = self.hidden, self.p
+        half = np.repeat(np.array([0.5, 1.0], p["b" + d].dtype), [3 * k, k])     # sigmoid(x) = (1 + tanh(x / 2)) / 2
+        table = np.ascontiguousarray(((p["embed"] @ p["x" + d] + p["b" + d]) * half).T)
+        wh = np.ascontiguousarray((p["h" + d] * half).T)
+        n, t = ids.shape
+        h, c = np.zeros((k, n), table.dtype), np.zeros((k, n), table.dtype)
+        hs = np.empty((t, k, n), table.dtype)
+        columns = np.ascontiguousarray(ids.T)
+        for s in (range(t) if d == "f" else range(t - 1, -1, -1)):
+            a = wh @ h
+            a += table.take(columns[s], axis=1)
+            np.tanh(a, out=a)
+            gate = a[:3 * k]
+            gate += 1
+            gate *= 0.5
+            c = gate[k:2 * k] * c + gate[:k] * a[3 * k:]
+            h = gate[2 * k:] * np.tanh(c)
+            hs[s] = h
+        return hs
+
     def decode(self, ids):
         """Best tags of each window, and each tag's margin over tag 0."""
-        e, _ = self.emissions(ids)
-        n, t, k = e.shape
-        score = e[:, 0] + self.p["start"]
-        back = np.empty((t, n, k), np.int64)
+        p, k = self.p, self.hidden
+        out = np.ascontiguousarray(p["out"].T)
+        e = out[:, :k] @ self._hidden(ids, "f")
+        e += out[:, k:] @ self._hidden(ids, "b")
+        e += p["bias"][:, None]                  # (time, tag, window)
+        t, _, n = e.shape
+        scores = np.empty_like(e)
+        scores[0] = e[0] + p["start"][:, None]
+        into = [np.ascontiguousarray(p["move"][:, j])[:, None] for j in range(self.n_tags)]
         for s in range(1, t):
-            paths = score[:, :, None] + self.p["move"]
-            back[s] = paths.argmax(1)
-            score = paths.max(1) + e[:, s]
+            for j, move in enumerate(into):
+                (scores[s - 1] + move).max(0, out=scores[s, j])
+            scores[s] += e[s]
         tags = np.empty((n, t), np.int64)
-        tags[:, -1] = score.argmax(1)
+        tags[:, -1] = scores[-1].argmax(0)
         for s in range(t - 1, 0, -1):
-            tags[:, s - 1] = back[s][np.arange(n), tags[:, s]]
+            tags[:, s - 1] = (scores[s - 1] + p["move"][:, tags[:, s]]).argmax(0)
+        e = e.transpose(2, 0, 1)
         margin = np.take_along_axis(e, tags[:, :, None], 2)[:, :, 0] - e[:, :, 0]
         return tags, margin
