@@ -8,7 +8,9 @@ SHA-256 of the form is looked up in a table of known licence digests by a hash
 join.  What is looked up is always an entire text: the document as a whole,
 and each of its lines as a text of its own (notices stand on one line).
 
-The known table holds a fixed list of licences, not data, so it is broadcast.
+The known table holds a fixed list of licences, not data, so it is broadcast:
+the full texts and headers of ``license_texts``, SPDX tags, and the usual notices
+("licensed under ...") made from each licence's names.
 Lines never leave their task: the aggregate by document is partial before its
 small rows are exchanged, so one line that every document has costs nothing
 extra.
@@ -27,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimsdq.llm.common import text_or_empty
+from claimsdq.llm.license_texts import TEXTS
 
 # Spellings that count as one, written (from, to).
 SPELLINGS = (
@@ -43,6 +46,76 @@ COPYRIGHT_MARKS = ("copyright", "(c)", "\u00a9")
 COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(?:copyright\b|\(c\)|\x{A9})[^\n]*$"
 PUNCTUATION = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
 
+# Licences by the names that notices use, beside their SPDX tag.
+NAMES = {
+    "0BSD": ("Zero-Clause BSD", "BSD Zero Clause License"),
+    "AGPL-3.0": ("GNU Affero General Public License, version 3", "GNU Affero General Public License v3.0", "AGPLv3", "AGPL v3"),
+    "AGPL-3.0-or-later": ("GNU Affero General Public License, version 3 or later", "AGPL version 3 or later"),
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0", "Apache License v2.0", "Apache 2.0 License", "Apache 2.0",
+                   "Apache 2", "Apache License 2"),
+    "Artistic-1.0": ("Artistic License 1.0",),
+    "Artistic-2.0": ("Artistic License 2.0",),
+    "BSD-2-Clause": ("BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License", "FreeBSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License"),
+    "BSL-1.0": ("Boost Software License, Version 1.0", "Boost Software License 1.0"),
+    "CC0-1.0": ("CC0 1.0", "CC0 1.0 Universal", "Creative Commons CC0 1.0 Universal", "CC0 1.0 Universal Public Domain Dedication",
+                "Creative Commons Zero v1.0 Universal"),
+    "EPL-1.0": ("Eclipse Public License 1.0", "Eclipse Public License v1.0"),
+    "EPL-2.0": ("Eclipse Public License 2.0", "Eclipse Public License v2.0", "Eclipse Public License, Version 2.0"),
+    "EUPL-1.2": ("European Union Public License 1.2", "EUPL v1.2"),
+    "ISC": ("ISC License",),
+    "MIT": ("MIT License", "Expat License"),
+    "MPL-1.1": ("Mozilla Public License 1.1", "Mozilla Public License, Version 1.1", "MPL 1.1"),
+    "MPL-2.0": ("Mozilla Public License 2.0", "Mozilla Public License, v. 2.0", "Mozilla Public License, Version 2.0", "MPL 2.0"),
+    "NCSA": ("University of Illinois/NCSA Open Source License",),
+    "OFL-1.1": ("SIL Open Font License, Version 1.1", "SIL Open Font License 1.1"),
+    "Unicode-3.0": ("Unicode License v3",),
+    "Unlicense": ("The Unlicense",),
+    "WTFPL": ("Do What The Fuck You Want To Public License",),
+    "Zlib": ("zlib License",),
+}
+for _id, _short, _long in (("GPL", "GPL", "General Public License"), ("LGPL", "LGPL", "Lesser General Public License"),
+                           ("GFDL", "GFDL", "Free Documentation License")):
+    for _v in {"GPL": ("1.0", "2.0", "3.0"), "LGPL": ("2.1", "3.0"), "GFDL": ("1.2", "1.3")}[_id]:
+        _n = _v.removesuffix(".0")
+        _plain = tuple(f"{name}{join}{v}" for name in (_short, f"GNU {_short}", f"GNU {_long}")
+                       for join in (" ", " v", " version ") for v in dict.fromkeys((_n, _v))) + (f"{_short}v{_n}", f"GNU {_short}v{_n}")
+        NAMES[f"{_id}-{_v}"] = _plain
+        NAMES[f"{_id}-{_v}-or-later"] = tuple(f"{name} or {later}" for name in _plain if not name.endswith(".0")
+                                              for later in ("later", "any later version"))
+for _code, _words in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-NC", "Attribution-NonCommercial"),
+                      ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+                      ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")):
+    for _v, _kind in (("3.0", "Unported"), ("4.0", "International")):
+        NAMES[f"CC-{_code}-{_v}"] = tuple(
+            f"{name} {_v}{kind}" for kind in ("", f" {_kind}")
+            for name in (f"CC {_code}", f"Creative Commons {_code}", f"Creative Commons {_words}"))
+
+# What stands before the name of a licence in a notice.
+SUBJECTS = ("", "This work is ", "This project is ", "This software is ")
+VERBS = ("Licensed under ", "Released under ", "Distributed under ")
+ARTICLES = ("", "the ", "a ")
+
+
+def notices() -> list[tuple[str, str]]:
+    """(licence, notice) of the names: SPDX tags, "License: x", names that say
+    "License" or a version, and sentences with and without "license" at the end."""
+    out = []
+    for tag, names in NAMES.items():
+        tags = [tag, f"{tag}-only"] if tag in ("GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "GFDL-1.2", "GFDL-1.3") else [tag]
+        out += [(tag, f"SPDX-License-Identifier: {t}") for t in tags]
+        for name in dict.fromkeys((*tags, *names)):
+            ended = [name] if "license" in name.lower() or " or " in name else [name, f"{name} License"]
+            out += [(tag, f"License: {n}") for n in ended]
+            out += [(tag, n) for n in ended if "license" in n.lower() or any(c.isdigit() for c in n)]
+            out += [(tag, s + (v.lower() if s else v) + a + n) for n in ended for s in SUBJECTS for v in VERBS
+                    for a in ARTICLES if not (a == "a " and not tag.startswith("CC-"))]
+    seen = {}
+    for tag, n in out:
+        seen.setdefault("".join(c if c.isalnum() else " " for c in n.lower()), (tag, n))
+    return list(seen.values())
+
+
 # Licence texts and one-line notices.
 KNOWN = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -86,6 +159,8 @@ INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM
 LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR
 OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
 PERFORMANCE OF THIS SOFTWARE."""),
+    *TEXTS,
+    *notices(),
 )
 
 
