@@ -1,8 +1,7 @@
 """Licence scan by canonical digest lookup.
 
 A text is brought to canonical form: A-Z lower-cased, typographic quotes,
-dashes and the copyright sign made plain, copyright lines and "all rights
-reserved" removed, equivalent spellings made one, punctuation and blanks made
+dashes made plain, copyright statements and "all rights reserved" removed, equivalent spellings made one, punctuation and blanks made
 single spaces.  Two texts with one canonical form are the same licence, so the
 SHA-256 of the form is looked up in a table of known licence digests by a hash
 join.  What is looked up is always an entire text: the document as a whole,
@@ -15,6 +14,13 @@ Lines never leave their task: the aggregate by document is partial before its
 small rows are exchanged, so one line that every document has costs nothing
 extra.
 
+A copyright statement is "copyright" with "(c)", the sign or a year, "(c)" with a
+year, or the sign, anywhere, or "copyright" with an owner at a line's start.  It
+reaches to the end of its line or sentence, to a word that begins a licence
+("Permission", "Licensed") or over 30 words.  "Copyright notice", "holder", "law"
+and the like are the licence's own words and stay, and statements within the
+licences go with their own words only, so the form does not depend on wrapping.
+
 Edge cases: null and blank texts have an empty form, which matches nothing;
 rows that repeat a ``doc_id`` with the same text are reported once; two known
 licences with one form are reported under the smaller name; an empty table
@@ -23,6 +29,7 @@ gives an empty result; other columns are not looked at.
 
 from __future__ import annotations
 
+import re
 import string
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,9 +48,57 @@ SPELLINGS = (
 # Characters made plain before punctuation goes, and what they become.
 TYPOGRAPHIC = "\u2018\u2019\u201c\u201d\u2013\u2014\u2026\u00a0"
 PLAIN = "''\"\"--. "
-# Lines that say who owns the text: dropped whole.
-COPYRIGHT_MARKS = ("copyright", "(c)", "\u00a9")
-COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(?:copyright\b|\(c\)|\x{A9})[^\n]*$"
+COPYRIGHT_MARKS = ("copyright", "(c)", "©")
+# Words that end a copyright statement, and words after "copyright" that make it
+# a word of the licence and not the mark of a statement.
+AFTER_STATEMENT = ("anyone", "distributed", "everyone", "licensed", "permission", "redistribution", "redistributions", "released",
+                   "see", "spdx-license-identifier:", "this", "unless", "use", "you")
+NO_OWNER = (
+    "also", "and", "are", "as", "disclaimer", "doctrine", "doctrines", "doctrin", "for", "from", "if", "in", "including", "interest", "interests",
+    "is", "law", "laws", "license", "licenses", "licence", "line", "lines", "notice", "notices", "of", "on", "or", "owner", "owners", "ownership",
+    "holder", "holders", "permission", "protection", "resulting", "right", "rights", "statement", "statements", "status", "that", "the", "to",
+    "treaties", "treaty", "under", "where", "which", "with", "without", "year")
+_TOKEN, _BLANK, _ANY = r"[^\x20\t\r\n]", r"[\x20\t\r]", r"[\x20\t\r\n]+"
+
+
+def _other_than(words: tuple[str, ...], bare: bool, root: bool = True) -> str:
+    """A pattern, without lookahead, of the tokens other than ``words``: they
+    leave the words' tree by a character of their own, or end within a word.
+    ``bare``: a word with marks behind it counts as the word, and a token starts
+    with a letter; otherwise a token does not end in a full stop."""
+    heads = "".join(dict.fromkeys(w[0] for w in words if w))
+    other = "".join("\\" + c if c in "-:" else c for c in heads) + r"\x20\t\r\n"
+    ends = "" in words
+    if bare:
+        first = r"0-9(<\[\x{A9}\x22_.:*/-" if root else ""
+        own = f"[{''.join(c for c in string.ascii_lowercase + string.digits if c not in heads)}]" if ends else f"[^{first}{other}]"
+        out = [own + _TOKEN + "*"]
+    else:
+        out = [f"[^{other}.](?:{_TOKEN}*[^\\x20\\t\\r\\n.])?", f"\\.{_TOKEN}*[^\\x20\\t\\r\\n.]"]
+    out += [re.escape(c) + _other_than(tuple(w[1:] for w in words if w[:1] == c), bare, False) for c in heads]
+    if not root and not ends:
+        out.append("")
+    return f"(?:{'|'.join(out)})"
+
+
+def _statement() -> str:
+    year = r"(?:1[89]|20)[0-9]{2}"
+    by = r"(?:\(c\)|\x{A9})"
+    word = f"(?:{_other_than(AFTER_STATEMENT, False)}|{_TOKEN}{{1,4}}\\.)"     # "x." and "inc." end no sentence
+    tail = f"(?:{word}{_BLANK}+){{0,30}}(?:{_TOKEN}+\\.(?:[\\x20\\t\\r\\n]|\\z)|{word}(?:\\n|\\z))?"
+    inside = "|".join(x.replace(" ", _ANY) for x in (               # statements of the licences themselves
+        rf"copyright {by} {year}(?:,(?: )?{year})* free software foundation,? inc\.?,?(?: <https?://fsf\.org/>)?",
+        r"copyright \(c\) (?:<year>|year|yyyy|19yy|19xx) (?:<name of author>|name of author|your name\.?)",
+        r"copyright \(c\) _+ _+\.?", r"copyright \[yyyy\] \[name of copyright owner\]",
+        rf"copyright \x{{A9}} {year}-{year} unicode, inc\."))
+    marks = "|".join((rf"copyright:?{_BLANK}*{by}(?:{_ANY}{year})?{_TOKEN}*", rf"copyright:?{_ANY}{year}{_TOKEN}*",
+                      rf"\(c\){_BLANK}*(?:copyright{_BLANK}+)?{year}{_TOKEN}*", rf"\x{{A9}}(?:{_BLANK}*{year})?{_TOKEN}*"))
+    line = rf"^[^a-z0-9\x{{80}}-\x{{10FFFF}}\n]*copyright:?{_BLANK}+{_other_than(NO_OWNER, True)}"
+    return f"(?m)(?:{inside}|(?:{marks}){_BLANK}*{tail}|{line}(?:\\n|\\z|{_BLANK}+{tail}))"
+
+
+# Statements of who owns the text: dropped up to the end of their sentence or line.
+COPYRIGHT_LINE = _statement()
 PUNCTUATION = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
 
 # Licences by the names that notices use, beside their SPDX tag.
