@@ -1,7 +1,8 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express.
 
 The others are tested against brute force: op1 (64-bit hashes and reachability),
-op3 (hypergeometric draws), op4 (hash scores), op6, op7 and op10.
+op3 (hypergeometric draws), op4 (hash scores), op6, op7, op10, op11 (by held-out
+accuracy) and op13.
 """
 
 from __future__ import annotations
@@ -118,5 +119,46 @@ SELECT *, chosen_loss <> '' AND rejected_loss <> '' AS usable FROM done
 """
 
 
+def _share(count: str, n: str, size: str) -> str:
+    return f"(1 + 1000000000::HUGEINT * ({count} + 1) // nullif({n} + {size}, 0))"
+
+
+# Plain and dense: every kept term of the lang for every pair of sources.
+OP12 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                            '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words
+  FROM documents),
+w AS (SELECT r, lang, source, unnest(words) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+sized AS (SELECT l.lang, count(k.term) AS v FROM (SELECT DISTINCT lang FROM d) l LEFT JOIN kept k ON l.lang = k.lang GROUP BY 1),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT s.lang, s.source, coalesce(sum(n), 0)::HUGEINT AS total, any_value(v) AS v
+      FROM (SELECT DISTINCT lang, source FROM d) s JOIN sized USING (lang) LEFT JOIN c ON c.lang = s.lang AND c.source = s.source
+      GROUP BY ALL),
+l AS (SELECT lang, term, sum(n)::HUGEINT AS n, sum(sum(n)) OVER (PARTITION BY lang)::HUGEINT AS total FROM c GROUP BY lang, term),
+p AS (SELECT g.lang, g.source, kept.term, coalesce(n, 0) AS n, {_share("coalesce(n, 0)", "g.total", "v")} AS p
+      FROM g JOIN kept ON kept.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(x.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+             FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) x
+    ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (
+  SELECT p.lang, p.source, p.term AS item, ((p.p - q) * (p.p - q) // q)::BIGINT AS value
+  FROM p JOIN (SELECT l.lang, l.term, {_share("l.n", "l.total", "v")} AS q FROM l JOIN sized USING (lang)) t
+    ON t.lang = p.lang AND t.term = p.term
+  WHERE p.n > 0 AND p.p > q),
+ranked AS (
+  SELECT 'pair' AS part, *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL
+  SELECT 'term' AS part, *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM terms)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2, "op5_license_scan": OP5, "op8_preferences": OP8, "op9_quality_rules": OP9}
+    return {"op2_exact_dedup": OP2, "op5_license_scan": OP5, "op8_preferences": OP8, "op9_quality_rules": OP9,
+            "op12_source_divergence": OP12}

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimsdq.llm import (bpe, chat, exact_dedup, licenses, mixing, pii, quality, shard, simhash,
-                          suffix_dedup)
+from claimsdq.llm import (bpe, chat, divergence, exact_dedup, licenses, mixing, pii, quality, quality_fm,
+                          repair, shard, simhash, suffix_dedup)
 from claimsdq.llm.common import documents
 
 SHARDS = 40
@@ -64,7 +64,23 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(documents(spark, sf_dir), str(public_tokenizers.path(TOKENIZER)))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_fm.classify(docs, quality_fm.train(docs, labels, "quality"), least=0.7)
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir), min_df=3, top_terms=200)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations damaged by rule, repaired, and the figures of each."""
+    turns, copies = repair.damage(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return repair.figures(repair.repair(turns, copies))
+
+
 def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash, op2_exact_dedup, op3_mixing, op4_sharding, op5_license_scan, op6_suffix_dedup,
-        op7_pii, op8_preferences, op9_quality_rules, op10_bpe)}
+        op7_pii, op8_preferences, op9_quality_rules, op10_bpe, op11_quality_classifier,
+        op12_source_divergence, op13_conversation_repair)}
