@@ -86,6 +86,30 @@ def _period_start(ts: Column, seconds: Column) -> Column:
     return F.timestamp_add("SECOND", whole - F.pmod(whole, seconds.cast("long")), epoch)
 
 
+def statistic_value() -> Column:
+    """The one of the five statistics that the row's alarm asks for."""
+    return F.coalesce(*[F.when(F.col("statistic") == s, F.col(s))
+                        for s in ("Sum", "Average", "Maximum", "Minimum", "SampleCount")])
+
+
+def breaches() -> Column:
+    """Whether the row's value breaches its alarm's threshold."""
+    value, threshold, comparison = F.col("value"), F.col("threshold"), F.col("comparison")
+    breach = F.when(comparison == "GreaterThanThreshold", value > threshold) \
+        .when(comparison == "GreaterThanOrEqualToThreshold", value >= threshold) \
+        .when(comparison == "LessThanThreshold", value < threshold) \
+        .when(comparison == "LessThanOrEqualToThreshold", value <= threshold)
+    return F.coalesce(breach, F.lit(False))
+
+
+def alarm_reason() -> Column:
+    """The text of a state change to ALARM."""
+    words = F.coalesce(*[F.when(F.col("comparison") == c, F.lit(w)) for c, w in _WORDS.items()])
+    return F.concat(F.lit("Threshold Crossed: "), F.col("periods").cast("string"),
+                    F.lit(" consecutive period(s) were "), words, F.lit(" the threshold ("),
+                    F.col("threshold").cast("string"), F.lit(")."))
+
+
 def period_values(points: DataFrame, definitions: DataFrame) -> DataFrame:
     """Per alarm and period: the alarm's statistic and whether it breaches.
 
@@ -101,14 +125,7 @@ def period_values(points: DataFrame, definitions: DataFrame) -> DataFrame:
                   _period_start(F.col("ts"), F.col("d_period_seconds")).alias("period_start")).agg(
         F.sum("value").alias("Sum"), F.avg("value").alias("Average"), F.max("value").alias("Maximum"),
         F.min("value").alias("Minimum"), F.count("value").cast("double").alias("SampleCount"))
-    value = F.coalesce(*[F.when(F.col("statistic") == s, F.col(s))
-                         for s in ("Sum", "Average", "Maximum", "Minimum", "SampleCount")])
-    v = v.withColumn("value", value)
-    breach = F.when(F.col("comparison") == "GreaterThanThreshold", F.col("value") > F.col("threshold")) \
-        .when(F.col("comparison") == "GreaterThanOrEqualToThreshold", F.col("value") >= F.col("threshold")) \
-        .when(F.col("comparison") == "LessThanThreshold", F.col("value") < F.col("threshold")) \
-        .when(F.col("comparison") == "LessThanOrEqualToThreshold", F.col("value") <= F.col("threshold"))
-    return v.withColumn("breaching", F.coalesce(breach, F.lit(False))) \
+    return v.withColumn("value", statistic_value()).withColumn("breaching", breaches()) \
         .select(*keys, "period_start", "value", "breaching")
 
 
@@ -148,12 +165,8 @@ def alarm_events(points: DataFrame, definitions: DataFrame) -> DataFrame:
     """State-change events shaped for the orchestrator.  Only alarms that
     have an event target (a definition with an action) are evaluated."""
     j = _marks(points, definitions.filter(F.col("action").isNotNull())).filter("began")
-    words = F.coalesce(*[F.when(F.col("comparison") == c, F.lit(w)) for c, w in _WORDS.items()])
-    reason = F.concat(F.lit("Threshold Crossed: "), F.col("periods").cast("string"),
-                      F.lit(" consecutive period(s) were "), words, F.lit(" the threshold ("),
-                      F.col("threshold").cast("string"), F.lit(")."))
     return j.select(
-        F.col("event_type"), F.col("alarm_name"), F.col("state"), reason.alias("reason"),
+        F.col("event_type"), F.col("alarm_name"), F.col("state"), alarm_reason().alias("reason"),
         F.timestamp_add("SECOND", F.col("period_seconds"), F.col("period_start")).alias("timestamp"),
         F.col("action"), F.col("value"))
 

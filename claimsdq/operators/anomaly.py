@@ -33,16 +33,19 @@ def z_score(amount: Column, avg: Column, sd: Column) -> Column:
 
 
 def score_claims(flagged: DataFrame, params: DQParams = DEFAULT,
-                 ctx: RunContext | None = None) -> DataFrame:
+                 ctx: RunContext | None = None, stats: DataFrame | None = None) -> DataFrame:
     """J1 + A1 + A2 + tier label over classified claims (``dq_issues`` present).
 
     Clean rows (empty ``dq_issues``) get avg_amount, stddev_amount, count,
     z_score and is_statistical_outlier; failed rows keep them NULL / false.
     ``tier`` is ``silver`` (rule failure), ``quarantine`` (outlier) or ``gold``.
+    ``stats``: figures per group from elsewhere, such as merged moments; by default
+    those of the clean rows themselves.
     """
     keys = list(params.stats_keys)
     is_clean = F.col("dq_issues") == ""
-    stats = amount_stats(flagged.filter(is_clean).select(*keys, "claim_amount"), keys)
+    if stats is None:
+        stats = amount_stats(flagged.filter(is_clean).select(*keys, "claim_amount"), keys)
     joined = guarded_join(flagged, stats, keys, "left", params.broadcast_max_rows,
                           extra=lambda big: big["dq_issues"] == "",
                           max_bytes=params.broadcast_max_bytes, ctx=ctx)

@@ -127,6 +127,11 @@ tiered AS (
 
 
 BASE = f"WITH {CLAIMS},\n{FLAGGED},\n{_tiered('cpt_code')}"
+# F1 with every third day's file uploaded again in its mended form.
+REUPLOADED = f"""{MENDED.replace("claims AS (", "mended AS (")},
+claims AS (SELECT * FROM mended WHERE CAST(substr(source_file, 27, 2) AS INTEGER) % 3 = 0
+ UNION ALL SELECT * FROM f1 WHERE CAST(substr(source_file, 27, 2) AS INTEGER) % 3 <> 0)"""
+REUPLOADED_BASE = f"WITH {REUPLOADED},\n{FLAGGED},\n{_tiered('source_file', 'cpt_code')}"
 PER_FILE_BASE = f"WITH {CLAIMS},\n{FLAGGED},\n{_tiered('source_file', 'cpt_code')}"
 MENDED_BASE = f"WITH {MENDED},\n{FLAGGED},\n{_tiered('cpt_code')}"
 
@@ -203,8 +208,8 @@ _STATUS = f"CAST(CASE WHEN {ROUTED} IS NOT NULL THEN 200 ELSE 400 END AS INTEGER
 _ERROR = f"CASE WHEN {ROUTED} IS NULL THEN 'Unknown action: ' || coalesce(action, '') END"
 _ACTIONS = ", ".join([*[f"'{a}'" for a, _ in ACTION_ROUTES], "'drop_tables'", "''", "NULL"])
 # the driver's table, as "events" names a CTE where the alarms are
-REQUESTS = (f"requests AS (SELECT 'R' || event_id AS request_id, ([{_ACTIONS}])[event_id // 50 % 9 + 1] AS action "
-            "FROM main.events WHERE event_id % 50 = 0)")
+REQUESTS = (f"requests AS (SELECT 'R' || event_id AS request_id, ([{_ACTIONS}])[event_id % 9 + 1] AS action "
+            "FROM main.events)")
 
 
 def _alarm_sqls(anomaly_threshold: float = 4.0) -> dict[str, str]:
@@ -308,7 +313,37 @@ def oracle_sql() -> dict[str, str]:
                             "',\"quarantined_rows\":' || sum(rows) || '}' FROM fstatus WHERE status = 'Quarantined')"),
         ("restart_job", "'{\"status\":\"success\",\"reprocess\":\"claims/\"}'"),
         ("cost_spike_detected", "'{\"status\":\"success\",\"message\":\"cost spike recorded\"}'")))
+    first_points = (f"{fm},\nhourly AS (SELECT * EXCLUDE (source_file), source_file, TIMESTAMP '2024-12-01 00:00:00' AS ts "
+                    f"FROM file_metrics),\n{HOURLY_FOLDER}")
+    reuploaded = f"{REUPLOADED_BASE} SELECT source_file, {wide} FROM ({_derive(_counts('source_file', 'source_file'))})"
+    # the versions of each file and whether each failed: F1, one mended file judged alone, all mended
+    alone = "claims/payer_claims_20240103.csv"
+
+    def failing(base: str, where: str = "") -> str:
+        return f"({base},\n{FILE_METRICS} SELECT source_file, data_quality_score < {P.quarantine_score_below} AS bad FROM file_metrics{where})"
+    only_alone = MENDED_BASE.replace("claims AS (SELECT * FROM f1_fixed\n WHERE ", f"claims AS (SELECT * FROM f1_fixed\n WHERE source_file = '{alone}' AND (") \
+        .replace(f"OR {FIRST_MATCH} = '')", f"OR {FIRST_MATCH} = ''))")
+    status = f"""WITH all_files AS (SELECT DISTINCT 'claims/payer_claims_' || strftime(ts, '%Y%m%d') || '.csv' AS source_file FROM events),
+versions AS (
+ SELECT source_file, 'run0' AS version, TIMESTAMP '2024-12-01' AS since, coalesce(bad, false) AS bad
+  FROM all_files LEFT JOIN {failing(BASE)} USING (source_file)
+ UNION ALL SELECT '{alone}', 'run1', TIMESTAMP '2024-12-02', bool_or(bad) FROM {failing(only_alone)}
+ UNION ALL SELECT source_file, 'run2', TIMESTAMP '2024-12-03', coalesce(bad, false)
+  FROM all_files LEFT JOIN {failing(MENDED_BASE)} USING (source_file)),
+spans AS (SELECT *, lead(since) OVER (PARTITION BY source_file ORDER BY since) AS until FROM versions),
+taken AS (SELECT *, CASE WHEN bad THEN CASE WHEN since < TIMESTAMP '2024-12-01 12:00:00' THEN TIMESTAMP '2024-12-01 12:00:00'
+  ELSE since + INTERVAL 12 HOUR END END AS at_noon FROM spans),
+asked AS (SELECT source_file, unnest(range(TIMESTAMP '2024-11-30 06:00:00', TIMESTAMP '2024-12-04 07:00:00', INTERVAL 12 HOUR)) AS at
+  FROM all_files)
+SELECT a.source_file, a.at, version, CASE WHEN version IS NULL THEN NULL WHEN a.at >= at_noon THEN 'Quarantined' ELSE 'Active' END AS status
+FROM asked a LEFT JOIN taken t ON a.source_file = t.source_file AND a.at >= since AND (until IS NULL OR a.at < until)"""
     q: dict[str, str] = {
+        "arrivals_after_reupload": reuploaded,
+        "arrivals_from_events": reuploaded,
+        "points_as_of": f"{first_points} SELECT {pcols} FROM ({_points('hourly')} UNION ALL {_points('hourly_folder')})",
+        "file_status_as_of": status,
+        "csv_bad_records": f"WITH {CLAIMS} SELECT claim_id, CAST(CASE WHEN {n} % 31 = 0 THEN 3 ELSE 14 END AS INTEGER) AS fields, "
+                           f"true AS placed FROM claims WHERE {n} % 31 = 0 OR {n} % 19 = 0 OR {n} % 23 = 0",
         "csv_scan": f"WITH {CLAIMS} SELECT {csv_cols}, source_file FROM claims",
         "csv_untyped": f"WITH {CLAIMS} SELECT {csv_cols}, source_file FROM claims",
         "csv_malformed": f"WITH {CLAIMS} SELECT {malformed} FROM claims",
@@ -334,7 +369,7 @@ def oracle_sql() -> dict[str, str]:
         "metric_stream_hourly": f"{PBASE} SELECT namespace, metric_name, source_file, ts AS period_start, "
                                 "round(avg(value), 6) AS average, round(sum(value), 6) AS sum, round(max(value), 6) AS "
                                 "maximum, round(min(value), 6) AS minimum, count(*) AS sample_count FROM file_points "
-                                "WHERE ts + INTERVAL 3 HOUR <= (SELECT max(ts) FROM file_points) GROUP BY 1, 2, 3, 4",
+                                "GROUP BY 1, 2, 3, 4",
         "claims_scan": f"WITH {CLAIMS} SELECT * FROM claims",
         "ingest_metadata": f"WITH {CLAIMS} SELECT claim_id, source_file, {FOLDER} AS folder FROM claims",
     }
@@ -485,4 +520,5 @@ def oracle_sql() -> dict[str, str]:
                               "WHERE status = 'Quarantined' GROUP BY 1",
     })
     q.update(_alarm_sqls())
+    q["z_scores_from_moments"], q["alarm_stream_events"] = q["z_scores"], q["alarm_events"]
     return q

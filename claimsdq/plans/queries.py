@@ -22,17 +22,21 @@ from claimsdq.operators import metrics as ME
 from claimsdq.operators import remediation as RE
 from claimsdq.operators import timeseries as TS
 from claimsdq.operators.anomaly import amount_stats, score_claims
+from claimsdq.operators.moments import file_moments, merged_stats
 from claimsdq.operators.tiers import gold_tier, quarantine_tier, silver_tier, tier_counts
 from claimsdq.operators.validate import ALL_MATCH, FIRST_MATCH, rule_hits, with_issues
 from claimsdq.plans import fixtures as FX
 from claimsdq.plans.batch import run_csv_job, run_tiers
 from claimsdq.plans.fixtures import P, P_F3, load_claims
-from claimsdq.plans.remediate import quarantine_files, remediate
+from claimsdq.plans.remediate import audit_log, quarantine_files, remediate, status_as_of
 from claimsdq.plans.store import Store, in_range
-from claimsdq.session import checkpoint_dir, staging_path
-from claimsdq.sources.claims import CLAIM_COLUMNS, read_claims_csv, read_claims_untyped, read_table
-from claimsdq.streaming.file_ingest import start_file_ingest
-from claimsdq.streaming.metric_stream import hourly_buckets
+from claimsdq.session import checkpoint_dir, copy_file, staging_path
+from claimsdq.sources.claims import (CLAIM_COLUMNS, list_claim_files, read_claims_csv, read_claims_untyped,
+                                     read_table)
+from claimsdq.streaming.alarm_stream import alarm_events_of, start_alarms
+from claimsdq.streaming.arrival_events import start_event_ingest
+from claimsdq.streaming.file_ingest import ingest_arrivals, start_file_ingest
+from claimsdq.streaming.metric_stream import hourly_now, start_hourly_buckets
 
 R = 6
 # Cost amounts are cents / 1e6: 8 digits keep them exact (6 would cut at
@@ -359,12 +363,12 @@ def q_alarm_events(spark, sf):
 
 
 def _requests(spark, sf) -> DataFrame:
-    """Action requests from ``events``: one per 50 events, over the six known
-    names, an unknown one, an empty one and none at all."""
+    """Action requests from ``events``: one per event, over the six known names,
+    an unknown one, an empty one and none at all."""
     names = F.array(*[F.lit(n) for n, _ in AL.ACTION_ROUTES], F.lit("drop_tables"), F.lit(""), F.lit(None))
-    return read_table(spark, sf, "events").filter("event_id % 50 = 0").select(
+    return read_table(spark, sf, "events").select(
         F.concat(F.lit("R"), F.col("event_id").cast("string")).alias("request_id"),
-        F.get(names, F.pmod(F.col("event_id") / 50, F.lit(9)).cast("int")).alias("action"))
+        F.get(names, F.pmod("event_id", F.lit(9)).cast("int")).alias("action"))
 
 
 def q_action_routing(spark, sf):
@@ -473,26 +477,58 @@ def q_quarantine_sink(spark, sf):
 
 
 def q_remediation_audit(spark, sf):
+    """The audit log after the same requests came twice, the second time doubled:
+    each was carried out once."""
     store = Store(spark, staging_path(spark, "remediation"))
-    records = remediate(_requests(spark, sf), claims(spark, sf), file_metrics_table(spark, sf), store,
-                        P.need("as_of_ts").replace(tzinfo=dt.timezone.utc), P, run_id="audit")
-    return records.select("request_id", "timestamp", "action", "routed_action", "result", "environment", "status_code")
+    at = P.need("as_of_ts").replace(tzinfo=dt.timezone.utc)
+    asked = _requests(spark, sf)
+    for run, requests in (("audit", asked), ("again", asked.unionByName(asked))):
+        remediate(requests, claims(spark, sf), file_metrics_table(spark, sf), store, at, P, run_id=run)
+    return audit_log(store).drop("run_id")
+
+
+def versioned(spark: SparkSession, sf: str) -> Store:
+    """F1's files in three versions (``after_rerun``), each followed half a day
+    later by the score-based quarantine."""
+    def write(path: str) -> None:
+        store = Store(spark, path)
+        for n, at, rows, files in rerun_steps(spark, sf):
+            run_tiers(rows, path, P, run_ts=at, run_id=f"run{n}", files=files)
+            now = store.read("metrics/files").drop("run_id")
+            quarantine_files(rows, now, store, f"act{n}", P, at=at + dt.timedelta(hours=12))
+    return Store(spark, written_once(spark, sf, "versioned", write))
+
+
+def q_file_status_as_of(spark, sf):
+    """The status of every file a quarter and three quarters into each day."""
+    store = versioned(spark, sf)
+    start = 1732924800                                # 30 November 2024
+    times = F.explode(F.sequence(F.lit(start + 21600), F.lit(start + 21600 + 4 * 86400), F.lit(43200))).alias("s")
+    asked = store.manifest().select("source_file").distinct().select("source_file", times) \
+        .select("source_file", F.timestamp_seconds("s").alias("at"))
+    out = status_as_of(store, asked)
+    return out.select("source_file", F.col("at").cast("timestamp_ntz").alias("at"), "version", "status")
 
 
 # ---------------------------------------------------------------- sinks, reruns, arrivals
 
+def rerun_steps(spark: SparkSession, sf: str):
+    """(n, time, claims, files) of three runs: F1 whole, one mended file alone,
+    the mended prefix whole."""
+    first = claims(spark, sf)
+    mended = FX.corrected(first)
+    alone = mended.filter("source_file = 'claims/payer_claims_20240103.csv'")
+    for n, rows in enumerate((first, alone, mended)):
+        at = dt.datetime(2024, 12, 1 + n, tzinfo=dt.timezone.utc)
+        files = first if n != 1 else alone
+        yield n, at, rows.withColumn("ingestion_timestamp", F.lit(at)), files.select("source_file").distinct()
+
+
 def after_rerun(spark: SparkSession, sf: str) -> Store:
-    """A store after F1 ran whole, one mended file ran alone, and the mended
-    prefix ran whole."""
+    """A store after the three runs of ``rerun_steps``."""
     def write(path: str) -> None:
-        first = claims(spark, sf)
-        mended = FX.corrected(first)
-        alone = mended.filter("source_file = 'claims/payer_claims_20240103.csv'")
-        for n, rows in enumerate((first, alone, mended)):
-            at = dt.datetime(2024, 12, 1 + n, tzinfo=dt.timezone.utc)
-            files = first if n != 1 else alone
-            run_tiers(rows.withColumn("ingestion_timestamp", F.lit(at)), path, P, run_ts=at, run_id=f"run{n}",
-                      files=files.select("source_file").distinct())
+        for n, at, rows, files in rerun_steps(spark, sf):
+            run_tiers(rows, path, P, run_ts=at, run_id=f"run{n}", files=files)
     return Store(spark, written_once(spark, sf, "after-rerun", write))
 
 
@@ -513,6 +549,19 @@ def q_points_after_rerun(spark, sf):
     return _point_cols(after_rerun(spark, sf).points())
 
 
+def q_points_as_of(spark, sf):
+    """The points as they could be read after the first run, before the reruns."""
+    return _point_cols(after_rerun(spark, sf).points(as_of=dt.datetime(2024, 12, 1, 12, tzinfo=dt.timezone.utc)))
+
+
+def q_z_scores_from_moments(spark, sf):
+    """z-scores by moments kept per file and code and merged per code."""
+    f = flagged(spark, sf)
+    stats = merged_stats(file_moments(f.filter(~F.col("has_dq_issues"))))
+    scored = score_claims(f, P, stats=stats).filter(F.col("tier") != "silver")
+    return scored.select("claim_id", "cpt_code", "claim_amount", _r("z_score"))
+
+
 def _as_csv(spark, sf, name: str, rows: Callable[[], DataFrame]) -> str:
     """F1 as CSV files with a header, one per day, under ``<root>/claims``."""
     def write(path: str) -> None:
@@ -546,9 +595,8 @@ def q_csv_untyped(spark, sf):
     return _named(read_claims_untyped(spark, f"{root}/claims", key_root=root)).drop("ingestion_timestamp")
 
 
-def q_csv_malformed(spark, sf):
-    """Files with bad dates, bad amounts and short rows: each bad field is null
-    and its row stays."""
+def malformed_csv(spark: SparkSession, sf: str) -> str:
+    """Files with bad dates, bad amounts and short rows."""
     n = F.substring("claim_id", 2, 10).cast("long")
 
     def lines() -> DataFrame:
@@ -559,8 +607,12 @@ def q_csv_malformed(spark, sf):
         return claims(spark, sf).select(*FX.claim_fields_as_text(claims(spark, sf))) \
             .select(F.when(n % 31 == 0, short).otherwise(whole).alias("line"))
 
-    root = written_once(spark, sf, "f1-malformed", lambda path: lines().write.text(f"{path}/claims"))
-    return read_claims_csv(spark, f"{root}/claims", header=False).select(*CLAIM_COLUMNS)
+    return written_once(spark, sf, "f1-malformed", lambda path: lines().write.text(f"{path}/claims"))
+
+
+def q_csv_malformed(spark, sf):
+    """Each bad field is null and its row stays."""
+    return read_claims_csv(spark, f"{malformed_csv(spark, sf)}/claims", header=False).select(*CLAIM_COLUMNS)
 
 
 def q_stream_tiers(spark, sf):
@@ -584,21 +636,130 @@ def q_batch_csv_tiers(spark, sf):
     return m.select("source_file", *_WIDE, _r("data_quality_score"), _r("anomaly_rate"))
 
 
+def _reuploaded() -> Column:
+    """Of F1's files, those that are uploaded again in their mended form."""
+    return F.regexp_extract("source_file", "([0-9]{2})[.]csv$", 1).cast("int") % 3 == 0
+
+
+def _upload_again(spark: SparkSession, sf: str, root: str) -> list[str]:
+    """Put the mended rows of some days over the day's own file; the files' keys.
+    The files are copied one by one under their old names, as an upload does."""
+    fixed = FX.corrected(claims(spark, sf)).filter(_reuploaded())
+    fresh = f"{root}/mended"
+    fixed.select(*FX.claim_fields_as_text(fixed), _day_of()).repartition("day").write.partitionBy("day") \
+        .option("header", "true").csv(fresh)
+    files = {old: [r.path for r in list_claim_files(spark, f"{root}/{old}").select("path").collect()] for old in ("claims", "mended")}
+    of_day = {p.rsplit("day=", 1)[1][:8]: p for p in files["claims"]}
+    replaced = [(p, of_day[p.rsplit("day=", 1)[1][:8]]) for p in files["mended"]]
+    for new, old in replaced:
+        copy_file(spark, new, old)
+    return [old.split(f"{root.rsplit('/', 1)[1]}/", 1)[1] for _, old in replaced]
+
+
+def _stream(query) -> None:
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+
+
+def _raw_folder(spark: SparkSession, sf: str, name: str) -> str:
+    """A folder of F1's CSV files of its own, to be written to."""
+    root = staging_path(spark, name)
+    rows = claims(spark, sf)
+    rows.select(*FX.claim_fields_as_text(rows), _day_of()).repartition("day").write.partitionBy("day") \
+        .option("header", "true").csv(f"{root}/claims")
+    return root
+
+
+def _by_file(spark: SparkSession, path: str) -> DataFrame:
+    m = _named(Store(spark, path).read("metrics/files"))
+    return m.select("source_file", *_WIDE, _r("data_quality_score"), _r("anomaly_rate"))
+
+
+def q_arrivals_after_reupload(spark, sf):
+    """F1's files by sweeps: all of them, then those uploaded again since."""
+    def write(path: str) -> None:
+        root = _raw_folder(spark, sf, "raw-swept")
+        ingest_arrivals(spark, f"{root}/claims", path, P, key_root=root, max_files=12)
+        _upload_again(spark, sf, root)
+        ingest_arrivals(spark, f"{root}/claims", path, P, key_root=root)
+    return _by_file(spark, written_once(spark, sf, "swept", write))
+
+
+def q_arrivals_from_events(spark, sf):
+    """F1's files by notices of created objects: each delivered twice, among
+    notices of other objects; then the notices of those uploaded again."""
+    def notices(keys: DataFrame, box: str, version: str, time: str) -> None:
+        obj = F.struct(F.struct(F.lit("raw").alias("name")).alias("bucket"), F.struct(
+            F.col("key"), F.lit(1).alias("size"), F.lit(version).alias("versionId")).alias("object"))
+        record = F.struct(F.lit("ObjectCreated:Put").alias("eventName"), F.lit(time).alias("eventTime"), obj.alias("s3"))
+        other = record.withField("eventName", F.lit("ObjectRemoved:Delete"))
+        foreign = record.withField("s3.object.key", F.lit("claims/readme.txt"))
+        keys.select(F.to_json(F.struct(F.array(record, other, foreign, record).alias("Records"))).alias("value")) \
+            .write.mode("append").text(box)
+
+    def write(path: str) -> None:
+        root = _raw_folder(spark, sf, "raw-noticed")
+        box = f"{root}/notices"
+
+        def run() -> None:
+            _stream(start_event_ingest(spark, box, path, f"{root}/stream", root, P, files_per_run=12))
+        keys = list_claim_files(spark, f"{root}/claims", root).select(F.col("source_file").alias("key"))
+        for _ in range(2):
+            notices(keys, box, "v1", "2024-12-01T00:00:00.000Z")
+        run()
+        again = [(k,) for k in _upload_again(spark, sf, root)]
+        notices(spark.createDataFrame(again, "key string"), box, "v2", "2024-12-02T00:00:00.000Z")
+        run()
+    return _by_file(spark, written_once(spark, sf, "noticed", write))
+
+
+def q_csv_bad_records(spark, sf):
+    """The records that a run over F1's malformed files kept: claim, number of
+    fields, and whether the file has at the record's place what was kept."""
+    def write(path: str) -> None:
+        run_csv_job(spark, f"{malformed_csv(spark, sf)}/claims", path, P, key_root=malformed_csv(spark, sf), run_id="only",
+                    rescue=True, only="*.txt", header=False)
+    bad = Store(spark, written_once(spark, sf, "rescued", write)).read("bad_records")
+    return bad.select("claim_id", "fields", (F.col("record") > 0).alias("placed"))
+
+
 def q_metric_stream_hourly(spark, sf):
-    """F3's points through the metric stream: the buckets that the watermark has
-    closed (all but the last two hours)."""
+    """F3's points through a store and its metric stream: a run with other values
+    that is superseded while the stream stands, one that never publishes, and the
+    points themselves."""
     def write(path: str) -> None:
-        src = spark.readStream.schema(points_table(spark, sf).schema) \
-            .parquet(written_once(spark, sf, "points", lambda _: None))
-        q = hourly_buckets(src).writeStream.outputMode("append").format("parquet").option("path", path) \
-            .option("checkpointLocation", f"{path}-stream").trigger(availableNow=True).start()
-        q.awaitTermination()
-        if q.exception():
-            raise q.exception()
-    b = spark.read.parquet(written_once(spark, sf, "stream-buckets", write))
+        pts, store = points_table(spark, sf), Store(spark, f"{path}-store")
+        files = pts.select("source_file").distinct()
+
+        def run(name: str, rows: DataFrame, day: int | None) -> None:
+            store.write("metrics/points", name, rows)
+            if day:
+                store.publish(name, files, dt.datetime(2024, 12, day, tzinfo=dt.timezone.utc))
+                _stream(start_hourly_buckets(spark, store.root, path, f"{path}-stream"))
+        later = F.expr("ts + INTERVAL 1 HOUR")
+        run("first", pts.withColumns({"value": F.col("value") + 7, "ts": later, "date": F.to_date(later)}), 1)
+        run("dead", pts.withColumn("value", F.col("value") * 3), None)
+        run("second", pts, 2)
+    b = hourly_now(spark, written_once(spark, sf, "stream-buckets", write))
     return b.select(*TS.SERIES, "period_start", _r("average"), _r("sum"), _r("maximum"), _r("minimum"), "sample_count")
 
 
+def q_alarm_stream_events(spark, sf):
+    """The batch evaluator's events, from the continuous one: the alarms' series as
+    a stream, closed by a point far ahead that no alarm watches."""
+    def write(path: str) -> None:
+        pts = _alarm_points(spark, sf)
+        pts.write.parquet(f"{path}-points/input")
+        end = pts.agg(F.max("ts")).first()[0] + dt.timedelta(days=30)
+        last = spark.createDataFrame([("none", "Heartbeat", "none", end, 0.0, "None")], pts.schema)
+        last.write.mode("append").parquet(f"{path}-points/input")
+        src = spark.readStream.schema(pts.schema).parquet(f"{path}-points/input")
+        _stream(start_alarms(spark, src, AL.alarm_defs(P_F3), path, f"{path}-stream"))
+    changes = spark.read.parquet(written_once(spark, sf, "alarm-changes", write) + "/changes")
+    return alarm_events_of(changes).select("event_type", "alarm_name", "state", "reason", "timestamp", "action", _rc("value"))
+
+
 # ---------------------------------------------------------------- catalog
 
 def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -660,6 +821,7 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "file_status": q_file_status,
         "quarantine_sink": q_quarantine_sink,
         "remediation_audit": q_remediation_audit,
+        "file_status_as_of": q_file_status_as_of,
         "gold_after_rerun": q_gold_after_rerun,
         "silver_after_rerun": q_silver_after_rerun,
         "quarantine_after_rerun": q_quarantine_after_rerun,
@@ -670,5 +832,11 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_tiers": q_stream_tiers,
         "batch_csv_tiers": q_batch_csv_tiers,
         "metric_stream_hourly": q_metric_stream_hourly,
+        "points_as_of": q_points_as_of,
+        "z_scores_from_moments": q_z_scores_from_moments,
+        "csv_bad_records": q_csv_bad_records,
+        "arrivals_after_reupload": q_arrivals_after_reupload,
+        "arrivals_from_events": q_arrivals_from_events,
+        "alarm_stream_events": q_alarm_stream_events,
     })
     return out

@@ -8,8 +8,10 @@ session without that setting gets a scratch folder of its own.
 
 from __future__ import annotations
 
+import datetime as dt
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -151,3 +153,37 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     p = jvm.org.apache.hadoop.fs.Path(path)
     found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
     return [str(f.getPath().toString()) for f in found if f.isDirectory()]
+
+
+def copy_file(spark: SparkSession, source: str, target: str) -> None:
+    """Copy one file over another, as an upload under its name does."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    a, b = (jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    jvm.org.apache.hadoop.fs.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, True, conf)
+
+
+def modified_before(spark: SparkSession, path: str, millis: float) -> bool:
+    """Whether nothing in a folder was written at or after a time (epoch ms)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    files = p.getFileSystem(conf).listFiles(p, True)
+    while files.hasNext():
+        if files.next().getModificationTime() >= millis:
+            return False
+    return True
+
+
+def file_times(spark: SparkSession, paths: list[str]) -> list[dt.datetime | None]:
+    """Modification times of single files (None where there is none), looked up
+    one by one without listing any folder."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def one(path: str) -> dt.datetime | None:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if not fs.exists(p):
+            return None
+        return dt.datetime.fromtimestamp(0, dt.timezone.utc) + dt.timedelta(milliseconds=fs.getFileStatus(p).getModificationTime())
+
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(one, paths))

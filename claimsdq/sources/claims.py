@@ -4,12 +4,15 @@ of claim files behind arrival ingest (S4)."""
 from __future__ import annotations
 
 import datetime as dt
+import re
 from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimsdq.sources.rescue import scan_places
+
 # Fixed schema of a claims file; columns bind by position, header names are
 # ignored (values that must equal the reference's: names, order, types).
 CLAIMS_SCHEMA = T.StructType([
@@ -58,7 +61,10 @@ def read_claims_csv(spark: SparkSession, path: str | list[str], key_root: str |
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     if isinstance(run_ts, dt.datetime):
         run_ts = F.lit(run_ts)
-    return reader.csv(path) \
+    rows = reader.csv(path)
+    if corrupt_column:
+        rows = rows.withColumns(scan_places())
+    return rows \
         .withColumn("source_file", object_key(F.col("_metadata.file_path"), key_root)) \
         .withColumn("ingestion_timestamp", run_ts if run_ts is not None else F.current_timestamp())
 
@@ -84,7 +90,7 @@ def list_claim_files(spark: SparkSession, path: str | list[str], key_root: str |
     if only:
         reader = reader.option("pathGlobFilter", only)
     return reader.load(path).select(
-        object_key(F.col("path"), key_root).alias("source_file"), "path",
+        object_key(F.col("path"), key_root, encoded=False).alias("source_file"), "path",
         F.col("modificationTime").alias("modified"), F.col("length").alias("bytes"))
 
 
@@ -113,16 +119,30 @@ def conform_to_schema(df: DataFrame) -> DataFrame:
     return df.select(*cols, *rest)
 
 
-def object_key(file_path: Column, key_root: str | None) -> Column:
+def object_key(file_path: Column, key_root: str | None, encoded: bool = True) -> Column:
     """A file URI as an object key: scheme and authority dropped, ``key_root``
-    (a folder or bucket URI) stripped, percent-escapes decoded."""
+    (a folder or bucket URI) stripped, percent-escapes decoded where the path is
+    ``encoded`` (as a row's file path is, and a listed one is not)."""
+    if encoded:
+        file_path = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
     if not key_root:
-        return file_path
-    path = F.url_decode(F.regexp_replace(file_path, r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?", ""))
+        return F.regexp_replace(file_path, "^file:/+", "file:///")
+    path = F.regexp_replace(file_path, r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?", "")
     root = urlparse(key_root).path if "://" in key_root or key_root.startswith("file:") else key_root
     root = "/" + root.strip("/") + "/" if root.strip("/") else "/"
     return F.when(path.startswith(root), F.right(path, F.char_length(path) - F.lit(len(root)))).otherwise(path)
 
 
+def exact_path(path: str) -> str:
+    """A listed path as a pattern that matches nothing but itself."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
+
+
+def no_claims(spark: SparkSession) -> DataFrame:
+    """The scan of no file at all."""
+    meta = [T.StructField("source_file", T.StringType()), T.StructField("ingestion_timestamp", T.TimestampType())]
+    return spark.createDataFrame([], T.StructType(CLAIMS_SCHEMA.fields + meta))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -12,14 +12,18 @@ is published as one run of the store.
 * ``ingest_arrivals``: a sweep that lists the folder and takes every (file,
   modification time) that no published run has.  It also sees files that were
   uploaded again under their name, which a file stream by its nature does not,
-  so run it on a schedule beside the stream or alone.
+  so run it on a schedule beside the stream or alone.  A sweep lists once, writes
+  the listing down and walks it; what is uploaded meanwhile has a time that no
+  run published, so the next sweep takes it.
 
-Both bound the files per batch and leave the rest for the next batch.
+A third, without any listing, is fed by notices (``arrival_events``).  All bound
+the files per batch and leave the rest for the next batch.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +32,8 @@ from pyspark.sql.streaming import StreamingQuery
 from claimsdq.params import DEFAULT, DQParams
 from claimsdq.plans.batch import run_tiers, utc_now
 from claimsdq.plans.store import Store
-from claimsdq.sources.claims import CLAIMS_SCHEMA, list_claim_files, object_key
+from claimsdq.session import RunContext
+from claimsdq.sources.claims import CLAIMS_SCHEMA, exact_path, list_claim_files, no_claims, object_key
 
 #: Bounds a batch's (file, code) groups, and so its broadcast stats.
 FILES_PER_BATCH = 1000
@@ -72,20 +77,46 @@ def start_file_ingest(spark: SparkSession, input_dir: str, out_root: str, checkp
     return query[0]
 
 
+def in_pages(rows: DataFrame, order: list[str], size: int) -> Iterator[list]:
+    """A written table's rows in ``order`` (which must tell them apart), a bounded
+    page at a time."""
+    last = None
+    while True:
+        rest = rows
+        if last is not None:
+            rest = rows.filter(F.struct(*order) > F.struct(*[F.lit(last[c]).cast(rows.schema[c].dataType) for c in order]))
+        page = rest.orderBy(*order).limit(size).collect()
+        if not page:
+            return
+        yield page
+        last = page[-1]
+
+
+def ingest_files(spark: SparkSession, files: list[tuple], out_root: str, params: DQParams = DEFAULT,
+                 key_root: str | None = None, run_ts: dt.datetime | None = None, run_id: str | None = None) -> str:
+    """One run over exactly these (source_file, path, modified), each judged
+    against its own rows; the run's id.  It publishes the given times, so a file
+    replaced since then is still new to the next sweep."""
+    claims = no_claims(spark)
+    if files:
+        claims = _with_metadata(spark.read.schema(CLAIMS_SCHEMA).option("header", "true").option("mode", "PERMISSIVE")
+                                .csv([exact_path(path) for _, path, _ in files]), key_root)
+    listed = spark.createDataFrame([(f, m) for f, _, m in files], "source_file string, modified timestamp")
+    return run_tiers(claims, out_root, per_file_params(params), run_ts=run_ts, run_id=run_id, files=listed).run_id
+
+
 def ingest_arrivals(spark: SparkSession, input_dir: str, out_root: str, params: DQParams = DEFAULT,
                     key_root: str | None = None, max_files: int = FILES_PER_BATCH,
                     run_ts: dt.datetime | None = None) -> list[str]:
-    """Process every file that is new or was uploaded again; the run ids.  The
-    driver holds the paths of one batch at a time."""
+    """Process every file that is new or was uploaded again; the run ids.  One
+    listing and one look at the manifest a sweep; the driver holds the paths of
+    one batch at a time."""
     store, runs = Store(spark, out_root), []
-    while True:
+    with RunContext(spark) as ctx:
         done = store.manifest().select("source_file", "modified").distinct()
-        fresh = list_claim_files(spark, input_dir, key_root).join(done, ["source_file", "modified"], "left_anti")
-        batch = fresh.orderBy("modified", "source_file").limit(max_files).collect()
-        if not batch:
-            return runs
-        claims = _with_metadata(spark.read.schema(CLAIMS_SCHEMA).option("header", "true")
-                                .option("mode", "PERMISSIVE").csv([r["path"] for r in batch]), key_root)
-        files = spark.createDataFrame([(r["source_file"], r["modified"]) for r in batch],
-                                      "source_file string, modified timestamp")
-        runs.append(run_tiers(claims, out_root, per_file_params(params), run_ts=run_ts, files=files).run_id)
+        listed = list_claim_files(spark, input_dir, key_root).select("source_file", "path", "modified")
+        fresh = ctx.stage(listed.join(done, ["source_file", "modified"], "left_anti"), "arrivals")
+        for page in in_pages(fresh, ["modified", "source_file"], max_files):
+            runs.append(ingest_files(spark, [(r["source_file"], r["path"], r["modified"]) for r in page],
+                                     out_root, params, key_root, run_ts))
+    return runs

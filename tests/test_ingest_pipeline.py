@@ -17,6 +17,7 @@ from claimsdq.plans.store import Store
 from claimsdq.session import checkpoint_dir, cluster_conf
 from claimsdq.sources.claims import CLAIMS_SCHEMA, conform_to_schema, list_claim_files, read_claims_csv
 from claimsdq.streaming.file_ingest import ingest_arrivals, start_file_ingest
+from claimsdq.streaming.metric_stream import hourly_now
 from conftest import claim, claims_df
 
 UTC = dt.timezone.utc
@@ -333,8 +334,8 @@ def test_metric_stream_command(spark, tmp):
         _write(f"{src}/claims/f{n}.csv", [_line(n)])
         run_csv_job(spark, f"{src}/claims/f{n}.csv", out, key_root=src, run_ts=_at(1, 3 * n))
     assert main(["metrics-stream", "--output", out, "--checkpoint", f"{tmp}/ck"]) == 0
-    got = spark.read.parquet(f"{out}/metrics/hourly").filter("metric_name = 'TotalRecords'").collect()
-    assert sorted(r.period_start.hour for r in got) == [0, 3, 6] and all(r.sample_count == 1 for r in got)
+    got = hourly_now(spark, f"{out}/metrics/hourly").filter("metric_name = 'TotalRecords'").collect()
+    assert sorted(r.period_start.hour for r in got) == [0, 3, 6, 9] and all(r.sample_count == 1 for r in got)
 
 
 def test_commands_need_their_paths(spark):
