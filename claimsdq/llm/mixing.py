@@ -8,8 +8,8 @@ tree (native).
    by cap over weight).
 3. Quotas.  A source's rounded target is so many whole epochs over all its
    documents, plus a rest that is drawn without replacement.
-4. Tree.  Documents are dealt to ``shards`` leaves by a hash of their key, so
-   each (source, leaf) holds an exactly known number of words.  From the root
+4. Tree.  Documents are dealt to the leaves by a hash of key and text, so each
+   (source, leaf) holds an exactly known number of words.  From the root
    down, every node hands its left child a hypergeometric number of the rest's
    words and the right child what remains.  The counts in the leaves are then
    multivariate hypergeometric, exact in sum, and each leaf can be drawn alone.
@@ -21,11 +21,13 @@ So every source's taken words equal its rounded target.  All random numbers
 are hashes of (seed, source, node), so reruns and retries agree.  The number
 of leaves follows the number of rows (``leaf_docs`` each), so the largest
 window covers about that many rows of one source even when one source holds a
-third of the corpus.  The quota tree lives on one row per source.
+third of the corpus.  The quota tree has one row per source and node, and each
+of its levels is one join.
 
 Edge cases: null text has size 0 and takes 0; a null source is a source of its
-own, last in order; repeated rows are separate blocks; an empty table gives an
-empty result; a corpus without words takes nothing.
+own, last in order; repeated rows are separate blocks, and rows that share a
+``doc_id`` are told apart by their text; an empty table gives an empty result; a
+corpus without words takes nothing.
 """
 
 from __future__ import annotations
@@ -37,8 +39,11 @@ from pyspark.sql import functions as F
 
 from claimsdq.llm.common import WORD, staged
 
-#: Ratio-of-uniforms trials per node; a trial succeeds more often than not.
+#: Ratio-of-uniforms trials per node; a trial succeeds more often than not, and
+#: none is made after the first success.
 TRIALS = 64
+#: Levels of the quota tree between two written tables.
+LEVELS = 3
 _LN_FACT = [math.lgamma(n + 1) for n in range(17)]
 
 
@@ -87,9 +92,9 @@ def hypergeometric(good: Column, bad: Column, draws: Column, *seed: Column) -> C
             peak = weight(q, q.mode)
 
             return _let(q.withField("peak", peak), lambda q2: F.struct(
-                F.coalesce(F.get(F.filter(F.transform(F.sequence(F.lit(1), F.lit(TRIALS)),
-                                                      lambda t: _trial(q2, t)),
-                                          lambda z: z.isNotNull()), F.lit(0)), q2.mode).alias("z"),
+                F.coalesce(F.aggregate(F.sequence(F.lit(1), F.lit(TRIALS)), F.lit(None).cast("double"),
+                                       lambda z, t: F.when(z.isNotNull(), z).otherwise(_trial(q2, t))),
+                           q2.mode).alias("z"),
                 q2.m.alias("m")))
 
         def _trial(q, t):
@@ -139,55 +144,69 @@ def source_targets(sizes: DataFrame, weights: list[float], max_repeat: int) -> D
         .select("source", "source_size", "target", "quota")
 
 
-def _pair_sum(below: Column):
-    return lambda i: F.get(below, 2 * i) + F.get(below, 2 * i + 1)
-
-
-def _split(below: Column, *seed: Column):
-    """Deal a node's draws to its two children."""
-    def split(draws, i):
-        k = hypergeometric(F.get(below, 2 * i), F.get(below, 2 * i + 1), draws, *seed, i)
-        return _let(k, lambda k: F.array(k, draws - k))
-    return split
+def _splits(leaves: DataFrame, depth: int) -> DataFrame:
+    """The words under the left and the right child of every inner node that holds
+    any: one aggregate serves all levels.  ``leaves``: _SOURCE, leaf, words."""
+    level = F.explode(F.sequence(F.lit(0), F.lit(depth - 1))).alias("level")
+    under = leaves.select(*_SOURCE, "leaf", "words", level).withColumns({
+        "node": F.expr(f"shiftright(leaf, {depth} - level)"),
+        "right_side": F.expr(f"shiftright(leaf, {depth - 1} - level) & 1") == 1})
+    words = {side: F.sum(F.when(F.col("right_side") == (side == "right"), F.col("words")).otherwise(0)).alias(side)
+             for side in ("left", "right")}
+    return under.groupBy(*_SOURCE, "level", "node").agg(words["left"], words["right"])
 
 
 def leaf_quotas(leaves: DataFrame, sources: DataFrame, depth: int, seed: int) -> DataFrame:
     """Split each source's rest over its leaves down a binary tree of hypergeometric
-    draws.  ``leaves``: source, leaf, words (missing leaves hold 0)."""
-    n = 1 << depth
-    grid = sources.select("source", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("leaf"),
-                          F.lit(0).cast("long").alias("words"))
-    arrays = leaves.select("source", "leaf", "words").unionByName(grid) \
-        .groupBy("source", "leaf").agg(F.sum("words").alias("words")) \
-        .groupBy("source").agg(F.sort_array(F.collect_list(F.struct("leaf", "words"))).alias("l")) \
-        .select(F.col("source").alias("__src"), F.transform("l", lambda x: x["words"]).alias(f"words_{depth}"))
-    t = sources.join(arrays, F.col("source").eqNullSafe(F.col("__src"))).drop("__src")
-    for d in range(depth - 1, -1, -1):
-        t = t.withColumn(f"words_{d}", F.transform(F.sequence(F.lit(0), F.lit((1 << d) - 1)),
-                                                   _pair_sum(F.col(f"words_{d + 1}"))))
+    draws.  ``leaves``: source, leaf, words of the leaves that have documents.
+
+    A node is a row: every level joins its nodes to the words under their two
+    children and deals the draws between them, so no value grows with the number
+    of leaves.  Nodes that are dealt nothing end there.  A written table every few
+    levels keeps the plan short."""
+    def named(df: DataFrame) -> DataFrame:
+        return df.withColumns({"__source": F.coalesce("source", F.lit("")), "__no_source": F.col("source").isNull()})
+
+    leaves = named(leaves)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("quota") / F.col("source_size"))).otherwise(F.lit(0))
-    t = t.withColumn("epochs", epochs.cast("long")) \
-        .withColumn("rest_0", F.array(F.col("quota") - F.col("epochs") * F.col("source_size")))
-    source_seed = F.coalesce(F.xxhash64(F.lit(seed), F.lit("source"), F.col("source")), F.lit(0).cast("long"))
-    t = t.withColumn("__seed", F.when(F.col("source").isNull(), F.lit(seed).cast("long")).otherwise(source_seed))
+    sources = sources.withColumn("epochs", epochs.cast("long"))
+    own_seed = F.when(F.col("source").isNull(), F.lit(seed).cast("long")) \
+        .otherwise(F.xxhash64(F.lit(seed), F.lit("source"), F.col("source")))
+    dealt = named(sources).select(*_SOURCE, own_seed.alias("seed"), F.lit(0).alias("node"),
+                                  (F.col("quota") - F.col("epochs") * F.col("source_size")).alias("rest"))
+    if depth:
+        splits = staged(_splits(leaves, depth), "mix-splits")
     for d in range(depth):
-        split = _split(F.col(f"words_{d + 1}"), F.col("__seed"), F.lit(d))
-        t = t.withColumn(f"rest_{d + 1}", F.flatten(F.transform(F.col(f"rest_{d}"), split)))
-    return t.select("source", "source_size", "target", "epochs",
-                    F.posexplode(F.col(f"rest_{depth}")).alias("leaf", "leaf_quota"))
+        split = dealt.filter("rest > 0").join(splits.filter(F.col("level") == d), [*_SOURCE, "node"])
+        k = hypergeometric(F.col("left"), F.col("right"), F.col("rest"), F.col("seed"), F.lit(d), F.col("node"))
+        sides = _let(k, lambda k: F.array(
+            F.struct((2 * F.col("node")).alias("node"), k.alias("rest")),
+            F.struct((2 * F.col("node") + 1).alias("node"), (F.col("rest") - k).alias("rest"))))
+        dealt = split.select(*_SOURCE, "seed", F.inline(sides))
+        if d % LEVELS == LEVELS - 1:
+            dealt = staged(dealt, "mix-nodes")
+    drawn = dealt.select(*_SOURCE, F.col("node").alias("leaf"), "rest")
+    return leaves.join(drawn, [*_SOURCE, "leaf"], "left").join(named(sources).drop("source"), _SOURCE) \
+        .select("source", "source_size", "target", "epochs", "leaf", F.coalesce("rest", F.lit(0).cast("long")).alias("leaf_quota"))
 
 
 def _size() -> Column:
     return F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _text() -> Column:
+    """Tells rows of one ``doc_id`` apart, so that they spread over the leaves."""
+    return F.xxhash64("text")
+
+
 #: The source as two columns without nulls, so that the join to the quotas and
 #: the window over a leaf ask for one and the same partitioning.
-_KEYS = ["__source", "__no_source", "__leaf"]
+_SOURCE = ["__source", "__no_source"]
+_KEYS = [*_SOURCE, "__leaf"]
 
 
 def _dealt(rows: DataFrame, depth: int, seed: int) -> DataFrame:
-    leaf = F.pmod(F.xxhash64(F.lit(seed), F.lit("leaf"), "doc_id"), F.lit(1 << depth)).cast("int")
+    leaf = F.pmod(F.xxhash64(F.lit(seed), F.lit("leaf"), "doc_id", "__text"), F.lit(1 << depth)).cast("int")
     return rows.withColumns({"__source": F.coalesce(F.col("source"), F.lit("")),
                              "__no_source": F.col("source").isNull(), "__leaf": leaf})
 
@@ -211,7 +230,7 @@ def _drawn(rows: DataFrame, quotas: DataFrame, depth: int, seed: int) -> DataFra
     """Add ``__part``: the words drawn from each row (with ``__size``) in its
     leaf's permuted order."""
     permuted = Window.partitionBy(*_KEYS) \
-        .orderBy(F.xxhash64(F.lit(seed), F.lit("block"), "doc_id"), "doc_id", "__size") \
+        .orderBy(F.xxhash64(F.lit(seed), F.lit("block"), "doc_id", "__text"), "doc_id", "__text", "__size") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = F.sum("__size").over(permuted) - F.col("__size")
     part = F.greatest(F.lit(0).cast("long"), F.least(F.col("__size"), F.col("__quota") - before))
@@ -222,7 +241,7 @@ def plan_mix(docs: DataFrame, weights=(1.0, 2.0, 3.0), max_repeat: int = 3, leaf
              min_depth: int = 5, seed: int = 17) -> DataFrame:
     """One row per document: ``doc_id, source, size, source_size, target,
     epochs, part, taken, shard``.  ``taken = epochs * size + part``."""
-    rows = staged(docs.select("doc_id", "source", _size().alias("__size")), "mix-sizes")
+    rows = staged(docs.select("doc_id", "source", _size().alias("__size"), _text().alias("__text")), "mix-sizes")
     quotas, depth = _quotas(rows, weights, max_repeat, leaf_docs, min_depth, seed)
     return _drawn(rows, quotas, depth, seed).select(
         "doc_id", "source", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
@@ -245,11 +264,11 @@ def mix(docs: DataFrame, weights=(1.0, 2.0, 3.0), max_repeat: int = 3, leaf_docs
     more (cut after the last drawn word), shuffled inside each task.  Columns
     are those of ``docs``; ``n_chars``, where there is one, follows a cut.
     Texts move once, to the task of their source and leaf."""
-    sizes = staged(docs.select("doc_id", "source", _size().alias("__size")), "mix-sizes")
+    sizes = staged(docs.select("doc_id", "source", _size().alias("__size"), _text().alias("__text")), "mix-sizes")
     quotas, depth = _quotas(sizes, weights, max_repeat, leaf_docs, min_depth, seed)
     names = docs.columns
     own = {c: f"__own_{i}" for i, c in enumerate(names)}
-    rows = docs.select("doc_id", "source", _size().alias("__size"),
+    rows = docs.select("doc_id", "source", _size().alias("__size"), _text().alias("__text"),
                        *[F.col(f"`{c}`").alias(own[c]) for c in names])
     drawn = _drawn(rows, quotas, depth, seed)
     none = F.array().cast("array<bigint>")

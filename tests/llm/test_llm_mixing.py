@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -66,21 +67,65 @@ def test_hypergeometric_small_law_and_ends(spark):
     assert all(r.got == r.want for r in df.withColumn("got", hypergeometric(F.col("g"), F.col("b"), F.col("d"), F.lit(1))).collect())
 
 
-def test_leaf_quotas_sum_and_fit(spark):
-    r = random.Random(1)
-    rows = [(s, leaf, r.randint(0, 500)) for s in ("a", None, "c") for leaf in range(16) if r.random() < 0.8]
+def check_quotas(spark, rows, depth, weights=(1, 2, 3)):
+    """Quotas of given (source, leaf, words): exact in sum, within each leaf."""
     leaves = spark.createDataFrame(rows, "source string, leaf int, words long")
     sizes = leaves.groupBy("source").agg(F.sum("words").alias("source_size"))
-    targets = source_targets(sizes, [1, 2, 3], 3)
-    got = leaf_quotas(leaves, targets, 4, 7).collect()
+    targets = source_targets(sizes, list(weights), 3)
+    got = leaf_quotas(leaves, targets, depth, 7).collect()
     words = {(s, leaf): n for s, leaf, n in rows}
-    quota = {r.source: r.quota for r in targets.collect()}
-    total = defaultdict(int)
+    assert sorted(map(str, words)) == sorted(str((q.source, q.leaf)) for q in got)   # each leaf with documents once
+    total, whole = defaultdict(int), {}
     for q in got:
-        assert 0 <= q.leaf_quota <= words.get((q.source, q.leaf), 0)
-        total[q.source] += q.leaf_quota + (q.epochs * q.source_size if q.leaf == 0 else 0)
-    assert dict(total) == quota
-    assert len(got) == 3 * 16
+        assert 0 <= q.leaf_quota <= words[q.source, q.leaf]
+        total[q.source] += q.leaf_quota
+        whole[q.source] = q.epochs * q.source_size
+    assert {s: n + whole[s] for s, n in total.items()} == {r.source: r.quota for r in targets.collect()}
+    return got
+
+
+def test_leaf_quotas_sum_and_fit(spark):
+    r = random.Random(1)
+    check_quotas(spark, [(s, leaf, r.randint(0, 500)) for s in ("a", None, "c") for leaf in range(16) if r.random() < 0.8], 4)
+
+
+@pytest.mark.parametrize("depth", [0, 1, 7, 10, 14])
+def test_quota_trees_of_any_depth(spark, depth):
+    r = random.Random(depth)
+    rows = [(s, leaf, r.randint(0, 3000)) for s in ("a", None, "c") for leaf in range(1 << depth) if r.random() < 0.9 or depth == 0]
+    began = time.monotonic()
+    got = check_quotas(spark, rows, depth)
+    assert time.monotonic() - began < 60
+    if depth >= 7:      # the draws follow the words: no part of the tree is favoured
+        words = defaultdict(int)
+        for s, leaf, n in rows:
+            words[s, leaf * 4 >> depth] += n
+        for s in ("a", None, "c"):
+            own = [sum(q.leaf_quota for q in got if q.source == s and q.leaf * 4 >> depth == part) for part in range(4)]
+            share = sum(own) / sum(words[s, part] for part in range(4))
+            assert all(abs(n / words[s, part] - share) < 0.05 for part, n in enumerate(own))
+
+
+def test_a_thousand_sources(spark):
+    r = random.Random(3)
+    rows = [(f"host{s}", leaf, r.randint(1, 90)) for s in range(1000) for leaf in range(32) if r.random() < 0.4]
+    began = time.monotonic()
+    check_quotas(spark, rows, 5)
+    assert time.monotonic() - began < 60
+
+
+def test_rows_that_share_an_identifier(spark):
+    rows = [(None, f"word {i} " * 5, "en", "s", 0, *["c"] * 8) for i in range(300)]
+    rows += [(7, f"other {i} " * 5, "en", "t", 0, *["c"] * 8) for i in range(300)]
+    got = plan_mix(frame(spark, rows), leaf_docs=20, min_depth=3).collect()
+    assert len({g.shard for g in got if g.doc_id is None}) > 8         # one id does not fill one leaf
+    want = plain_targets({"s": 3000, "t": 3000})
+    taken = Counter()
+    for g in got:
+        taken[g.source] += g.taken
+    assert all(abs(taken[s] - want[s]) <= 0.5 for s in want)
+    a, b = (sorted((r.source, r.text) for r in mix(frame(spark, rows, n), leaf_docs=20, min_depth=3).collect()) for n in (2, 5))
+    assert a == b
 
 
 def test_plan_meets_every_target_exactly(spark):
