@@ -31,10 +31,14 @@ collections small.  Spark sees to both without losing a match:
    filed again, window by window under the window's own digest, so no task
    gets more than ``crowd`` strings of one anchor.
 
+A document's place in the order, and its key in every join, is its ``doc_id``
+and then its ``tie``, a hash of its text.  So rows that share a ``doc_id`` but not
+their text are documents of their own, in the order of that hash; rows that share
+both are one document, whose equal places are not earlier than each other.
+
 Edge cases: null text counts as empty; texts shorter than ``length`` lose
-nothing; a null ``doc_id`` counts as smaller than any; rows repeating a
-``doc_id`` are taken as one document, so equal places in them are not earlier
-than each other; very long texts are hashed in blocks; an empty table gives an
+nothing; a null ``doc_id`` counts as smaller than any (the least 64-bit number
+stands for it); very long texts are hashed in blocks; an empty table gives an
 empty result; other columns are not looked at.  ``doc_id`` must be an integer.
 """
 
@@ -335,10 +339,16 @@ def _intervals(doc: np.ndarray, window: np.ndarray, length: int):
 
 # ------------------------------------------------------------------ the jobs
 
-def _order(docs: DataFrame) -> Column:
+def _order() -> Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOWEST).cast("long"))
 
 
+#: What a document is known by.
+_DOC = ["doc", "tie"]
+#: How an interval was found to be repeated.
+COPY, BAND, ARRAY, WINDOW = range(4)
+
+
 def _anchor_rows(base: DataFrame, length: int) -> DataFrame:
     """One row per segment: its anchor and the number of places it stands for (2
     if the gram stands in the segment twice)."""
@@ -355,14 +365,25 @@ def _anchor_rows(base: DataFrame, length: int) -> DataFrame:
 def _segment_rows(base: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
+            for doc, tie, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 anchor, digest, start, size, _ = segments(text.as_py(), length, twices=False)
                 if len(anchor):
                     # the number of windows shares a number with the start
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(anchor), pa.array(digest), pa.array(np.full(len(anchor), doc, np.int64)),
-                         pa.array((start << 8) | size)], names=["anchor", "digest", "doc", "packed"])
-    return map_batches(base.select("doc", "data"), run, "anchor long, digest long, doc long, packed long")
+                         pa.array(np.full(len(anchor), tie, np.int64)), pa.array((start << 8) | size)],
+                        names=["anchor", "digest", "doc", "tie", "packed"])
+    return map_batches(base.select("doc", "tie", "data"), run, "anchor long, digest long, doc long, tie long, packed long")
+
+
+def _ranked(doc: np.ndarray, tie: np.ndarray):
+    """Each document's number in the order of this collection, and the documents."""
+    by = np.lexsort((tie, doc))
+    new = np.ones(len(by), bool)
+    new[1:] = (doc[by][1:] != doc[by][:-1]) | (tie[by][1:] != tie[by][:-1])
+    rank = np.empty(len(by), np.int64)
+    rank[by] = np.cumsum(new) - 1
+    return rank, doc[by][new], tie[by][new]
 
 
 def _collection_rows(strings: DataFrame, length: int) -> DataFrame:
@@ -371,29 +392,32 @@ def _collection_rows(strings: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, numbers = [], []
         for b in batches:
-            texts += b.column(3).to_pylist()
-            numbers.append([b.column(c).to_numpy(zero_copy_only=False) for c in range(3)])
+            texts += b.column(4).to_pylist()
+            numbers.append([b.column(c).to_numpy(zero_copy_only=False) for c in range(4)])
         if not texts:
             return
-        doc, start, anchor = map(np.concatenate, zip(*numbers))
+        doc, tie, start, anchor = map(np.concatenate, zip(*numbers))
+        rank, docs, ties = _ranked(doc, tie)
         lens = np.array([len(t) for t in texts], np.int64)
         flat = np.frombuffer(b"".join(texts), np.uint8)
         (lo, hi, d, s), (copy_doc, copy_lo, copy_hi) = narrowed(
-            flat, np.cumsum(lens) - lens, lens, anchor, doc, start, length)
+            flat, np.cumsum(lens) - lens, lens, anchor, rank, start, length)
         if len(lo):
             with tempfile.TemporaryDirectory(prefix="bwt-") as folder:   # this task's own files
                 d, w = repeated_windows(flat, lo, hi - lo, d, s, length, folder)
             d, lo, hi = _intervals(d, w, length)
-        cols = [np.concatenate(c) for c in ((copy_doc, d), (copy_lo, lo), (copy_hi, hi))]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc", "lo", "hi"])
-    return map_batches(strings.select("doc", "start", "anchor", "bytes"), run, "doc long, lo long, hi long")
+        at, lo, hi = (np.concatenate(c).astype(np.int64) for c in ((copy_doc, d), (copy_lo, lo), (copy_hi, hi)))
+        how = np.where(np.arange(len(at)) < len(copy_doc), BAND, ARRAY)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (docs[at], ties[at], lo, hi, how.astype(np.int32))],
+                                         names=[*_DOC, "lo", "hi", "how"])
+    return map_batches(strings.select(*_DOC, "start", "anchor", "bytes"), run, "doc long, tie long, lo long, hi long, how int")
 
 
 def _window_rows(strings: DataFrame, length: int) -> DataFrame:
     """One row per window of the strings: two 64-bit hashes and its place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for doc, start, text in zip(*[c.to_pylist() for c in b.columns]):
+            for doc, tie, start, text in zip(*[c.to_pylist() for c in b.columns]):
                 data = np.frombuffer(text, np.uint8)
                 cols = []
                 for seed in (11, 23):
@@ -402,15 +426,16 @@ def _window_rows(strings: DataFrame, length: int) -> DataFrame:
                     cols.append(pa.array(h.view(np.int64)))
                 n = len(cols[0])
                 yield pa.RecordBatch.from_arrays(
-                    [*cols, pa.array(np.full(n, doc, np.int64)), pa.array(start + np.arange(n))],
-                    names=["h1", "h2", "doc", "start"])
-    return map_batches(strings.select("doc", "start", "bytes"), run, "h1 long, h2 long, doc long, start long")
+                    [*cols, pa.array(np.full(n, doc, np.int64)), pa.array(np.full(n, tie, np.int64)), pa.array(start + np.arange(n))],
+                    names=["h1", "h2", *_DOC, "start"])
+    return map_batches(strings.select(*_DOC, "start", "bytes"), run, "h1 long, h2 long, doc long, tie long, start long")
 
 
 def _later_than_first(places: DataFrame, firsts: DataFrame, keys: list[str]) -> DataFrame:
     """The rows of ``places`` that are not the first place of their key."""
-    f = firsts.select(*keys, F.col("doc").alias("f_doc"), F.col("start").alias("f_start"))
-    return places.join(f, keys).filter((F.col("doc") != F.col("f_doc")) | (F.col("start") != F.col("f_start")))
+    place = [*_DOC, "start"]
+    f = firsts.select(*keys, *[F.col(c).alias(f"f_{c}") for c in place])
+    return places.join(f, keys).filter(F.struct(*place) != F.struct(*[f"f_{c}" for c in place]))
 
 
 def _finished(rows: DataFrame, kind: str) -> DataFrame:
@@ -432,36 +457,43 @@ def _finished(rows: DataFrame, kind: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *[pa.array(c, pa.int64()) for c in n[:3]], pa.array(n[3], pa.string())],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-    return map_batches(rows.select("doc_id", "data", "cover"), run,
+    # the identifier comes out of the order, so that this join and the one that
+    # cuts the strings read one and the same exchange of the texts
+    doc_id = F.when(F.col("doc") != _LOWEST, F.col("doc")).cast(kind).alias("doc_id")
+    return map_batches(rows.select(doc_id, "data", "cover"), run,
                        f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def repeated_intervals(base: DataFrame, length: int, crowd: int, collection_mb: int) -> DataFrame:
-    """``doc, lo, hi``: byte intervals under repeated strings (may overlap).
-    ``base``: doc, doc_id, data (bytes)."""
+    """``doc, tie, lo, hi, how``: byte intervals under repeated strings (may
+    overlap).  ``base``: doc, tie, data (bytes).
+
+    What a join by anchor looks up is written first: a hot anchor's rows can then
+    be split over several tasks (AQE's skew join splits no side whose other one
+    is aggregated in the same stage)."""
     spark = base.sparkSession
-    shared = _anchor_rows(base, length).groupBy("anchor").agg(
-        F.sum("places").alias("n"), F.max("places").alias("most")).filter("n > 1") \
-        .select("anchor", (F.col("most") > 1).alias("twice"))
+    shared = staged(_anchor_rows(base, length).groupBy("anchor").agg(
+        F.sum("places").alias("n"), F.max("places").alias("most")).filter("n > 1")
+        .select("anchor", (F.col("most") > 1).alias("twice")), "suffix-shared")
     places = staged(_segment_rows(base, length).join(shared, "anchor").select(
-        "anchor", "digest", "doc", F.shiftright("packed", 8).alias("start"),
+        "anchor", "digest", *_DOC, F.shiftright("packed", 8).alias("start"),
         F.col("packed").bitwiseAND(F.lit(255).cast("long")).alias("windows"), "twice"), "suffix-places")
     firsts = staged(places.groupBy("anchor", "digest").agg(
-        F.min(F.struct("doc", "start")).alias("at"), F.max("windows").alias("windows"),
+        F.min(F.struct(*_DOC, "start")).alias("at"), F.max("windows").alias("windows"),
         F.max("twice").alias("twice"), F.count("*").alias("n"))
-        .select("anchor", "digest", "at.doc", "at.start", "windows", "twice", "n"), "suffix-firsts")
+        .select("anchor", "digest", "at.*", "windows", "twice", "n"), "suffix-firsts")
 
-    copies = _later_than_first(places, firsts.filter("n > 1"), ["anchor", "digest"]) \
-        .select("doc", F.col("start").alias("lo"), (F.col("start") + F.col("windows") + (length - 1)).alias("hi"))
+    copies = _later_than_first(places, firsts.filter("n > 1"), ["anchor", "digest"]).select(
+        *_DOC, F.col("start").alias("lo"), (F.col("start") + F.col("windows") + (length - 1)).alias("hi"), F.lit(COPY).alias("how"))
 
-    per_anchor = firsts.groupBy("anchor").agg(F.count("*").alias("kinds"), F.max("twice").alias("any_twice")) \
-        .filter("kinds > 1 OR any_twice").select("anchor", "kinds")
-    wanted = staged(firsts.join(per_anchor, "anchor").select("anchor", "doc", "start", "windows", "kinds"),
+    per_anchor = staged(firsts.groupBy("anchor").agg(F.count("*").alias("kinds"), F.max("twice").alias("any_twice"))
+                        .filter("kinds > 1 OR any_twice").select("anchor", "kinds"), "suffix-kinds")
+    wanted = staged(firsts.join(per_anchor, "anchor").select("anchor", *_DOC, "start", "windows", "kinds"),
                     "suffix-wanted")
     size = wanted.agg(F.sum(F.col("windows") + length).alias("b"), F.max("kinds").alias("k")).first()
-    by_doc = wanted.groupBy("doc").agg(F.collect_list(F.struct("anchor", "start", "windows", "kinds")).alias("w"))
-    strings = base.join(by_doc, "doc").select("doc", "doc_id", "data", F.explode("w").alias("w")).select(
-        "doc", "w.anchor", "w.start", "w.kinds",
+    by_doc = wanted.groupBy(*_DOC).agg(F.collect_list(F.struct("anchor", "start", "windows", "kinds")).alias("w"))
+    strings = base.join(by_doc, _DOC).select(*_DOC, "data", F.explode("w").alias("w")).select(
+        *_DOC, "w.anchor", "w.start", "w.kinds",
         F.substring("data", F.col("w.start").cast("int") + 1,
                     (F.col("w.windows") + (length - 1)).cast("int")).alias("bytes"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
@@ -472,19 +504,23 @@ def repeated_intervals(base: DataFrame, length: int, crowd: int, collection_mb:
     if crowded:
         windows = staged(_window_rows(strings.filter(F.col("kinds") > crowd), length), "suffix-windows")
         keys = ["h1", "h2"]
-        earliest = windows.groupBy(*keys).agg(F.min(F.struct("doc", "start")).alias("at"), F.count("*").alias("n")) \
-            .filter("n > 1").select(*keys, "at.doc", "at.start")
+        earliest = windows.groupBy(*keys).agg(F.min(F.struct(*_DOC, "start")).alias("at"), F.count("*").alias("n")) \
+            .filter("n > 1").select(*keys, "at.*")
         out = out.unionByName(_later_than_first(windows, earliest, keys).select(
-            "doc", F.col("start").alias("lo"), (F.col("start") + length).alias("hi")))
+            *_DOC, F.col("start").alias("lo"), (F.col("start") + length).alias("hi"), F.lit(WINDOW).alias("how")))
     return out
 
 
+def _base(docs: DataFrame) -> DataFrame:
+    data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return docs.select(_order().alias("doc"), F.xxhash64(data).alias("tie"), data.alias("data"))
+
+
 def remove_repeats(docs: DataFrame, length: int = 100, crowd: int = 100_000, collection_mb: int = 4) -> DataFrame:
     """Per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``."""
     if length < 2 * GRAM or 2 * length > 255:
         raise ValueError(f"length must lie between {2 * GRAM} and 127")
-    base = docs.select("doc_id", _order(docs).alias("doc"),
-                       F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"))
+    base = _base(docs)
     cover = repeated_intervals(base, length, crowd, collection_mb) \
-        .groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("cover"))
-    return _finished(base.join(cover, "doc", "left"), docs.schema["doc_id"].dataType.simpleString())
+        .groupBy(*_DOC).agg(F.collect_list(F.struct("lo", "hi")).alias("cover"))
+    return _finished(base.join(cover, _DOC, "left"), docs.schema["doc_id"].dataType.simpleString())

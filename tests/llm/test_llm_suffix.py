@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from llm_cases import documents, empty, frame
 
 from claimsdq.llm.suffix_dedup import collection_bwt, narrowed, remove_repeats, repeated_windows, segments, suffix_rows
@@ -101,10 +102,18 @@ def test_segments_cover_every_window_once_and_follow_content():
     assert not len(segments(b"short", 100)[0])
 
 
+def tie(text):
+    h = xxhash.xxh64_intdigest((text or "").encode(), 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
 def brute(rows, k=100):
+    """Rows that share doc_id and text are one document; of those that share the
+    doc_id alone, the one with the smaller hash of its text comes first."""
     seen, out = set(), Counter()
-    for r in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
-        b = (r[1] or "").encode()
+    many = Counter((r[0], r[1] or "") for r in rows)
+    for doc, text in sorted(many, key=lambda r: (r[0] is not None, r[0] or 0, tie(r[1]))):
+        b = text.encode()
         gone = bytearray(len(b))
         for i in range(len(b) - k + 1):
             w = b[i:i + k]
@@ -113,7 +122,7 @@ def brute(rows, k=100):
             seen.add(w)
         spans = sum(1 for g, _ in itertools.groupby(gone) if g)
         kept = bytes(x for x, g in zip(b, gone) if not g)
-        out[r[0], len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()] += 1
+        out[doc, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()] += many[doc, text]
     return out
 
 
@@ -146,6 +155,35 @@ def test_matches_a_plain_scan(spark, seed, crowd):
     assert Counter(map(tuple, got.collect())) == brute(rows)
 
 
+@pytest.mark.parametrize("crowd", [100_000, 1])
+def test_rows_that_share_an_identifier(spark, crowd):
+    r = random.Random(12)
+    rows = passages(7, n=60)
+    c = ["c"] * 8
+    unique = "".join(r.choice("abcdefghij ") for _ in range(300))
+    rows += [(7, unique, "en", "s", 0, *c), (7, rows[3][1], "en", "s", 0, *c), (7, (rows[50][1] or "x") * 3, "en", "s", 0, *c)]
+    for n in range(25):                                   # many rows without an identifier, two alike, some repeated
+        rows.append((None, unique[n * 3:] + str(n) * 40 + (rows[n][1] or ""), "en", "s", 0, *c))
+    rows += rows[-4:] + [(None, None, "en", "s", 0, *c), (1001, rows[22][1], "en", "s", 0, *c)] + rows[:2]
+    r.shuffle(rows)
+    assert Counter(map(tuple, remove_repeats(frame(spark, rows), crowd=crowd).collect())) == brute(rows)
+
+
+def test_texts_are_exchanged_once(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for name in names:                                 # as with tables too large to broadcast
+        spark.conf.set(name, "-1")
+    try:
+        out = remove_repeats(docs)
+        out.collect()
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan and plan.count("data#") and plan.count("documents.parquet") == 1
+
+
 def test_other_length_and_test_table(spark):
     rows = passages(5, n=60)
     assert Counter(map(tuple, remove_repeats(frame(spark, rows), length=64).collect())) == brute(rows, 64)
