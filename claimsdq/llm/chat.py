@@ -7,12 +7,14 @@ loss mask as the spans (start, end; code points of the completion) that an
 assistant wrote: training counts those and nothing else.
 
 All of it is array expressions over one row per conversation, inside whole
-stages; the turns are exchanged once to meet their conversation.  A
-conversation is one value of the result, so its turns come together in one
-row by the nature of the output; no key other than the conversation's own is
-used, so a first turn or a whole conversation that many share costs nothing.
-
-Edge cases: turns are ordered by (turn, role, text), so ties have a fixed
+stages; the turns are scanned and exchanged once to meet their conversation (in
+``pairs_by_last_answer``, it and its neighbour).  A conversation is one value of
+the result, so its turns come together in one row by the nature of the output
+and the longest conversation bounds a row; no key other than the conversation's
+own is used, so a first turn or a whole conversation that many share costs nothing.
+
+Edge cases: a turn without a conversation's key is a conversation of its own
+(however many there are, they share no group); turns are ordered by (turn, role, text), so ties have a fixed
 order; a null role is rendered as ``unknown`` and a null text as empty; an
 empty side has an empty completion; a pair without difference has two empty
 completions and ``usable`` false; an empty table gives an empty result; other
@@ -23,16 +25,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BEGIN, END = "<|im_start|>", "<|im_end|>\n"
 TURNS = "array<struct<turn:bigint,role:string,text:string>>"
 
 
+def _turn() -> list[Column]:
+    return [F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("unknown")).alias("role"),
+            F.coalesce("text", F.lit("")).alias("text")]
+
+
 def conversations(turns: DataFrame, key: str = "conv_id") -> DataFrame:
     """One row per conversation: ``key, turns`` (sorted array of turn, role, text)."""
-    one = F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("unknown")).alias("role"),
-                   F.coalesce("text", F.lit("")).alias("text"))
-    return turns.groupBy(key).agg(F.sort_array(F.collect_list(one)).alias("turns"))
+    one = F.struct(*_turn())
+    named = turns.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sort_array(F.collect_list(one)).alias("turns"))
+    return named.unionByName(turns.filter(F.col(key).isNull()).select(key, F.array(one).alias("turns")))
 
 
 def common_prefix(a: Column, b: Column) -> Column:
@@ -85,21 +93,40 @@ def format_preferences(pairs: DataFrame, key: str = "pair_id") -> DataFrame:
         .withColumn("usable", (F.size("chosen_loss") > 0) & (F.size("rejected_loss") > 0))
 
 
-def pairs_by_last_answer(convs: DataFrame, key: str = "conv_id") -> DataFrame:
-    """Preference pairs out of plain conversations: chosen is the conversation,
-    rejected is the same up to its last assistant turn, which is answered by
-    the last assistant turn of its neighbour (key with the lowest bit flipped).
-    Without a neighbour or an answer of its own, the rejected side ends before
-    that turn (or equals the chosen one)."""
-    turns = F.col("turns")
-    spots = F.filter(F.transform(turns, lambda t, i: F.when(t["role"] == "assistant", i)), lambda i: i.isNotNull())
-    own = convs.select(F.col(key), turns.alias("chosen"), F.array_max(spots).alias("at"))
-    last = own.select(F.col(key).bitwiseXOR(F.lit(1).cast("long")).alias("__for"),
-                      F.get("chosen", F.col("at"))["text"].alias("other"))
+def pairs_by_last_answer(turns: DataFrame, key: str = "conv_id") -> DataFrame:
+    """Preference pairs out of the turns of plain conversations: chosen is the
+    conversation, rejected is the same up to its last assistant turn, which is
+    answered by the last assistant turn of its neighbour (key with the lowest bit
+    flipped, so keys must be whole numbers).  Without a neighbour or an answer of
+    its own, the rejected side ends before that turn (or equals the chosen one)."""
+    kind = turns.schema[key].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"pairs_by_last_answer needs whole-number keys, {key} is {kind.simpleString()}; "
+                        "build the pairs yourself and give them to format_preferences")
+    number = F.col(key).cast("long")
+    # neighbours share all but the lowest bit: one exchange brings both together
+    side = F.struct(number.bitwiseAND(F.lit(1).cast("long")).alias("bit"), *_turn())
+    both = turns.filter(F.col(key).isNotNull()).groupBy(F.shiftright(number, 1).alias("__pair")) \
+        .agg(F.sort_array(F.collect_list(side)).alias("both"))
+    both = both.select("__pair", "both", F.explode(F.array_distinct(F.transform("both", lambda t: t["bit"]))).alias("__bit"))
+
+    def of(mine: bool) -> Column:
+        rows = F.filter("both", lambda t: (t["bit"] == F.col("__bit")) == F.lit(mine))
+        return F.transform(rows, lambda t: F.struct(t["turn"].alias("turn"), t["role"].alias("role"), t["text"].alias("text")))
+
+    own = both.select(F.shiftleft("__pair", 1).bitwiseOR(F.col("__bit")).cast(kind).alias("pair_id"),
+                      of(True).alias("chosen"), of(False).alias("mate"))
+    own = own.unionByName(turns.filter(F.col(key).isNull()).select(
+        F.col(key).alias("pair_id"), F.array(F.struct(*_turn())).alias("chosen"), F.array().cast(TURNS).alias("mate")))
+
+    def last(side: str) -> Column:
+        spots = F.transform(F.col(side), lambda t, i: F.when(t["role"] == "assistant", i))
+        return F.array_max(F.filter(spots, lambda i: i.isNotNull()))
+
+    own = own.withColumns({"at": last("chosen"), "other": F.get("mate", last("mate"))["text"]})
     swapped = F.struct(F.get("chosen", F.col("at"))["turn"].alias("turn"), F.lit("assistant").alias("role"),
                        F.col("other").alias("text"))
     head = F.slice("chosen", F.lit(1), F.col("at"))
     rejected = F.when(F.col("at").isNull(), F.col("chosen")).when(F.col("other").isNull(), head) \
         .otherwise(F.concat(head, F.array(swapped)))
-    return own.join(last, F.col(key) == F.col("__for"), "left") \
-        .select(F.col(key).alias("pair_id"), "chosen", rejected.alias("rejected"))
+    return own.select("pair_id", "chosen", rejected.alias("rejected"))

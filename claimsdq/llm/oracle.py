@@ -98,8 +98,9 @@ def _loss(d: str) -> str:
 OP8 = f"""
 WITH conv AS (
   SELECT conv_id, list({{'turn': turn, 'role': r, 'text': x}} ORDER BY turn NULLS FIRST, r, x) AS c
-  FROM (SELECT conv_id, turn::BIGINT AS turn, coalesce(role, 'unknown') AS r, coalesce(text, '') AS x FROM conversations)
-  GROUP BY conv_id),
+  FROM (SELECT conv_id, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone, turn::BIGINT AS turn,
+               coalesce(role, 'unknown') AS r, coalesce(text, '') AS x FROM conversations)
+  GROUP BY conv_id, alone),
 own AS (
   SELECT conv_id, c, list_max(list_filter(range(1, len(c) + 1), lambda i: c[i].role = 'assistant')) AS spot FROM conv),
 mates AS (

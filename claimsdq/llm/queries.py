@@ -48,8 +48,8 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation against itself with its last answer swapped; loss
     spans as text (start:end, comma-joined)."""
-    convs = chat.conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
-    pairs = chat.format_preferences(chat.pairs_by_last_answer(convs))
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    pairs = chat.format_preferences(chat.pairs_by_last_answer(turns))
     for c in ("chosen_loss", "rejected_loss"):
         pairs = pairs.withColumn(c, F.array_join(F.transform(
             c, lambda s: F.concat_ws(":", s["start"], s["end"])), ","))
