@@ -10,16 +10,20 @@ cards), set into the corpus's own text.  It then reads every text:
   2`` apart.  Windows without a trigger (a digit, ``@`` or "at" as a word, in
   any case and any brackets) are passed over: ``accepted`` takes no span without
   one, so the result is that of decoding every window.
-* Spans cut by a window's edge are left to the neighbour that sees them whole.
+* Spans cut by a window's edge are stitched: touching parts of one kind from
+  neighbouring windows are joined, and the text around them is decoded again in
+  one wider window, wider still while its span is cut, up to ``WIDEST``
+  characters.  So a span is found wherever the windows' edges fall.
 * The document's candidate spans from all windows are reconciled together: a
   weighted interval schedule keeps the set of non-overlapping spans with the
   largest total margin over "outside".
 * A candidate must pass its kind's plausibility check (Luhn, digits, parts) and
   a least margin, and must not touch a base span.
 
-The training sample is bounded: ``sample_windows`` windows of the corpus, the
-first in table order, and as many generated ones.  Everything else covers whole
-texts of all rows, in one pass without a shuffle.
+The training sample is bounded: ``sample_windows`` windows of the corpus, those
+with the smallest hash of (doc_id, place) over all rows, and a few generated ones
+for each.  Everything else covers whole texts of all rows, in one pass without a
+shuffle.
 
 Edge cases: null text counts as empty; an empty table gives an empty result (the
 tagger then learns from generated windows alone); repeated rows give equal rows;
@@ -30,9 +34,11 @@ Positions are code points, ends exclusive.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +49,11 @@ from claimsdq.llm.tagger import PAD, Tagger, char_classes
 
 KINDS = ("email", "ip", "card", "phone")
 WIDTH = 96
+#: The widest window in which a cut span is decoded again.
+WIDEST = 1536
 _BATCH = 512
+#: Generated windows for each one of the corpus.
+GENERATED = 3
 Span = tuple[int, int, int]      # kind number, start, end
 
 # ---------------------------------------------------------------- the patterns
@@ -58,6 +68,17 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 # "at" and "dot" as words of any case: no letter or digit on either side.
 _AT = re.compile(r"@|(?<![^\W_])at(?![^\W_])", re.IGNORECASE)
 _DOT = re.compile(r"\.|(?<![^\W_])dot(?![^\W_])", re.IGNORECASE)
+# A spelled-out address: parts without blanks; "at" and "dot" stand as signs, in
+# brackets, or as words between blanks (or other joints).
+_JOINT = r"[\s_-]"
+
+
+def _spelled(sign: str, word: str) -> str:
+    return rf"(?:{sign}|{_JOINT}*[(\[{{]\s*(?:{sign}|{word})\s*[)\]}}]{_JOINT}*|{_JOINT}+{word}{_JOINT}+)"
+
+
+_PART = r"[^\W_]+(?:-[^\W_]+)*"
+_ADDRESS = re.compile(rf"[^\s@()\[\]{{}}]+?{_spelled(r' ?@ ?', 'at')}{_PART}(?:{_spelled(r'[.]', 'dot')}{_PART})+", re.IGNORECASE)
 # What every accepted span holds.
 _TRIGGER = re.compile(f"[0-9]|{_AT.pattern}", re.IGNORECASE)
 
@@ -124,6 +145,21 @@ def accepted(span: Span, text: str) -> bool:
     return plausible(kind, text[lo:hi]) and (kind != 0 or (holds(_AT) and holds(_DOT)))
 
 
+def settled(span: Span, text: str, reach: int = 64) -> Span:
+    """A tagged address as the spelled-out address it lies on, up to ``reach``
+    characters further on either side (the one that shares most with the span);
+    other spans, and tags on no such address, as they are."""
+    kind, lo, hi = span
+    if kind != 0:
+        return span
+    start = lo
+    while start > 0 and lo - start < reach and text[start - 1] in _LOCAL:
+        start -= 1
+    near = [m.span() for m in _ADDRESS.finditer(text, start, min(len(text), hi + reach))]
+    best = max(near, key=lambda x: (min(x[1], hi) - max(x[0], lo), x[1] - x[0]), default=(lo, hi))
+    return (kind, *best) if best[0] < hi and best[1] > lo else span
+
+
 # ------------------------------------------------------------- labelled windows
 
 def tags_of(spans: list[Span], start: int, width: int = WIDTH) -> np.ndarray:
@@ -138,9 +174,12 @@ def tags_of(spans: list[Span], start: int, width: int = WIDTH) -> np.ndarray:
     return t
 
 
-def generated_windows(contexts: list[str], n: int, seed: int = 5) -> list[tuple[str, list[Span]]]:
+def generated_windows(contexts: list[str], n: int, seed: int = 5, cuts: float = 0.0,
+                      long: float = 0.0) -> list[tuple[str, list[Span]]]:
     """Windows of context with generated data in them, and its spans.  One in
-    five holds look-alikes instead (dates, versions, order numbers, hex)."""
+    five holds look-alikes instead (dates, versions, order numbers, hex).  A share
+    ``cuts`` of the windows begins anywhere, so their spans may be cut on either
+    side; a share ``long`` of the addresses has many parts."""
     r = np.random.default_rng(seed)
 
     def num(k):
@@ -161,6 +200,10 @@ def generated_windows(contexts: list[str], n: int, seed: int = 5) -> list[tuple[
     def email():
         at, dot = pick(("@", "."), (" at ", " dot "), (" (at) ", "."), ("[at]", "[dot]"), ("(at)", "(dot)"), (" @ ", "."),
                        (" AT ", " DOT "), (" (AT) ", "."), ("[AT]", "[DOT]"), (" ( at ) ", " ( dot ) "), ("{at}", "{dot}"))
+        if long and r.random() < long:
+            local = pick(".", "_", "-").join(word() for _ in range(r.integers(2, 6)))
+            host = dot.join(word() for _ in range(r.integers(2, 6)))
+            return f"{local}{at}{host}{dot}{pick('com', 'org', 'net', 'edu')}"
         return f"{word()}{pick('', '.', '_')}{num(2) if r.random() < .3 else word()}{at}{word()}{dot}{pick('com', 'org', 'net')}"
 
     def ip():
@@ -180,41 +223,54 @@ def generated_windows(contexts: list[str], n: int, seed: int = 5) -> list[tuple[
         context = contexts[r.integers(len(contexts))] if contexts else " ".join(word() for _ in range(20))
         cut = int(r.integers(0, 60))
         left, right = (context[:cut].rstrip() + " ").lstrip(), " " + context[cut:].lstrip()
+        spans = []
         if r.random() < 0.2:
-            out.append(((left + lookalike() + right)[:WIDTH], []))
+            text = left + lookalike() + right
         else:
             kind = int(r.integers(4))
             s = makers[kind]()
-            out.append(((left + s + right)[:WIDTH], [(kind, len(left), len(left) + len(s))]))
+            text = left + s + right
+            spans = [(kind, len(left), len(left) + len(s))]
+        if cuts and r.random() < cuts:
+            more = contexts[r.integers(len(contexts))] if contexts else word()
+            at = int(r.integers(0, max(1, len(left) + len(text) // 2)))
+            text, spans = f"{text} {more}"[at:], [(k, lo - at, hi - at) for k, lo, hi in spans if hi > at]
+        out.append((text[:WIDTH], [s for s in spans if s[1] < WIDTH]))
     return out
 
 
 def labelled_windows(docs: DataFrame, n: int) -> list[tuple[str, list[Span]]]:
-    """The first ``n`` windows around triggers in table order with the base
-    spans in them; tasks send windows, never texts."""
+    """The ``n`` windows around triggers with the smallest hash of (doc_id, place),
+    over all rows, with the base spans in them.  Each task keeps its ``n`` smallest,
+    so it sends windows, never texts, and no document or part of the table is
+    favoured."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[tuple] = []                                 # a heap: the largest hash kept on top
         for b in batches:
-            rows = []
-            for t in b.column(0):
-                text = t.as_py() or ""
-                spans = None
+            for doc, t in zip(b.column(0).to_pylist(), b.column(1)):
+                text, spans, last = t.as_py() or "", None, -WIDTH
                 for m in _TRIGGER.finditer(text):
-                    if rows and rows[-1][2] is text and m.start() < rows[-1][3] + WIDTH:
-                        continue
                     start = max(0, m.start() - WIDTH // 3)
+                    if m.start() < last + WIDTH:
+                        continue
+                    last = start
+                    order = -crc32(f"{doc}:{start}".encode())
+                    if len(best) >= n and (order, "") <= best[0][:2]:
+                        continue
                     spans = base_spans(text) if spans is None else spans
                     inside = [(k, lo - start, hi - start) for k, lo, hi in spans if lo < start + WIDTH and hi > start]
-                    rows.append((text[start:start + WIDTH], ",".join(f"{k}:{a}:{z}" for k, a, z in inside), text, start))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()),
-                                              pa.array([r[1] for r in rows], pa.string())], names=["w", "s"])
-    found = map_batches(docs.select("text"), run, "w string, s string").limit(n).collect()
+                    row = (order, text[start:start + WIDTH], ",".join(f"{k}:{a}:{z}" for k, a, z in inside))
+                    (heapq.heappush if len(best) < n else heapq.heappushpop)(best, row)
+        yield pa.RecordBatch.from_arrays([pa.array([-r[0] for r in best], pa.int64()), pa.array([r[1] for r in best], pa.string()),
+                                          pa.array([r[2] for r in best], pa.string())], names=["h", "w", "s"])
+    found = map_batches(docs.select("doc_id", "text"), run, "h long, w string, s string").orderBy("h", "w", "s").limit(n).collect()
     return [(r["w"], [tuple(map(int, x.split(":"))) for x in r["s"].split(",") if x]) for r in found]
 
 
 def train(docs: DataFrame, sample_windows: int = 600, epochs: int = 8) -> Tagger:
     real = labelled_windows(docs, sample_windows)
     contexts = [re.sub(r"[0-9@]+", "", w) for w, _ in real]
-    windows = real + generated_windows(contexts, 2 * sample_windows)
+    windows = real + generated_windows(contexts, GENERATED * sample_windows, cuts=0.3, long=0.3)
     return train_on(windows, epochs)
 
 
@@ -280,27 +336,69 @@ def reconcile(found: dict[Span, float]) -> list[Span]:
     return out[::-1]
 
 
-def find_spans(texts: list[str], tagger: Tagger, least_margin: float = 6.0,
+def stitched(parts: list[Span]) -> list[Span]:
+    """Touching or overlapping parts of one kind joined."""
+    out: list[Span] = []
+    for kind, lo, hi in sorted(parts):
+        if out and out[-1][0] == kind and lo <= out[-1][2]:
+            out[-1] = (kind, out[-1][1], max(hi, out[-1][2]))
+        else:
+            out.append((kind, lo, hi))
+    return out
+
+
+def _decoded(texts: list[str], jobs: list[tuple[int, int, int]], tagger: Tagger) -> Iterator[tuple[int, Span, float, bool]]:
+    """Spans in windows (text, start, width): text, span, margin, whether an edge cuts it."""
+    by_width: dict[int, list] = {}
+    for job in jobs:
+        by_width.setdefault(job[2], []).append(job)
+    for width, mine in sorted(by_width.items()):
+        size = max(1, _BATCH * WIDTH // width)
+        for at in range(0, len(mine), size):
+            some = mine[at:at + size]
+            ids = np.full((len(some), width), PAD)
+            for row, (n, start, _) in enumerate(some):
+                c = char_classes(texts[n][start:start + width])
+                ids[row, :len(c)] = c
+            tags, margin = tagger.decode(ids)
+            for row in np.flatnonzero(tags.any(axis=1)):
+                n, start, _ = some[row]
+                here = min(width, len(texts[n]) - start)
+                for kind, lo, hi, score in spans_in(tags[row, :here], margin[row]):
+                    cut = (lo == 0 and start > 0) or (hi == here and start + here < len(texts[n]))
+                    yield n, (kind, start + lo, start + hi), score, cut
+
+
+def find_spans(texts: list[str], tagger: Tagger, least_margin: float = 3.0,
                starts_of=window_starts) -> list[tuple[list[Span], list[Span]]]:
     """(base spans, all spans) of each text."""
     base = [base_spans(t) for t in texts]
-    jobs = [(n, start) for n, t in enumerate(texts) for start in starts_of(t)]
+    jobs = [(n, start, WIDTH) for n, t in enumerate(texts) for start in starts_of(t)]
     found: list[dict[Span, float]] = [{} for _ in texts]
-    for at in range(0, len(jobs), _BATCH):
-        some = jobs[at:at + _BATCH]
-        ids = np.full((len(some), WIDTH), PAD)
-        for row, (n, start) in enumerate(some):
-            c = char_classes(texts[n][start:start + WIDTH])
-            ids[row, :len(c)] = c
-        tags, margin = tagger.decode(ids)
-        for row in np.flatnonzero(tags.any(axis=1)):
-            n, start = some[row]
-            size = min(WIDTH, len(texts[n]) - start)
-            for kind, lo, hi, score in spans_in(tags[row, :size], margin[row]):
-                cut = (lo == 0 and start > 0) or (hi == size and start + size < len(texts[n]))
-                s = (kind, start + lo, start + hi)
-                if not cut and accepted(s, texts[n]):
-                    found[n][s] = max(score, found[n].get(s, 0.0))
+    asked = set(jobs)
+    while jobs:
+        cuts: dict[int, list[Span]] = {}
+        for n, s, score, cut in _decoded(texts, jobs, tagger):
+            if cut:
+                cuts.setdefault(n, []).append(s)
+                continue
+            s = settled(s, texts[n])
+            if accepted(s, texts[n]):
+                found[n][s] = max(score, found[n].get(s, 0.0))
+        jobs = []
+        for n, parts in cuts.items():
+            for _, lo, hi in stitched(parts):
+                width = 2 * WIDTH
+                while width < hi - lo + WIDTH:
+                    width *= 2
+                if width > WIDEST:
+                    continue
+                # the parts in the middle, but no window reaches beyond the text
+                start = max(0, min((lo + hi - width) // 2, len(texts[n]) - width))
+                job = (n, start, min(width, len(texts[n])))
+                if job not in asked:
+                    asked.add(job)
+                    jobs.append(job)
     out = []
     for n, text in enumerate(texts):
         added = []
