@@ -79,7 +79,7 @@ def alarm_definitions(spark: SparkSession, params: DQParams = DEFAULT,
     return spark.createDataFrame(rows, ALARM_SCHEMA)
 
 
-def _period_start(ts: Column, seconds: Column) -> Column:
+def epoch_period(ts: Column, seconds: Column) -> Column:
     """Start of the period of ``seconds`` that holds ``ts`` (epoch aligned)."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     whole = F.timestamp_diff("SECOND", epoch, ts)
@@ -122,7 +122,7 @@ def period_values(points: DataFrame, definitions: DataFrame) -> DataFrame:
     p = points.join(F.broadcast(d), mine)
     keys = ["alarm_name", "statistic", "comparison", "threshold", "periods", "period_seconds", "event_type", "action"]
     v = p.groupBy(*[F.col(f"d_{k}").alias(k) for k in keys],
-                  _period_start(F.col("ts"), F.col("d_period_seconds")).alias("period_start")).agg(
+                  epoch_period(F.col("ts"), F.col("d_period_seconds")).alias("period_start")).agg(
         F.sum("value").alias("Sum"), F.avg("value").alias("Average"), F.max("value").alias("Maximum"),
         F.min("value").alias("Minimum"), F.count("value").cast("double").alias("SampleCount"))
     return v.withColumn("value", statistic_value()).withColumn("breaching", breaches()) \

@@ -337,7 +337,14 @@ asked AS (SELECT source_file, unnest(range(TIMESTAMP '2024-11-30 06:00:00', TIME
   FROM all_files)
 SELECT a.source_file, a.at, version, CASE WHEN version IS NULL THEN NULL WHEN a.at >= at_noon THEN 'Quarantined' ELSE 'Active' END AS status
 FROM asked a LEFT JOIN taken t ON a.source_file = t.source_file AND a.at >= since AND (until IS NULL OR a.at < until)"""
+    spans = {"hour": 3600, "day": 86400, "30 days": 2592000}
+    rollups = " UNION ALL ".join(
+        f"SELECT '{level}' AS level, namespace, metric_name, {FOLDER} AS source_file, "
+        f"make_timestamp((epoch_us(ts) // {s}000000) * {s}000000) AS period_start, round(sum(value), 6) AS sum, "
+        "count(*) AS sample_count, round(min(value), 6) AS minimum, round(max(value), 6) AS maximum, "
+        f"round(avg(value), 6) AS average FROM ({_points('hourly')}) GROUP BY 1, 2, 3, 4, 5" for level, s in spans.items())
     q: dict[str, str] = {
+        "rollup_after_reruns": f"{mended_points} {rollups}",
         "arrivals_after_reupload": reuploaded,
         "arrivals_from_events": reuploaded,
         "points_as_of": f"{first_points} SELECT {pcols} FROM ({_points('hourly')} UNION ALL {_points('hourly_folder')})",

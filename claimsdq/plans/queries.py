@@ -9,6 +9,7 @@ to 6 digits so the DuckDB oracle can compare them across engines.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +30,7 @@ from claimsdq.plans import fixtures as FX
 from claimsdq.plans.batch import run_csv_job, run_tiers
 from claimsdq.plans.fixtures import P, P_F3, load_claims
 from claimsdq.plans.remediate import audit_log, quarantine_files, remediate, status_as_of
+from claimsdq.plans.rollups import LEVELS, Rollups
 from claimsdq.plans.store import Store, in_range
 from claimsdq.session import checkpoint_dir, copy_file, staging_path
 from claimsdq.sources.claims import (CLAIM_COLUMNS, list_claim_files, read_claims_csv, read_claims_untyped,
@@ -554,6 +556,15 @@ def q_points_as_of(spark, sf):
     return _point_cols(after_rerun(spark, sf).points(as_of=dt.datetime(2024, 12, 1, 12, tzinfo=dt.timezone.utc)))
 
 
+def q_rollup_after_reruns(spark, sf):
+    """Hour, day and 30-day rollups that followed the three runs one by one."""
+    rollups = Rollups(after_rerun(spark, sf))
+    rollups.apply_all()
+    rows = [rollups.read(level).withColumn("level", F.lit(level)) for level in LEVELS]
+    return reduce(DataFrame.unionByName, rows).select(
+        "level", *TS.SERIES, "period_start", _r("sum"), "sample_count", _r("minimum"), _r("maximum"), _r("average"))
+
+
 def q_z_scores_from_moments(spark, sf):
     """z-scores by moments kept per file and code and merged per code."""
     f = flagged(spark, sf)
@@ -833,6 +844,7 @@ def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "batch_csv_tiers": q_batch_csv_tiers,
         "metric_stream_hourly": q_metric_stream_hourly,
         "points_as_of": q_points_as_of,
+        "rollup_after_reruns": q_rollup_after_reruns,
         "z_scores_from_moments": q_z_scores_from_moments,
         "csv_bad_records": q_csv_bad_records,
         "arrivals_after_reupload": q_arrivals_after_reupload,
