@@ -335,7 +335,7 @@ taken AS (SELECT *, CASE WHEN bad THEN CASE WHEN since < TIMESTAMP '2024-12-01 1
   ELSE since + INTERVAL 12 HOUR END END AS at_noon FROM spans),
 asked AS (SELECT source_file, unnest(range(TIMESTAMP '2024-11-30 06:00:00', TIMESTAMP '2024-12-04 07:00:00', INTERVAL 12 HOUR)) AS at
   FROM all_files)
-SELECT a.source_file, a.at, version, CASE WHEN version IS NULL THEN NULL WHEN a.at >= at_noon THEN 'Quarantined' ELSE 'Active' END AS status
+SELECT a.source_file, a.at, since AS modified, CASE WHEN version IS NULL THEN NULL WHEN a.at >= at_noon THEN 'Quarantined' ELSE 'Active' END AS status
 FROM asked a LEFT JOIN taken t ON a.source_file = t.source_file AND a.at >= since AND (until IS NULL OR a.at < until)"""
     spans = {"hour": 3600, "day": 86400, "30 days": 2592000}
     rollups = " UNION ALL ".join(

@@ -495,7 +495,7 @@ def versioned(spark: SparkSession, sf: str) -> Store:
     def write(path: str) -> None:
         store = Store(spark, path)
         for n, at, rows, files in rerun_steps(spark, sf):
-            run_tiers(rows, path, P, run_ts=at, run_id=f"run{n}", files=files)
+            run_tiers(rows, path, P, run_ts=at, run_id=f"run{n}", files=files.withColumn("modified", F.lit(at)))
             now = store.read("metrics/files").drop("run_id")
             quarantine_files(rows, now, store, f"act{n}", P, at=at + dt.timedelta(hours=12))
     return Store(spark, written_once(spark, sf, "versioned", write))
@@ -509,7 +509,8 @@ def q_file_status_as_of(spark, sf):
     asked = store.manifest().select("source_file").distinct().select("source_file", times) \
         .select("source_file", F.timestamp_seconds("s").alias("at"))
     out = status_as_of(store, asked)
-    return out.select("source_file", F.col("at").cast("timestamp_ntz").alias("at"), "version", "status")
+    modified = F.timestamp_micros(F.col("version").cast("long")).cast("timestamp_ntz")
+    return out.select("source_file", F.col("at").cast("timestamp_ntz").alias("at"), modified.alias("modified"), "status")
 
 
 # ---------------------------------------------------------------- sinks, reruns, arrivals

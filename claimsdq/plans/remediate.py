@@ -2,10 +2,11 @@
 
 ``remediate`` carries out routed actions on a store.  Quarantining copies the
 rows of the flagged files to ``quarantined_files/run_id=<run>/``, keeps the
-originals, and stores the status of each file's *version* (the run that published
-what was copied).  A version that has the status already is passed over, so a
-rerun copies nothing twice; a file that was replaced since is a new version: it
-is active again, and is quarantined again if it still fails.
+originals, and stores the status of each file's *version* (its modification time
+as published; files published without one have one version).  A version that has
+the status already is passed over, so a rerun copies nothing twice; a file that
+was replaced since is a new version: it is active again, and is quarantined again
+if it still fails.
 
 A request is carried out once.  Its id goes into the ledger, which a run writes
 last; a run takes only requests that the ledger does not know.  A run that dies
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimsdq.operators.alarms import action_routing
@@ -31,10 +32,14 @@ _AUDIT = ("request_id string, timestamp string, action string, routed_action str
           "status_code long, run_id string")
 
 
+def _version() -> Column:
+    """A version's name: its modification time in microseconds since 1970."""
+    return F.coalesce(F.unix_micros("modified").cast("string"), F.lit("unversioned"))
+
+
 def versions(store: Store) -> DataFrame:
-    """Each file's current version: source_file, version (null for files that no
-    run published)."""
-    return store.current().select("source_file", F.col("run_id").alias("version"))
+    """Each published file's current version: source_file, version."""
+    return store.current().select("source_file", _version().alias("version"))
 
 
 def quarantined(store: Store, but_run: str | None = None) -> DataFrame:
@@ -45,7 +50,8 @@ def quarantined(store: Store, but_run: str | None = None) -> DataFrame:
         marked = marked.filter(F.col("run_id") != but_run)
     now = versions(store).select(F.col("source_file").alias("__f"), F.col("version").alias("__v"))
     marked = marked.join(now, F.col("source_file") == F.col("__f"), "left")
-    return marked.filter(F.col("version").eqNullSafe(F.col("__v"))).select("source_file").distinct()
+    # files that no run published are known by their name alone
+    return marked.filter(F.col("__v").isNull() | (F.col("version") == F.col("__v"))).select("source_file").distinct()
 
 
 def quarantine_files(claims: DataFrame, file_metrics: DataFrame, store: Store, run_id: str,
@@ -58,7 +64,7 @@ def quarantine_files(claims: DataFrame, file_metrics: DataFrame, store: Store, r
     flagged = flagged_files(file_metrics, params) if prefix is None else files_under(file_metrics, prefix)
     with RunContext(claims.sparkSession) as ctx:
         fresh = ctx.stage(flagged.join(quarantined(store, but_run=run_id), "source_file", "left_anti")
-                          .join(versions(store), "source_file", "left"), "flagged")
+                          .join(versions(store), "source_file", "left").fillna("unversioned", ["version"]), "flagged")
         rows = quarantine_by_file(claims, fresh.select("source_file"), params, ctx)
         path = f"{store.root}/quarantined_files/run_id={run_id}"
         rows.write.mode("overwrite").parquet(path)
@@ -72,10 +78,10 @@ def quarantine_files(claims: DataFrame, file_metrics: DataFrame, store: Store, r
 
 def status_intervals(store: Store) -> DataFrame:
     """H2 over time: ``source_file, version, status, since, until`` (exclusive; null:
-    still).  A version is Active from its publication, Quarantined from the action
-    that took it, and over when a newer version is published.  The window sees the
-    versions of one file."""
-    published = store.manifest().groupBy("source_file", F.col("run").alias("version")).agg(F.min("run_ts").alias("since"))
+    still).  A version is Active from its first publication, Quarantined from the
+    action that took it, and over when a newer version is published.  The window
+    sees the versions of one file."""
+    published = store.manifest().groupBy("source_file", _version().alias("version")).agg(F.min("run_ts").alias("since"))
     order = Window.partitionBy("source_file").orderBy("since", "version")
     spans = published.withColumn("until", F.lead("since").over(order))
     taken = store.table("file_status").filter("status = 'Quarantined'").groupBy("source_file", "version") \

@@ -151,6 +151,7 @@ def test_file_status_follows_versions(spark, tmp):
 
     def step(day, lines, act):
         _write(path, lines)
+        os.utime(path, (1_700_000_000 + day, 1_700_000_000 + day))
         run_csv_job(spark, f"{src}/claims", out, key_root=src, run_ts=_at(day), run_id=f"v{day}")
         if act:
             rows = store.read("gold").drop("run_id")
@@ -163,7 +164,11 @@ def test_file_status_follows_versions(spark, tmp):
     assert quarantine_files(rows, store.read("metrics/files").drop("run_id"), store, "more", at=_at(3, 7))["quarantined_count"] == 0
     spans = [(r.version, r.status, r.since.day, r.until and r.until.day) for r in
              status_intervals(store).filter("source_file = 'claims/a.csv'").orderBy("since", "status").collect()]
-    assert [s[:2] for s in spans] == [("v1", "Active"), ("v1", "Quarantined"), ("v2", "Active"), ("v3", "Active"), ("v3", "Quarantined")]
+    assert [s[1] for s in spans] == ["Active", "Quarantined", "Active", "Active", "Quarantined"]
+    assert len({s[0] for s in spans}) == 3
+    # the prefix runs again without a change: the same versions, so nothing is taken twice
+    run_csv_job(spark, f"{src}/claims", out, key_root=src, run_ts=_at(4), run_id="v4")
+    assert quarantine_files(rows, store.read("metrics/files").drop("run_id"), store, "q4", at=_at(4, 6))["quarantined_count"] == 0
     hours = [(d, h) for d in (1, 2, 3) for h in (1, 12)] + [(30, 0)]
     asked = spark.createDataFrame([("claims/a.csv", _at(d, h)) for d, h in hours] + [("claims/a.csv", dt.datetime(2024, 11, 1, tzinfo=UTC)),
                                   ("claims/none.csv", _at(1))], "source_file string, at timestamp")
