@@ -6,12 +6,14 @@ import string
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimsdq.session import staging_path
+from claimsdq.session import remove_path, staging_path
 
 #: One or more ASCII blanks (space, \\t \\n \\v \\f \\r) separate words.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -54,14 +56,37 @@ def map_batches(df: DataFrame, run, schema) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+_scratch: list[list[str]] = []
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.  The
-    written table cuts the lineage, so a lost executor costs a re-read only."""
+    written table cuts the lineage, so a lost executor costs a re-read only.
+
+    A query's lazy result reads such tables, so they stay until the checkpoint
+    folder is cleaned, unless a ``scratch`` context of the caller removes them."""
     path = staging_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
+    for paths in _scratch[-1:]:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """The paths of the tables staged within; those still listed at the end are
+    removed.  Take a path off the list (the last one staged is the last in it) to
+    keep its table."""
+    paths: list[str] = []
+    _scratch.append(paths)
+    try:
+        yield paths
+    finally:
+        _scratch.remove(paths)
+        for path in paths:
+            remove_path(spark, path)
+
+
 def unused_name(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have."""
     name = stem
