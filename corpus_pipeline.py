@@ -5,7 +5,7 @@ texts the largest ``doc_id`` stays), SimHash near-dedup (one document of each
 component stays), mixing the sources to their target weights (documents appear
 once per epoch, the last piece cut to the quota), BPE encoding and decoding.
 Each stage's result is written as Parquet under the shared checkpoint folder
-and read again as the next one's ``docs``.
+and read again as the next one's ``docs``; in ``run`` the last one's alone stays.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from claimsdq.llm import bpe, exact_dedup, mixing, quality, simhash
-from claimsdq.llm.common import documents, staged
+from claimsdq.llm.common import documents, scratch, staged
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -53,7 +53,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, last = documents(spark, sf_dir), None
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        with scratch(spark) as tables:       # what the stage wrote on its way goes with its predecessor's result
+            docs = staged(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+            own = tables.pop()
+            if last:
+                tables.append(last)
+            last = own
     return docs
