@@ -284,12 +284,10 @@ def narrowed(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray, anchor: np.
     A window whose first anchor gram stands ``l`` bytes from its start shares,
     with all windows of the same band of ``l``, a core of ``length - BAND + 1``
     bytes that lies fixed to that gram.  Equal windows have equal ``l`` and so
-    equal cores.  A band's windows whose core stands nowhere else hold no repeat;
-    bands that are byte for byte one are pre-aggregated: the earliest stands, the
-    rest is repeated.
+    equal cores.  A band's windows whose core stands nowhere else hold no repeat
+    and are left out; nothing is settled here.
 
-    Returns (lo, hi, doc, start) of the strings left, as slices of ``flat``, and
-    (doc, lo, hi) of byte intervals that are repeated outright."""
+    Returns (lo, hi, doc, start) of the strings left, as slices of ``flat``."""
     offset = np.arange(len(flat)) - np.repeat(starts, lens)
     inside = np.flatnonzero(offset <= np.repeat(lens - GRAM, lens))
     gram = _mixed(_string_hashes(flat, offset, 11)(inside, inside + GRAM)) >> np.uint64(8)
@@ -311,19 +309,19 @@ def narrowed(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray, anchor: np.
         core.append(base + at[ok] - first)
         core_end.append(base + at[ok] - last + length)
     lo, hi, owner, core, core_end = map(np.concatenate, (lo, hi, owner, core, core_end))
-    band_start = start[owner] + lo - starts[owner]
     _, group, size = np.unique(_mixed(_string_hashes(flat, offset, 31)(core, core_end)), return_inverse=True,
                                return_counts=True)
     keep = size[group] > 1
-    lo, hi, owner, band_start, group = (x[keep] for x in (lo, hi, owner, band_start, group))
-    same = _mixed(_string_hashes(flat, offset, 37)(lo, hi) + (hi - lo).astype(np.uint64))
-    by = np.lexsort((band_start, doc[owner], same))
-    later = _later_places(same[by], doc[owner[by]], band_start[by])
-    copies, by = by[later], by[~later]
-    out = (doc[owner[copies]], band_start[copies], band_start[copies] + hi[copies] - lo[copies])
-    kinds = np.bincount(group[by], minlength=len(size))
-    by = by[kinds[group[by]] > 1]
-    return (lo[by], hi[by], doc[owner[by]], band_start[by]), out
+    lo, hi, owner = lo[keep], hi[keep], owner[keep]
+    # neighbouring bands of a string become one slice again
+    by = np.lexsort((lo, owner))
+    lo, hi, owner = lo[by], hi[by], owner[by]
+    new = np.ones(len(lo), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (lo[1:] > hi[:-1] - length + 1)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(lo)) - 1 if len(lo) else first
+    lo, hi, owner = lo[first], hi[last], owner[first]
+    return lo, hi, doc[owner], start[owner] + lo - starts[owner]
 
 
 def _intervals(doc: np.ndarray, window: np.ndarray, length: int):
@@ -346,7 +344,7 @@ def _order() -> Column:
 #: What a document is known by.
 _DOC = ["doc", "tie"]
 #: How an interval was found to be repeated.
-COPY, BAND, ARRAY, WINDOW = range(4)
+COPY, ARRAY, WINDOW = range(3)
 
 
 def _anchor_rows(base: DataFrame, length: int) -> DataFrame:
@@ -400,16 +398,14 @@ def _collection_rows(strings: DataFrame, length: int) -> DataFrame:
         rank, docs, ties = _ranked(doc, tie)
         lens = np.array([len(t) for t in texts], np.int64)
         flat = np.frombuffer(b"".join(texts), np.uint8)
-        (lo, hi, d, s), (copy_doc, copy_lo, copy_hi) = narrowed(
-            flat, np.cumsum(lens) - lens, lens, anchor, rank, start, length)
-        if len(lo):
-            with tempfile.TemporaryDirectory(prefix="bwt-") as folder:   # this task's own files
-                d, w = repeated_windows(flat, lo, hi - lo, d, s, length, folder)
-            d, lo, hi = _intervals(d, w, length)
-        at, lo, hi = (np.concatenate(c).astype(np.int64) for c in ((copy_doc, d), (copy_lo, lo), (copy_hi, hi)))
-        how = np.where(np.arange(len(at)) < len(copy_doc), BAND, ARRAY)
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (docs[at], ties[at], lo, hi, how.astype(np.int32))],
-                                         names=[*_DOC, "lo", "hi", "how"])
+        lo, hi, d, s = narrowed(flat, np.cumsum(lens) - lens, lens, anchor, rank, start, length)
+        if not len(lo):
+            return
+        with tempfile.TemporaryDirectory(prefix="bwt-") as folder:   # this task's own files
+            d, w = repeated_windows(flat, lo, hi - lo, d, s, length, folder)
+        at, lo, hi = _intervals(d, w, length)
+        yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in (docs[at], ties[at], lo, hi)]
+                                         + [pa.array(np.full(len(at), ARRAY, np.int32))], names=[*_DOC, "lo", "hi", "how"])
     return map_batches(strings.select(*_DOC, "start", "anchor", "bytes"), run, "doc long, tie long, lo long, hi long, how int")
 
 
