@@ -44,7 +44,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from claimsdq.llm.common import map_batches
+from claimsdq.llm.common import map_batches, staged
 from claimsdq.llm.tagger import PAD, Tagger, char_classes
 
 KINDS = ("email", "ip", "card", "phone")
@@ -243,7 +243,7 @@ def labelled_windows(docs: DataFrame, n: int) -> list[tuple[str, list[Span]]]:
     """The ``n`` windows around triggers with the smallest hash of (doc_id, place),
     over all rows, with the base spans in them.  Each task keeps its ``n`` smallest,
     so it sends windows, never texts, and no document or part of the table is
-    favoured."""
+    favoured; the driver gets the ``n`` smallest of all and nothing else."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: list[tuple] = []                                 # a heap: the largest hash kept on top
         for b in batches:
@@ -263,7 +263,9 @@ def labelled_windows(docs: DataFrame, n: int) -> list[tuple[str, list[Span]]]:
                     (heapq.heappush if len(best) < n else heapq.heappushpop)(best, row)
         yield pa.RecordBatch.from_arrays([pa.array([-r[0] for r in best], pa.int64()), pa.array([r[1] for r in best], pa.string()),
                                           pa.array([r[2] for r in best], pa.string())], names=["h", "w", "s"])
-    found = map_batches(docs.select("doc_id", "text"), run, "h long, w string, s string").orderBy("h", "w", "s").limit(n).collect()
+    rows = map_batches(docs.select("doc_id", "text"), run, "h long, w string, s string")
+    # written first: a collected top-n would send every task's n rows to the driver
+    found = staged(rows.orderBy("h", "w", "s").limit(n), "pii-sample").orderBy("h", "w", "s").collect()
     return [(r["w"], [tuple(map(int, x.split(":"))) for x in r["s"].split(",") if x]) for r in found]
 
 
