@@ -11,7 +11,9 @@ from __future__ import annotations
 import datetime as dt
 import tempfile
 import uuid
+import zipfile
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -102,6 +104,24 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{base}/staged/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the executors' Python workers, once per application,
+    so that it need not be installed there."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="ship-")) / f"{root.name}.zip"    # read by the driver's file server
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(path))
+    _shipped.add(sc.applicationId)
+
+
 class RunContext:
     """The staged tables of one run: written once under the checkpoint folder,
     shared by the run's steps and removed at its end.

@@ -31,6 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from claimsdq.operators.alarms import AlarmDef, alarm_definitions, alarm_reason, breaches, statistic_value
+from claimsdq.session import ship_package
 
 _KEYS = ["alarm_name", "statistic", "comparison", "threshold", "periods", "period_seconds", "event_type", "action"]
 CHANGES = ("alarm_name string, state string, timestamp timestamp, value double, event_type string, action string, "
@@ -106,6 +107,7 @@ def start_alarms(spark: SparkSession, points: DataFrame, defs: list[AlarmDef], o
     state changes of the alarms with this period go to ``<out_dir>/changes`` (start
     one pair of queries per period that the definitions have)."""
     out, checkpoint = out_dir.rstrip("/"), checkpoint_location.rstrip("/")
+    ship_package(spark)
 
     def start(stream: DataFrame, name: str) -> StreamingQuery:
         w = stream.writeStream.outputMode("append").format("parquet").option("path", f"{out}/{name}") \

@@ -36,6 +36,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from claimsdq.functions.columns import hour_bucket
 from claimsdq.plans.store import SCHEMAS, Store
+from claimsdq.session import ship_package
 
 SERIES = ("namespace", "metric_name", "source_file")
 
@@ -112,6 +113,7 @@ def start_hourly_buckets(spark: SparkSession, root: str, out_dir: str, checkpoin
     ``out_dir`` (read them by ``hourly_now``).  Two queries, the feed and the
     state; with ``available_now`` both end when all that is published is in."""
     store, out = Store(spark, root), out_dir.rstrip("/")
+    ship_package(spark)
 
     def start(stream: DataFrame, each_batch, name: str, mode: str) -> StreamingQuery:
         w = stream.writeStream.outputMode(mode).foreachBatch(each_batch) \
