@@ -3,17 +3,14 @@
 from __future__ import annotations
 
 import string
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimsdq.session import remove_path, staging_path
+from claimsdq.session import remove_path, ship_package, staging_path
 
 #: One or more ASCII blanks (space, \\t \\n \\v \\f \\r) separate words.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -32,24 +29,6 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, string.ascii_uppercase, string.ascii_lowercase)
 
 
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Hand this package to the executors' Python workers, once per application,
-    so that it need not be installed there."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    root = Path(__file__).resolve().parent.parent
-    path = Path(tempfile.mkdtemp(prefix="ship-")) / f"{root.name}.zip"    # read by the driver's file server
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent))
-    sc.addPyFile(str(path))
-    _shipped.add(sc.applicationId)
-
-
 def map_batches(df: DataFrame, run, schema) -> DataFrame:
     """``df.mapInArrow`` with this package at hand in the workers."""
     ship_package(df.sparkSession)
