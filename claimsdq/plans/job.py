@@ -141,9 +141,9 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "compact":
         print(json.dumps({"batches": Store(spark, a.output).compact_manifest()}))
     else:
-        from claimsdq.streaming.metric_stream import start_hourly_buckets
+        from claimsdq.streaming.metric_stream import start_published_hours
         root = a.output.rstrip("/")
-        start_hourly_buckets(spark, root, f"{root}/metrics/hourly", a.checkpoint,
+        start_published_hours(spark, root, f"{root}/metrics/hourly", a.checkpoint,
                              available_now=not a.continuous).awaitTermination()
     return 0
 

@@ -38,7 +38,7 @@ from claimsdq.sources.claims import (CLAIM_COLUMNS, list_claim_files, read_claim
 from claimsdq.streaming.alarm_stream import alarm_events_of, start_alarms
 from claimsdq.streaming.arrival_events import start_event_ingest
 from claimsdq.streaming.file_ingest import ingest_arrivals, start_file_ingest
-from claimsdq.streaming.metric_stream import hourly_now, start_hourly_buckets
+from claimsdq.streaming.metric_stream import hourly_now, start_published_hours
 
 R = 6
 # Cost amounts are cents / 1e6: 8 digits keep them exact (6 would cut at
@@ -748,7 +748,7 @@ def q_metric_stream_hourly(spark, sf):
             store.write("metrics/points", name, rows)
             if day:
                 store.publish(name, files, dt.datetime(2024, 12, day, tzinfo=dt.timezone.utc))
-                _stream(start_hourly_buckets(spark, store.root, path, f"{path}-stream"))
+                _stream(start_published_hours(spark, store.root, path, f"{path}-stream"))
         later = F.expr("ts + INTERVAL 1 HOUR")
         run("first", pts.withColumns({"value": F.col("value") + 7, "ts": later, "date": F.to_date(later)}), 1)
         run("dead", pts.withColumn("value", F.col("value") * 3), None)

@@ -1,10 +1,10 @@
 """Hourly buckets on streams of metric points.
 
-``hourly_buckets`` is for any stream of points: tumbling event-time windows with
-a watermark, in append mode; a bucket is emitted once the watermark passes its
-end and its state is dropped.
+``start_hourly_buckets`` is for any folder of point files: tumbling event-time
+windows with a watermark, in append mode; a bucket is emitted once the watermark
+passes its end and its state is dropped.
 
-``start_hourly_buckets`` follows a store.  Points count when their run is
+``start_published_hours`` follows a store.  Points count when their run is
 published and only as long as no newer run of their file is, so it streams the
 manifest, not the point files (which also hold the points of runs that died and
 of attempts that were retried):
@@ -54,6 +54,18 @@ def hourly_buckets(points: DataFrame, period: str = "1 hour", delay: str = "2 ho
                     "average", "sum", "maximum", "minimum", "sample_count"))
 
 
+def start_hourly_buckets(spark: SparkSession, points_dir: str, out_dir: str, checkpoint_location: str,
+                         delay: str = "2 hours", available_now: bool = True,
+                         schema=SCHEMAS["metrics/points"]) -> StreamingQuery:
+    """Buckets over a folder that gains point files; each point is fed once.  Not
+    for a store's ``metrics/points``, which also holds points that do not count."""
+    stream = spark.readStream.schema(schema).option("maxFileAge", "36500d").parquet(points_dir)
+    w = (hourly_buckets(stream, delay=delay).writeStream.outputMode("append").format("parquet")
+         .option("path", out_dir).option("checkpointLocation", checkpoint_location))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
+
+
 # ------------------------------------------------------------- published runs
 
 FEED = T.StructType([
@@ -107,7 +119,7 @@ def _update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> I
         yield frame[[f.name for f in CHANGES.fields]]
 
 
-def start_hourly_buckets(spark: SparkSession, root: str, out_dir: str, checkpoint_location: str,
+def start_published_hours(spark: SparkSession, root: str, out_dir: str, checkpoint_location: str,
                          available_now: bool = True) -> StreamingQuery:
     """Follow the store under ``root``: changes of its hourly buckets go to
     ``out_dir`` (read them by ``hourly_now``).  Two queries, the feed and the

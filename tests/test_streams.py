@@ -10,7 +10,7 @@ from claimsdq.operators.alarms import AlarmDef, alarm_definitions, alarm_events,
 from claimsdq.plans.batch import run_csv_job
 from claimsdq.plans.store import Store
 from claimsdq.streaming.alarm_stream import alarm_events_of, start_alarms
-from claimsdq.streaming.metric_stream import hourly_now, start_hourly_buckets
+from claimsdq.streaming.metric_stream import hourly_now, start_published_hours
 from test_ingest_pipeline import _at, _line, _write
 
 
@@ -30,7 +30,7 @@ def test_metric_stream_follows_published_runs_only(spark, tmp, monkeypatch):
     store = Store(spark, out)
 
     def stream():
-        _done(start_hourly_buckets(spark, out, f"{tmp}/hourly", f"{tmp}/ck"))
+        _done(start_published_hours(spark, out, f"{tmp}/hourly", f"{tmp}/ck"))
         return sorted(map(tuple, hourly_now(spark, f"{tmp}/hourly").collect()))
 
     def run(lines, at, **kw):
